@@ -1,0 +1 @@
+"""Reserved. Every operator of this engine is batch: full reads, full overwrites."""
