@@ -517,6 +517,7 @@ _PURCHASED = "order_purchase_timestamp"
 
 _OPERATORS = {
     "csv_multiline_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "csv_split_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "ingest_metadata": _all(
         *[
             f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, COUNT(*) AS with_time, "

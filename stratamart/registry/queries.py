@@ -35,17 +35,21 @@ def faulty_gold(spark: SparkSession, sf_dir: str) -> Gold:
 # --- sources and layers ------------------------------------------------------------------
 
 
-def csv_multiline_roundtrip(spark, sf_dir):
+def _csv_roundtrip(split_files: bool) -> Query:
     """Texts with line breaks and quotes, written as CSV and read back whole."""
-    path = f"{scratch_directory(spark)}/documents"
-    write_csv(tpch.table(spark, sf_dir, "documents"), path)
-    return read_csv(spark, path).select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        "text",
-        "lang",
-        "source",
-        F.col("n_chars").cast("long").alias("n_chars"),
-    )
+
+    def query(spark, sf_dir):
+        path = f"{scratch_directory(spark)}/documents"
+        write_csv(tpch.table(spark, sf_dir, "documents"), path)
+        return read_csv(spark, path, split_files=split_files).select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            "text",
+            "lang",
+            "source",
+            F.col("n_chars").cast("long").alias("n_chars"),
+        )
+
+    return query
 
 
 def _csv_drop(spark: SparkSession, sf_dir: str) -> str:
@@ -283,7 +287,8 @@ def _report(name: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    "csv_multiline_roundtrip": csv_multiline_roundtrip,
+    "csv_multiline_roundtrip": _csv_roundtrip(split_files=False),
+    "csv_split_roundtrip": _csv_roundtrip(split_files=True),
     "ingest_metadata": ingest_metadata,
     "layer_roundtrip": layer_roundtrip,
     "layer_row_counts": layer_row_counts,

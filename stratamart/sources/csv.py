@@ -1,9 +1,10 @@
 """CSV sources: header, quoted fields that span lines, doubled quotes inside quotes."""
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratamart.sources.csv_split import read_split_csv
 from stratamart.specs import INGESTED_AT, SOURCE_FILE, SOURCES, SourceSpec
 
 # The dialect of the sources.
@@ -15,17 +16,21 @@ def read_csv(
     path: str | list[str],
     infer_schema: bool = False,
     record_separator: str | None = None,
+    split_files: bool = False,
 ) -> DataFrame:
     """Read CSV by header name; all columns are text unless ``infer_schema``.
 
     Text keeps leading zeros and makes one broken row visible as such instead of changing
     a column's type; the cleaners give columns their declared type.
 
-    A file with line breaks inside quotes cannot be split on line ends, so by default each
-    file is one task: deliver many files, or pass ``record_separator`` if records end in
-    something that does not occur inside fields (for example CR LF around fields with bare
-    LF); the files are then split as usual.
+    By default each file is one task, because a line end may be inside quotes. That suits
+    drops of many files. For a few huge files there are two ways to read them in splits:
+    ``record_separator`` if records end in something that does not occur inside fields (for
+    example CR LF around fields with bare LF), else ``split_files``, which finds the record
+    ends itself (see :mod:`stratamart.sources.csv_split`).
     """
+    if split_files:
+        return _split_csv(spark, path).drop(SOURCE_FILE)
     reader = spark.read.options(**DIALECT).option("inferSchema", str(infer_schema).lower())
     if record_separator is None:
         reader = reader.option("multiLine", "true")
@@ -34,6 +39,11 @@ def read_csv(
     return reader.csv(path)
 
 
+def _split_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    header = spark.read.options(**DIALECT).option("multiLine", "true").csv(path).columns
+    return read_split_csv(spark, path, header, DIALECT)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Write CSV in the same dialect, so that :func:`read_csv` returns equal text."""
     df.write.mode("overwrite").options(**DIALECT).csv(path)
@@ -52,11 +62,17 @@ def ingest(
     paths: Mapping[str, str] | None = None,
     specs: Mapping[str, SourceSpec] = SOURCES,
     infer_schema: bool = False,
+    split_files: Collection[str] = (),
 ) -> dict[str, DataFrame]:
-    """Bronze DataFrames for every source in the manifest; ``paths`` overrides locations."""
+    """Bronze DataFrames for every source in the manifest.
+
+    ``paths`` overrides locations; ``split_files`` names the sources to read in splits.
+    """
     located = {name: f"{raw_dir}/{spec.file_pattern}" for name, spec in specs.items()}
     located |= dict(paths or {})
     return {
-        name: with_ingest_metadata(read_csv(spark, path, infer_schema))
+        name: _split_csv(spark, path).withColumn(INGESTED_AT, F.current_timestamp())
+        if name in split_files
+        else with_ingest_metadata(read_csv(spark, path, infer_schema))
         for name, path in located.items()
     }
