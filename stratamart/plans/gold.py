@@ -4,12 +4,14 @@ Silver guarantees unique keys, so no dimension is deduplicated again; the qualit
 asserts it instead.
 """
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratamart.functions.dates import day, day_key
 from stratamart.functions.exact import cents
+from stratamart.lazy import LazyTables
 from stratamart.operators.joins import left_lookup
 from stratamart.specs import GOLD_TABLES, METADATA_COLUMNS
 
@@ -122,32 +124,21 @@ def fact_reviews(reviews: DataFrame) -> DataFrame:
 _ORDER_ATTRIBUTES = ("customer_id", "order_status", "order_date_id")
 
 
-@dataclass(frozen=True)
-class Gold:
+class Gold(LazyTables):
     """The star schema plus narrower shapes of ``fact_order_items`` for reports and checks.
 
     ``item_lines`` has the item columns only. ``order_totals`` has one row per order with
     items: order attributes and revenue in cents. ``item_customers`` has the customer keys
-    that the items refer to. All three are defined by the fact table. When
-    gold is built from silver in one plan they come from the silver tables directly: item
-    reports then do without the join to orders, and order reports aggregate the items per
-    order *before* joining, which makes both join sides unique on ``order_id`` - a huge
-    order is folded on the map side and never reaches the join.
+    that the items refer to. All three are defined by the fact table. When gold is built
+    from silver in one plan they come from the silver tables directly: item reports then do
+    without the join to orders, and order reports aggregate the items per order *before*
+    joining, which makes both join sides unique on ``order_id`` - a huge order is folded on
+    the map side and never reaches the join.
     """
 
-    dim_customer: DataFrame
-    dim_product: DataFrame
-    dim_seller: DataFrame
-    dim_date: DataFrame
-    fact_order_items: DataFrame
-    fact_payments: DataFrame
-    fact_reviews: DataFrame
-    item_lines: DataFrame
-    order_totals: DataFrame
-    item_customers: DataFrame
-
     def tables(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in GOLD_TABLES}
+        """The published tables."""
+        return {name: self[name] for name in GOLD_TABLES}
 
     def create_views(self) -> None:
         """Register the published tables as temporary views for SQL reports."""
@@ -159,31 +150,44 @@ def _revenue() -> Column:
     return F.sum(cents("price") + cents("freight_value")).alias("revenue_cents")
 
 
-def gold_from_silver(silver: dict[str, DataFrame]) -> Gold:
-    items, orders = silver["order_items"], silver["orders"]
-    attributes = _order_attributes(orders).select("order_id", *_ORDER_ATTRIBUTES)
-    totals = items.groupBy("order_id").agg(_revenue()).join(attributes, "order_id", "left")
+def gold_from_silver(silver: Mapping[str, DataFrame]) -> Gold:
+    def order_totals() -> DataFrame:
+        folded = silver["order_items"].groupBy("order_id").agg(_revenue())
+        attributes = _order_attributes(silver["orders"])
+        return folded.join(attributes.select("order_id", *_ORDER_ATTRIBUTES), "order_id", "left")
+
     return Gold(
-        dim_customer=dim_customer(silver["customers"]),
-        dim_product=dim_product(silver["products"], silver["category_translation"]),
-        dim_seller=dim_seller(silver["sellers"]),
-        dim_date=dim_date(orders),
-        fact_order_items=fact_order_items(items, orders),
-        fact_payments=fact_payments(silver["order_payments"]),
-        fact_reviews=fact_reviews(silver["order_reviews"]),
-        item_lines=items,
-        order_totals=totals,
-        item_customers=totals.select("customer_id"),
+        {
+            "dim_customer": lambda: dim_customer(silver["customers"]),
+            "dim_product": lambda: dim_product(
+                silver["products"], silver["category_translation"]
+            ),
+            "dim_seller": lambda: dim_seller(silver["sellers"]),
+            "dim_date": lambda: dim_date(silver["orders"]),
+            "fact_order_items": lambda: fact_order_items(silver["order_items"], silver["orders"]),
+            "fact_payments": lambda: fact_payments(silver["order_payments"]),
+            "fact_reviews": lambda: fact_reviews(silver["order_reviews"]),
+            "item_lines": lambda: silver["order_items"],
+            "order_totals": order_totals,
+            "item_customers": lambda: order_totals().select("customer_id"),
+        }
     )
 
 
-def gold_from_tables(tables: dict[str, DataFrame]) -> Gold:
+def gold_from_tables(tables: Mapping[str, DataFrame]) -> Gold:
     """Gold over stored tables. Order attributes depend on ``order_id`` alone, as built above."""
-    stored = {name: df.drop(*METADATA_COLUMNS) for name, df in tables.items()}
-    fact = stored["fact_order_items"]
+
+    def stored(name: str) -> DataFrame:
+        return tables[name].drop(*METADATA_COLUMNS)
+
+    def order_totals() -> DataFrame:
+        return stored("fact_order_items").groupBy("order_id", *_ORDER_ATTRIBUTES).agg(_revenue())
+
     return Gold(
-        **stored,
-        item_lines=fact,
-        order_totals=fact.groupBy("order_id", *_ORDER_ATTRIBUTES).agg(_revenue()),
-        item_customers=fact.select("customer_id"),
+        {
+            **{name: partial(stored, name) for name in GOLD_TABLES},
+            "item_lines": lambda: stored("fact_order_items"),
+            "order_totals": order_totals,
+            "item_customers": lambda: stored("fact_order_items").select("customer_id"),
+        }
     )

@@ -1,5 +1,6 @@
 """The silver and gold suites and the gate in front of publishing."""
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -35,7 +36,7 @@ def union_results(results: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
 
-def silver_suite(silver: dict[str, DataFrame]) -> DataFrame:
+def silver_suite(silver: Mapping[str, DataFrame]) -> DataFrame:
     """18 results over 7 tables, one aggregate per table."""
     # Which check applies to which silver table.
     plan = {
@@ -76,20 +77,23 @@ def gold_suite(gold: Gold) -> DataFrame:
         "dim_product": {"unique_key": ["product_id"]},
         "dim_seller": {"unique_key": ["seller_id"]},
     }
-    tables = gold.tables() | {"fact_order_items": gold.item_lines}
-    results = [check_table(tables[name], f"gold.{name}", **checks) for name, checks in plan.items()]
+    narrow = {"fact_order_items": "item_lines"}
+    results = [
+        check_table(gold[narrow.get(name, name)], f"gold.{name}", **checks)
+        for name, checks in plan.items()
+    ]
     for column, dimension, key in ITEM_REFERENCES:
         results.append(_item_reference(gold, column, dimension, key))
     return union_results(results)
 
 
 def _item_reference(gold: Gold, column: str, dimension: str, key: str) -> DataFrame:
-    fact = gold.item_customers if column == "customer_id" else gold.item_lines
-    orphans = orphan_keys(fact, column, gold.tables()[dimension], key)
+    fact = gold["item_customers"] if column == "customer_id" else gold["item_lines"]
+    orphans = orphan_keys(fact, column, gold[dimension], key)
     return check_reference(orphans, "gold.fact_order_items", column, f"gold.{dimension}")
 
 
-def bronze_type_suite(bronze: dict[str, DataFrame]) -> DataFrame:
+def bronze_type_suite(bronze: Mapping[str, DataFrame]) -> DataFrame:
     """Text in the bronze tables that does not read as the declared type of its column."""
     results = []
     for name, df in bronze.items():

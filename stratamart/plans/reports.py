@@ -26,7 +26,7 @@ MIN_PRODUCT_ORDERS = 10
 
 
 def _orders_by(gold: Gold, key: str) -> DataFrame:
-    return gold.order_totals.groupBy(key).agg(
+    return gold["order_totals"].groupBy(key).agg(
         F.sum("revenue_cents").alias("revenue_cents"), F.count(F.lit(1)).alias("orders")
     )
 
@@ -35,7 +35,7 @@ def _by_calendar(gold: Gold, *attributes: str) -> DataFrame:
     """Revenue and orders per calendar attributes; orders without a day drop out."""
     per_day = _orders_by(gold, "order_date_id").withColumnRenamed("order_date_id", "date_id")
     return (
-        per_day.join(gold.dim_date, "date_id")
+        per_day.join(gold["dim_date"], "date_id")
         .groupBy(*attributes)
         .agg(F.sum("revenue_cents").alias("revenue_cents"), F.sum("orders").alias("orders"))
     )
@@ -43,7 +43,7 @@ def _by_calendar(gold: Gold, *attributes: str) -> DataFrame:
 
 def _by_state(gold: Gold) -> DataFrame:
     per_customer = _orders_by(gold, "customer_id")
-    states = gold.dim_customer.select("customer_id", "customer_state")
+    states = gold["dim_customer"].select("customer_id", "customer_state")
     return (
         per_customer.join(states, "customer_id")
         .groupBy("customer_state")
@@ -54,14 +54,14 @@ def _by_state(gold: Gold) -> DataFrame:
 def _sales_by_category(gold: Gold) -> DataFrame:
     """Price and freight totals with their non-NULL counts, and items, per category."""
     columns = ("price_cents", "prices", "freight_cents", "freights", "items")
-    per_product = gold.item_lines.groupBy("product_id").agg(
+    per_product = gold["item_lines"].groupBy("product_id").agg(
         F.sum(cents("price")).alias("price_cents"),
         F.count("price").alias("prices"),
         F.sum(cents("freight_value")).alias("freight_cents"),
         F.count("freight_value").alias("freights"),
         F.count(F.lit(1)).alias("items"),
     )
-    categories = gold.dim_product.select("product_id", "category_name_english")
+    categories = gold["dim_product"].select("product_id", "category_name_english")
     return (
         per_product.join(categories, "product_id")
         .groupBy("category_name_english")
@@ -71,7 +71,7 @@ def _sales_by_category(gold: Gold) -> DataFrame:
 
 def _reviews_by_order(gold: Gold) -> DataFrame:
     """One row per order, so that joining items to it cannot multiply them."""
-    return gold.fact_reviews.groupBy("order_id").agg(
+    return gold["fact_reviews"].groupBy("order_id").agg(
         F.sum(F.col("review_score").cast("long")).alias("score_sum"),
         F.count("review_score").alias("scores"),
         F.count(F.lit(1)).alias("reviews"),
@@ -109,13 +109,13 @@ def top_categories(gold: Gold) -> DataFrame:
 
 
 def top_sellers(gold: Gold) -> DataFrame:
-    per_order = gold.item_lines.groupBy("seller_id", "order_id").agg(
+    per_order = gold["item_lines"].groupBy("seller_id", "order_id").agg(
         F.sum(cents("price")).alias("price_cents")
     )
     per_seller = per_order.groupBy("seller_id").agg(
         F.sum("price_cents").alias("price_cents"), F.count(F.lit(1)).alias("orders_handled")
     )
-    states = gold.dim_seller.select("seller_id", "seller_state")
+    states = gold["dim_seller"].select("seller_id", "seller_state")
     sales = per_seller.join(states, "seller_id").select(
         "seller_id",
         "seller_state",
@@ -139,7 +139,7 @@ def revenue_by_state(gold: Gold) -> DataFrame:
 
 def payment_mix(gold: Gold) -> DataFrame:
     return (
-        gold.fact_payments.groupBy("payment_type")
+        gold["fact_payments"].groupBy("payment_type")
         .agg(
             F.count(F.lit(1)).alias("num_payments"),
             amount(F.sum(cents("payment_value"))).alias("total_value"),
@@ -157,12 +157,12 @@ def category_reviews(gold: Gold) -> DataFrame:
     """Scores weighted by items: a review counts once for every item of its order."""
     per_product = (
         inner_lookup(
-            gold.item_lines.select("order_id", "product_id"), _reviews_by_order(gold), "order_id"
+            gold["item_lines"].select("order_id", "product_id"), _reviews_by_order(gold), "order_id"
         )
         .groupBy("product_id")
         .agg(*[F.sum(c).alias(c) for c in ("score_sum", "scores", "reviews")])
     )
-    categories = gold.dim_product.select("product_id", "category_name_english")
+    categories = gold["dim_product"].select("product_id", "category_name_english")
     rated = (
         per_product.join(categories, "product_id")
         .groupBy("category_name_english")
@@ -179,7 +179,7 @@ def category_reviews(gold: Gold) -> DataFrame:
 
 def order_status(gold: Gold) -> DataFrame:
     return (
-        gold.order_totals.groupBy("order_status")
+        gold["order_totals"].groupBy("order_status")
         .agg(F.count(F.lit(1)).alias("num_orders"))
         .orderBy(*highest("num_orders", ["order_status"]))
     )
@@ -199,7 +199,7 @@ def monthly_order_value(gold: Gold) -> DataFrame:
 
 def worst_products(gold: Gold) -> DataFrame:
     """Products by lowest score among those in enough reviewed orders."""
-    items = gold.item_lines.groupBy("order_id", "product_id").agg(
+    items = gold["item_lines"].groupBy("order_id", "product_id").agg(
         F.count(F.lit(1)).alias("items")
     )
     per_product = (
@@ -212,7 +212,7 @@ def worst_products(gold: Gold) -> DataFrame:
         )
         .filter(F.col("num_orders") >= MIN_PRODUCT_ORDERS)
     )
-    categories = gold.dim_product.select("product_id", "category_name_english")
+    categories = gold["dim_product"].select("product_id", "category_name_english")
     rated = per_product.join(categories, "product_id").select(
         "product_id",
         "category_name_english",
@@ -237,7 +237,7 @@ def freight_share(gold: Gold) -> DataFrame:
 
 
 def headline_totals(gold: Gold) -> DataFrame:
-    per_order = gold.item_lines.groupBy("order_id").agg(
+    per_order = gold["item_lines"].groupBy("order_id").agg(
         F.sum(cents("price") + cents("freight_value")).alias("revenue_cents")
     )
     totals = per_order.agg(
@@ -252,7 +252,7 @@ def headline_totals(gold: Gold) -> DataFrame:
 
 def average_review(gold: Gold) -> DataFrame:
     score = F.col("review_score").cast("long")
-    return gold.fact_reviews.agg(
+    return gold["fact_reviews"].agg(
         rounded_ratio(F.sum(score), F.count("review_score"), 2).alias("avg_review")
     )
 
@@ -289,7 +289,7 @@ def top_states(gold: Gold) -> DataFrame:
 
 def payment_counts(gold: Gold) -> DataFrame:
     return (
-        gold.fact_payments.groupBy("payment_type")
+        gold["fact_payments"].groupBy("payment_type")
         .agg(F.count(F.lit(1)).alias("num_payments"))
         .orderBy(*highest("num_payments", ["payment_type"]))
     )
@@ -299,7 +299,7 @@ def untranslated_categories(gold: Gold) -> DataFrame:
     """Categories without an English name, with their products, sales volume and score."""
     volume = (
         left_lookup(
-            gold.item_lines.select("order_id", "product_id"), _reviews_by_order(gold), "order_id"
+            gold["item_lines"].select("order_id", "product_id"), _reviews_by_order(gold), "order_id"
         )
         .groupBy("product_id")
         .agg(
@@ -307,7 +307,7 @@ def untranslated_categories(gold: Gold) -> DataFrame:
             *[F.sum(c).alias(c) for c in ("score_sum", "scores", "reviews")],
         )
     )
-    missing = gold.dim_product.filter(F.col("category_name_english").isNull()).select(
+    missing = gold["dim_product"].filter(F.col("category_name_english").isNull()).select(
         "product_id", "product_category_name"
     )
     return (

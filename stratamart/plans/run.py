@@ -1,10 +1,11 @@
 """The staged run: bronze, silver, gold, checks, publish. Each stage reads the one before."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratamart.lazy import LazyTables
 from stratamart.plans.gold import Gold, gold_from_silver, gold_from_tables
 from stratamart.plans.quality import enforce, gold_suite, silver_suite
 from stratamart.plans.silver import silver as clean_all
@@ -26,7 +27,7 @@ class Lake:
         return cls(*[Layer(f"{root}/{name}", fmt) for name in ("bronze", "silver", "gold")])
 
 
-def write_bronze(lake: Lake, sources: dict[str, DataFrame]) -> dict[str, int]:
+def write_bronze(lake: Lake, sources: Mapping[str, DataFrame]) -> dict[str, int]:
     return lake.bronze.write_all(sources)
 
 
@@ -37,9 +38,10 @@ def write_silver(
     return lake.silver.write_all(cleaned, stamp=PROCESSED_AT)
 
 
-def stored_silver(spark: SparkSession, lake: Lake, tables: list[str]) -> dict[str, DataFrame]:
-    stored = lake.silver.read_all(spark, tables)
-    return {name: df.drop(*METADATA_COLUMNS) for name, df in stored.items()}
+def stored_silver(spark: SparkSession, lake: Lake, tables: list[str]) -> Mapping[str, DataFrame]:
+    return LazyTables(
+        {n: lambda n=n: lake.silver.read(spark, n).drop(*METADATA_COLUMNS) for n in tables}
+    )
 
 
 def write_gold(spark: SparkSession, lake: Lake, tables: list[str]) -> dict[str, int]:
@@ -73,7 +75,7 @@ def publish_to_warehouse(target: JdbcTarget) -> Publisher:
 
 def run(
     spark: SparkSession,
-    sources: dict[str, DataFrame],
+    sources: Mapping[str, DataFrame],
     lake: Lake,
     publish: Publisher | None = None,
     gate_silver: bool = False,

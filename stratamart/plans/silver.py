@@ -5,10 +5,14 @@ before deduplication, so a bad copy of a key cannot displace a good one and the
 reach the scan.
 """
 
+from collections.abc import Mapping
+from functools import partial
+
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.functions.dates import parse_timestamp
 from stratamart.functions.text import lower_trim, trim_only
+from stratamart.lazy import LazyTables
 from stratamart.operators.dedup import keep_first
 from stratamart.operators.filters import require
 from stratamart.specs import METADATA_COLUMNS, SOURCES, SourceSpec
@@ -87,13 +91,11 @@ def clean_category_translation(bronze: DataFrame, normalise_key: bool = False) -
     return clean(bronze, SOURCES["category_translation"], normalise_key)
 
 
-def silver(bronze: dict[str, DataFrame], normalise_translation: bool = False) -> dict[str, DataFrame]:
+def silver(bronze: Mapping[str, DataFrame], normalise_translation: bool = False) -> LazyTables:
     """All cleaners over the bronze tables; tables absent from ``bronze`` are left out."""
-    return {
-        name: clean(
-            df,
-            SOURCES[name],
-            normalise_key=normalise_translation and name == "category_translation",
-        )
-        for name, df in bronze.items()
-    }
+
+    def cleaned(name: str) -> DataFrame:
+        normalise_key = normalise_translation and name == "category_translation"
+        return clean(bronze[name], SOURCES[name], normalise_key)
+
+    return LazyTables({name: partial(cleaned, name) for name in bronze})

@@ -4,8 +4,11 @@ The given tables are clean, so failing checks and cleaning need these. Every row
 table is kept; the remainders below only choose which rows are damaged.
 """
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from stratamart.lazy import LazyTables
 from stratamart.sources import tpch
 
 
@@ -106,12 +109,16 @@ def score_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+DAMAGED = {
+    "customers": customers,
+    "orders": orders,
+    "order_items": order_items,
+    "order_reviews": order_reviews,
+    "category_translation": category_translation,
+}
+
+
+def sources(spark: SparkSession, sf_dir: str) -> LazyTables:
     """All roles, damaged where there is a damaged form."""
-    return tpch.sources(spark, sf_dir) | {
-        "customers": customers(spark, sf_dir),
-        "orders": orders(spark, sf_dir),
-        "order_items": order_items(spark, sf_dir),
-        "order_reviews": order_reviews(spark, sf_dir),
-        "category_translation": category_translation(spark, sf_dir),
-    }
+    roles = tpch.ROLES | DAMAGED
+    return LazyTables({name: partial(role, spark, sf_dir) for name, role in roles.items()})

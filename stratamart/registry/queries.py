@@ -77,7 +77,7 @@ def ingest_metadata(spark, sf_dir):
 def layer_roundtrip(spark, sf_dir):
     """The item fact written twice to a layer and read back."""
     layer = Layer(f"{scratch_directory(spark)}/gold")
-    fact = clean_gold(spark, sf_dir).fact_order_items
+    fact = clean_gold(spark, sf_dir)["fact_order_items"]
     for _ in range(2):
         layer.write(fact, "fact_order_items", stamp=LOADED_AT)
     return layer.read(spark, "fact_order_items").drop(LOADED_AT)
@@ -178,17 +178,8 @@ def _silver_table(name: str, sources: dict[str, Query], **options) -> Query:
     return query
 
 
-FAULTY = {
-    "customers": faults.customers,
-    "orders": faults.orders,
-    "order_items": faults.order_items,
-    "order_reviews": faults.order_reviews,
-    "category_translation": faults.category_translation,
-}
-
-
 def _gold_table(name: str) -> Query:
-    return lambda spark, sf_dir: getattr(clean_gold(spark, sf_dir), name)
+    return lambda spark, sf_dir: clean_gold(spark, sf_dir)[name]
 
 
 def join_left_translation(spark, sf_dir):
@@ -201,13 +192,13 @@ def join_left_translation(spark, sf_dir):
 
 
 def dim_product_faulty(spark, sf_dir):
-    return faulty_gold(spark, sf_dir).dim_product
+    return faulty_gold(spark, sf_dir)["dim_product"]
 
 
 def dim_product_normalised(spark, sf_dir):
     """Translation keys normalised like the product categories."""
     cleaned = silver(faults.sources(spark, sf_dir), normalise_translation=True)
-    return gold_from_silver(cleaned).dim_product
+    return gold_from_silver(cleaned)["dim_product"]
 
 
 def fact_order_items_faulty(spark, sf_dir):
@@ -226,7 +217,7 @@ def _on_both(name: str, **checks) -> Query:
         return quality.union_results(
             [
                 check_table(tpch.ROLES[name](spark, sf_dir), f"clean.{name}", **checks),
-                check_table(FAULTY[name](spark, sf_dir), f"faulty.{name}", **checks),
+                check_table(faults.DAMAGED[name](spark, sf_dir), f"faulty.{name}", **checks),
             ]
         )
 
@@ -303,7 +294,7 @@ QUERIES: dict[str, Query] = {
     "scalar_period_label": scalar_period_label,
     "agg_date_bounds": agg_date_bounds,
     **{f"silver_{name}": _silver_table(name, tpch.ROLES) for name in SOURCES},
-    **{f"silver_{name}_faulty": _silver_table(name, FAULTY) for name in FAULTY},
+    **{f"silver_{name}_faulty": _silver_table(name, faults.DAMAGED) for name in faults.DAMAGED},
     "join_left_translation": join_left_translation,
     **{name: _gold_table(name) for name in GOLD_TABLES},
     "dim_product_faulty": dim_product_faulty,

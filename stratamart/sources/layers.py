@@ -5,9 +5,12 @@ import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from stratamart.lazy import LazyTables
+
 
 @dataclass(frozen=True)
 class Layer:
@@ -23,8 +26,8 @@ class Layer:
             return spark.table(f"{self.location}.{table}")
         return spark.read.format(self.fmt).load(f"{self.location}/{table}")
 
-    def read_all(self, spark: SparkSession, tables: Sequence[str]) -> dict[str, DataFrame]:
-        return {table: self.read(spark, table) for table in tables}
+    def read_all(self, spark: SparkSession, tables: Sequence[str]) -> LazyTables:
+        return LazyTables({table: partial(self.read, spark, table) for table in tables})
 
     def write(
         self,

@@ -5,11 +5,43 @@ these are derived from ``part``, ``orders`` and ``events``. Every role covers it
 table.
 """
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratamart.lazy import LazyTables
+
+
+# The schemas of the tables. Stating them saves the job that reads footers.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,5 +166,5 @@ ROLES = {
 }
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: role(spark, sf_dir) for name, role in ROLES.items()}
+def sources(spark: SparkSession, sf_dir: str) -> LazyTables:
+    return LazyTables({name: partial(role, spark, sf_dir) for name, role in ROLES.items()})
