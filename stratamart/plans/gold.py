@@ -4,7 +4,7 @@ Silver guarantees unique keys, so no dimension is deduplicated again; the qualit
 asserts it instead.
 """
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -121,21 +121,27 @@ def fact_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
-_ORDER_ATTRIBUTES = ("customer_id", "order_status", "order_date_id")
-
-
 class Gold(LazyTables):
     """The star schema plus narrower shapes of ``fact_order_items`` for reports and checks.
 
-    ``item_lines`` has the item columns only. ``order_totals`` has one row per order with
-    items: order attributes and revenue in cents. ``item_customers`` has the customer keys
-    that the items refer to. All three are defined by the fact table. When gold is built
-    from silver in one plan they come from the silver tables directly: item reports then do
+    ``item_lines`` has the item columns only. ``order_totals(attribute)`` has one row per
+    order with items: ``order_id``, one order attribute (order attributes depend on the
+    order alone) and the revenue in cents. ``item_customers`` has the customer keys that
+    the items refer to. All three are defined by the fact table. When gold is built from
+    silver in one plan they come from the silver tables directly: item reports then do
     without the join to orders, and order reports aggregate the items per order *before*
     joining, which makes both join sides unique on ``order_id`` - a huge order is folded on
     the map side and never reaches the join.
     """
 
+    def __init__(
+        self,
+        builders: Mapping[str, Callable[[], DataFrame]],
+        order_totals: Callable[[str], DataFrame],
+    ):
+        super().__init__(builders)
+        self.order_totals = order_totals
+
     def tables(self) -> dict[str, DataFrame]:
         """The published tables."""
         return {name: self[name] for name in GOLD_TABLES}
@@ -151,10 +157,10 @@ def _revenue() -> Column:
 
 
 def gold_from_silver(silver: Mapping[str, DataFrame]) -> Gold:
-    def order_totals() -> DataFrame:
+    def order_totals(attribute: str) -> DataFrame:
         folded = silver["order_items"].groupBy("order_id").agg(_revenue())
-        attributes = _order_attributes(silver["orders"])
-        return folded.join(attributes.select("order_id", *_ORDER_ATTRIBUTES), "order_id", "left")
+        attributes = _order_attributes(silver["orders"]).select("order_id", attribute)
+        return folded.join(attributes, "order_id", "left")
 
     return Gold(
         {
@@ -168,26 +174,26 @@ def gold_from_silver(silver: Mapping[str, DataFrame]) -> Gold:
             "fact_payments": lambda: fact_payments(silver["order_payments"]),
             "fact_reviews": lambda: fact_reviews(silver["order_reviews"]),
             "item_lines": lambda: silver["order_items"],
-            "order_totals": order_totals,
-            "item_customers": lambda: order_totals().select("customer_id"),
-        }
+            "item_customers": lambda: order_totals("customer_id").select("customer_id"),
+        },
+        order_totals,
     )
 
 
 def gold_from_tables(tables: Mapping[str, DataFrame]) -> Gold:
-    """Gold over stored tables. Order attributes depend on ``order_id`` alone, as built above."""
+    """Gold over stored tables."""
 
     def stored(name: str) -> DataFrame:
         return tables[name].drop(*METADATA_COLUMNS)
 
-    def order_totals() -> DataFrame:
-        return stored("fact_order_items").groupBy("order_id", *_ORDER_ATTRIBUTES).agg(_revenue())
+    def order_totals(attribute: str) -> DataFrame:
+        return stored("fact_order_items").groupBy("order_id", attribute).agg(_revenue())
 
     return Gold(
         {
             **{name: partial(stored, name) for name in GOLD_TABLES},
             "item_lines": lambda: stored("fact_order_items"),
-            "order_totals": order_totals,
             "item_customers": lambda: stored("fact_order_items").select("customer_id"),
-        }
+        },
+        order_totals,
     )

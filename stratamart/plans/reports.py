@@ -26,7 +26,7 @@ MIN_PRODUCT_ORDERS = 10
 
 
 def _orders_by(gold: Gold, key: str) -> DataFrame:
-    return gold["order_totals"].groupBy(key).agg(
+    return gold.order_totals(key).groupBy(key).agg(
         F.sum("revenue_cents").alias("revenue_cents"), F.count(F.lit(1)).alias("orders")
     )
 
@@ -179,7 +179,8 @@ def category_reviews(gold: Gold) -> DataFrame:
 
 def order_status(gold: Gold) -> DataFrame:
     return (
-        gold["order_totals"].groupBy("order_status")
+        gold.order_totals("order_status")
+        .groupBy("order_status")
         .agg(F.count(F.lit(1)).alias("num_orders"))
         .orderBy(*highest("num_orders", ["order_status"]))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.lazy import LazyTables
 from stratamart.plans.gold import Gold, gold_from_silver, gold_from_tables
-from stratamart.plans.quality import enforce, gold_suite, silver_suite
+from stratamart.plans.quality import bronze_type_suite, enforce, gold_suite, silver_suite
 from stratamart.plans.silver import silver as clean_all
 from stratamart.sources.jdbc import JdbcTarget
 from stratamart.sources.layers import Layer
@@ -78,16 +78,20 @@ def run(
     sources: Mapping[str, DataFrame],
     lake: Lake,
     publish: Publisher | None = None,
+    gate_bronze: bool = False,
     gate_silver: bool = False,
     normalise_translation: bool = False,
 ) -> dict[str, dict[str, int]]:
     """All stages; returns the rows written per stage and table.
 
     A failed check raises before anything is published. ``gate_silver`` also stops before
-    gold is built. Every stage replaces its tables, so a run can be repeated.
+    gold is built, ``gate_bronze`` before cleaning if text does not read as its declared
+    type. Every stage replaces its tables, so a run can be repeated.
     """
     tables = list(sources)
     written = {"bronze": write_bronze(lake, sources)}
+    if gate_bronze:
+        enforce(bronze_type_suite(lake.bronze.read_all(spark, tables)))
     written["silver"] = write_silver(spark, lake, tables, normalise_translation)
     silver_results = silver_suite(stored_silver(spark, lake, tables))
     if gate_silver:

@@ -58,8 +58,11 @@ def test_lazy_and_stored_gold_agree(spark):
     """The shapes taken from silver equal those derived from the stored fact table."""
     built = faulty_gold(spark, SF_DIR)
     stored = gold.gold_from_tables(built.tables())
-    for shape in ("order_totals", "item_lines", "item_customers"):
-        a, b = built[shape], stored[shape]
+    for shape in ("item_lines", "item_customers", "customer_id", "order_status", "order_date_id"):
+        if shape.startswith("item_"):
+            a, b = built[shape], stored[shape]
+        else:
+            a, b = built.order_totals(shape), stored.order_totals(shape)
         columns = sorted(set(a.columns) & set(b.columns))
         a, b = a.select(columns), b.select(columns)
         if shape == "item_customers":

@@ -106,6 +106,14 @@ def test_failed_check_blocks_publishing(spark, tmp_path):
     assert not called
 
 
+def test_bronze_gate_stops_before_cleaning(spark, tmp_path):
+    lake = Lake.under(str(tmp_path))
+    sources = dict(tpch.sources(spark, SF_DIR)) | {"order_reviews": faults.score_text(spark, SF_DIR)}
+    with pytest.raises(DataQualityError, match="review_score"):
+        run(spark, sources, lake, gate_bronze=True)
+    assert not (tmp_path / "silver").exists()
+
+
 def test_jdbc_settings():
     target = JdbcTarget("jdbc:x", "u", "p", "d", connections=4, batch_size=5, truncate=True)
     assert target.write_options("t") == {
