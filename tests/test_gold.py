@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratamart.plans import gold
+from stratamart.plans.reports import REPORTS
 from stratamart.plans.silver import silver
 from stratamart.registry import faults
 from stratamart.registry.queries import clean_gold, faulty_gold
@@ -101,18 +102,30 @@ def executed_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_one_order_with_a_third_of_all_items_is_split(spark, small_skew_limits):
-    """Both sides come from deduplication, and the join still splits the hot key."""
+@pytest.fixture
+def hot_silver(spark):
+    """Cleaned tables in which one order has a third of all items."""
     sources = dict(faults.sources(spark, f"{TESTDATA}/sf0.01"))
     hot = F.when(F.col("product_id") % 3 == 0, 7).otherwise(F.col("order_id"))
-    number = F.monotonically_increasing_id()
     sources["order_items"] = (
-        sources["order_items"].repartition(16).withColumns({"order_id": hot, "order_item_id": number})
+        sources["order_items"]
+        .repartition(16)
+        .withColumns({"order_id": hot, "order_item_id": F.monotonically_increasing_id()})
     )
-    cleaned = silver(sources)
-    fact = gold.fact_order_items(cleaned["order_items"], cleaned["orders"])
+    return silver(sources)
+
+
+def test_the_fact_join_splits_a_hot_order(spark, small_skew_limits, hot_silver):
+    """Both sides come from deduplication, and adaptive execution still splits the key."""
+    fact = gold.gold_from_silver(hot_silver)["fact_order_items"]
     assert "SortMergeJoin(skew=true)" in executed_plan(fact)
-    assert fact.count() == cleaned["order_items"].count()
+    assert fact.count() == hot_silver["order_items"].count()
+
+
+@pytest.mark.parametrize("name", ["q06_category_reviews", "gap_untranslated_categories"])
+def test_review_joins_split_a_hot_order(spark, small_skew_limits, hot_silver, name):
+    report = REPORTS[name](gold.gold_from_silver(hot_silver))
+    assert "SortMergeJoin(skew=true)" in executed_plan(report)
 
 
 def test_no_python_and_no_broadcast_hint_in_the_fact(spark, small_skew_limits):
