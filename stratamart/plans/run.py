@@ -1,7 +1,8 @@
 """The staged run: bronze, silver, gold, checks, publish. Each stage reads the one before."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,7 @@ from stratamart.sources.jdbc import JdbcTarget
 from stratamart.sources.layers import Layer
 from stratamart.specs import GOLD_TABLES, LOADED_AT, METADATA_COLUMNS, PROCESSED_AT
 
+Layout = Mapping[str, Sequence[str]]
 Publisher = Callable[[SparkSession, dict[str, DataFrame], dict[str, int]], dict[str, int]]
 
 
@@ -44,15 +46,22 @@ def stored_silver(spark: SparkSession, lake: Lake, tables: list[str]) -> Mapping
     )
 
 
-def write_gold(spark: SparkSession, lake: Lake, tables: list[str]) -> dict[str, int]:
+def write_gold(
+    spark: SparkSession, lake: Lake, tables: list[str], layout: Layout | None = None
+) -> dict[str, int]:
     built = gold_from_silver(stored_silver(spark, lake, tables))
-    return lake.gold.write_all(built.tables(), stamp=LOADED_AT)
+    return lake.gold.write_all(built.tables(), stamp=LOADED_AT, layout=layout)
 
 
 def stored_gold(spark: SparkSession, lake: Lake) -> Gold:
     return gold_from_tables(lake.gold.read_all(spark, GOLD_TABLES))
 
 
+def warehouse_gold(spark: SparkSession, target: JdbcTarget) -> Gold:
+    """The published tables read back over JDBC, for reports on the warehouse itself."""
+    return gold_from_tables(LazyTables({n: partial(target.read, spark, n) for n in GOLD_TABLES}))
+
+
 def publish_to_layer(target: Layer) -> Publisher:
     """Publish by copying the gold tables to another layer."""
 
@@ -81,12 +90,15 @@ def run(
     gate_bronze: bool = False,
     gate_silver: bool = False,
     normalise_translation: bool = False,
+    layout: Layout | None = None,
 ) -> dict[str, dict[str, int]]:
     """All stages; returns the rows written per stage and table.
 
     A failed check raises before anything is published. ``gate_silver`` also stops before
     gold is built, ``gate_bronze`` before cleaning if text does not read as its declared
-    type. Every stage replaces its tables, so a run can be repeated.
+    type. ``layout`` maps gold tables to the columns they are laid out by, for example
+    ``{"fact_order_items": ["order_date_id"]}``. Every stage replaces its tables, so a run
+    can be repeated.
     """
     tables = list(sources)
     written = {"bronze": write_bronze(lake, sources)}
@@ -96,7 +108,7 @@ def run(
     silver_results = silver_suite(stored_silver(spark, lake, tables))
     if gate_silver:
         enforce(silver_results)
-    written["gold"] = write_gold(spark, lake, tables)
+    written["gold"] = write_gold(spark, lake, tables, layout)
     gold = stored_gold(spark, lake)
     gold_results = gold_suite(gold)
     enforce(gold_results if gate_silver else silver_results.unionByName(gold_results))

@@ -131,9 +131,9 @@ CTES: dict[str, str] = {
     "faulty_customers": """
         SELECT * FROM damaged_customers
         UNION ALL
-        SELECT customer_id, customer_unique_id, customer_zip_code_prefix, 'elsewhere',
+        SELECT customer_id, customer_unique_id, customer_zip_code_prefix, 'Another',
                customer_state
-        FROM damaged_customers WHERE customer_id % 10 = 0""",
+        FROM damaged_customers""",
     "faulty_orders": """
         SELECT CASE WHEN order_id % 101 <> 0 THEN order_id END AS order_id,
                CASE WHEN order_id % 89 <> 0 THEN customer_id END AS customer_id,

@@ -30,6 +30,8 @@ def read_csv(
     ends itself (see :mod:`stratamart.sources.csv_split`).
     """
     if split_files:
+        if infer_schema or record_separator is not None:
+            raise ValueError("split_files reads text columns and finds record ends itself")
         return _split_csv(spark, path).drop(SOURCE_FILE)
     reader = spark.read.options(**DIALECT).option("inferSchema", str(infer_schema).lower())
     if record_separator is None:

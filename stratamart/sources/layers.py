@@ -61,11 +61,22 @@ class Layer:
         return counted.get["rows"]
 
     def write_all(
-        self, tables: Mapping[str, DataFrame], stamp: str | None = None, at_once: int = 4
+        self,
+        tables: Mapping[str, DataFrame],
+        stamp: str | None = None,
+        layout: Mapping[str, Sequence[str]] | None = None,
+        at_once: int = 4,
     ) -> dict[str, int]:
-        """Write independent tables, a few at a time, so that small ones share the cluster."""
+        """Write independent tables, a few at a time, so that small ones share the cluster.
+
+        ``layout`` maps tables to the columns they are laid out by.
+        """
+        columns = layout or {}
         with ThreadPoolExecutor(max_workers=at_once) as pool:
-            jobs = {name: pool.submit(self.write, df, name, stamp) for name, df in tables.items()}
+            jobs = {
+                name: pool.submit(self.write, df, name, stamp, columns.get(name, ()))
+                for name, df in tables.items()
+            }
             return {name: job.result() for name, job in jobs.items()}
 
 

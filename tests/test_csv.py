@@ -91,6 +91,12 @@ def test_record_separator_splits_on_it_only(spark, tmp_path):
     assert [(r.id, r.note) for r in rows] == [("1", "a\nb"), ("2", "c")]
 
 
+def test_split_reader_takes_no_other_mode(spark):
+    for options in ({"infer_schema": True}, {"record_separator": "\r\n"}):
+        with pytest.raises(ValueError):
+            read_csv(spark, "anywhere", split_files=True, **options)
+
+
 def test_codes_keep_leading_zeros_unless_inferred(spark, tmp_path):
     (tmp_path / "f.csv").write_text("zip\n01310\n")
     assert read_csv(spark, str(tmp_path)).first().zip == "01310"

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from stratamart.plans.quality import DataQualityError
 from stratamart.plans.reports import REPORTS
-from stratamart.plans.run import Lake, publish_to_layer, publish_to_warehouse, run, stored_gold
+from stratamart.plans.run import (
+    Lake,
+    publish_to_layer,
+    publish_to_warehouse,
+    run,
+    stored_gold,
+    warehouse_gold,
+)
 from stratamart.registry import faults
 from stratamart.registry.queries import clean_gold
 from stratamart.sources import tpch
@@ -81,10 +88,12 @@ def test_run_writes_every_stage(spark, finished):
 def test_run_twice_gives_equal_tables(spark, finished):
     lake, _, counts = finished
     before = {n: df.collect() for n, df in stored_gold(spark, lake).tables().items()}
-    again = run(spark, tpch.sources(spark, SF_DIR), lake, gate_silver=True)
+    layout = {"fact_order_items": ["order_date_id"]}
+    again = run(spark, tpch.sources(spark, SF_DIR), lake, gate_silver=True, layout=layout)
     assert again["gold"] == counts["gold"]
     for name, df in stored_gold(spark, lake).tables().items():
-        assert sorted(map(str, df.collect())) == sorted(map(str, before[name]))
+        columns = before[name][0].asDict()
+        assert sorted(map(str, df.select(*columns).collect())) == sorted(map(str, before[name]))
 
 
 @pytest.mark.parametrize("name", sorted(REPORTS))
@@ -141,6 +150,14 @@ def test_warehouse_publisher_verifies_counts(spark, monkeypatch):
         publish(spark, {"a": None}, {"a": 1})
 
 
+def test_reports_read_the_warehouse(spark, finished, monkeypatch):
+    lake, published, _ = finished
+    monkeypatch.setattr(JdbcTarget, "read", lambda self, spark, table: published.read(spark, table))
+    gold = warehouse_gold(spark, JdbcTarget("jdbc:x"))
+    for name in ("q03_top_sellers", "kpi_totals"):
+        assert REPORTS[name](gold).collect() == REPORTS[name](stored_gold(spark, lake)).collect()
+
+
 def test_session_settings():
     plain = session_conf()
     assert plain["spark.sql.ansi.enabled"] == "true" and "spark.jars" not in plain
