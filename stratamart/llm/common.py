@@ -1,6 +1,6 @@
 """Small helpers that several operators share."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Words are split at these code points only (space, tab, line ends, form feeds).
 SPACES = " \t\n\x0b\x0c\r"
@@ -14,3 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def partitions_for(spark: SparkSession, least: int = 1) -> int:
     """Shuffle partitions the session asks for: the deployment's measure of the input."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def let(value, body):
+    """``body`` of a value that is evaluated once, also where body uses it for many items."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def words_of(text):
+    """Array column of the words of a text column; null counts as empty."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import quality
+from stratamart.llm import fingerprints, packing, quality
 from stratamart.llm.common import table
 
 
@@ -22,4 +22,34 @@ def op8_quality_rules(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules,)}
+def op4_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_fingerprints(spark, sf_dir):
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    sketched = fingerprints.with_next(
+        docs, {"text": F.col("text"), "sketch": fingerprints.sketch(F.col("text"))}
+    )
+    n = F.length("text")
+    tail = F.floor(n / 4).cast("int")
+    edited = F.concat(
+        F.substring("text", F.lit(1), n - tail), F.substring("next_text", F.lit(1), tail)
+    )
+    return (
+        sketched.withColumn("edited", edited)
+        .withColumn("edited_sketch", fingerprints.sketch(F.col("edited")))
+        .select(
+            "doc_id",
+            n.cast("long").alias("n_chars"),
+            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+            fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+            fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+            fingerprints.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+            fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        )
+    )
+
+
+QUERIES = {f.__name__: f for f in (op4_packing, op8_quality_rules, op9_fingerprints)}
