@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, fingerprints, licences, packing, quality
+from stratamart.llm import chat, fingerprints, licences, packing, quality, toxicity
 from stratamart.llm.common import table
 
 
@@ -33,6 +33,17 @@ def op5_chat_formatting(spark, sf_dir):
     )
 
 
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_license_scans(spark, sf_dir):
     return licences.scan(table(spark, sf_dir, "documents"))
 
@@ -83,4 +94,4 @@ def op9_fingerprints(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op5_chat_formatting, op7_license_scans, op8_quality_rules, op9_fingerprints)}
+QUERIES = {f.__name__: f for f in (op4_packing, op5_chat_formatting, op6_toxicity, op7_license_scans, op8_quality_rules, op9_fingerprints)}
