@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, fingerprints, licences, packing, quality, toxicity
+from stratamart.llm import chat, fingerprints, licences, packing, pieces, quality, toxicity
 from stratamart.llm.common import table
 
 
@@ -94,4 +94,17 @@ def op9_fingerprints(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op5_chat_formatting, op6_toxicity, op7_license_scans, op8_quality_rules, op9_fingerprints)}
+def op10_sentencepiece(spark, sf_dir):
+    encoded = pieces.encode(table(spark, sf_dir, "documents"))
+    exact = pieces.decode(F.col("ids")) == F.coalesce("text", F.lit(""))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "score",
+        "ids",
+        "others",
+        exact.alias("round_trip"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op4_packing, op5_chat_formatting, op6_toxicity, op7_license_scans, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
