@@ -69,4 +69,35 @@ ORACLE = {
                CAST(formatted_chars AS BIGINT) AS formatted_chars
         FROM said
     """,
+    "op3_line_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+        ), every AS (
+            SELECT doc_id, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM split
+        ), worded AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n
+            FROM every WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        ), windows AS (
+            SELECT doc_id, n, line || chr(10) || lead(line) OVER w || chr(10)
+                              || lead(line, 2) OVER w AS run
+            FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+        ), later AS (
+            SELECT doc_id, n FROM windows WHERE run IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, n) > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, n + k AS n FROM later, (VALUES (0), (1), (2)) AS s(k)
+        ), marked AS (
+            SELECT worded.doc_id, worded.pos, gone.n IS NOT NULL AS cut
+            FROM worded LEFT JOIN gone ON gone.doc_id = worded.doc_id AND gone.n = worded.n
+        ), rebuilt AS (
+            SELECT every.doc_id, count(marked.pos) AS n_lines, count(*) FILTER (cut) AS n_removed,
+                   coalesce(string_agg(line, chr(10) ORDER BY every.pos)
+                            FILTER (cut IS NOT TRUE), '') AS text
+            FROM every LEFT JOIN marked ON marked.doc_id = every.doc_id AND marked.pos = every.pos
+            GROUP BY every.doc_id
+        )
+        SELECT split.doc_id, CASE WHEN split.text IS NULL THEN NULL ELSE coalesce(rebuilt.text, '') END AS text,
+               coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+        FROM split LEFT JOIN rebuilt ON rebuilt.doc_id = split.doc_id
+    """,
 }

@@ -30,15 +30,17 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 SPACE = "▁"
 #: Stands for a U+2581 of the text itself while it is segmented; no valid text holds it.
 OWN = "\ud800"
 N_BEST = 4
 #: Characters of texts whose parts are segmented together, and the longest part done so.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
 ARRAY_LENGTH = 48
+#: Parts whose search results a task keeps at once.
+KEPT_PARTS = 50_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,6 +78,7 @@ class Pieces:
             raise ValueError(f"{path}: a piece crosses the start of a word")
         part = rf"{SPACE}+[^{SPACE}{apart}]*|[^{SPACE}{apart}]+"
         self.split = re.compile(f"[{apart}]|{part}" if apart else part).findall
+        self.kept: dict[str, list] = {}
         names = list(self.scores)
         keys = np.array([self._key(name) for name in names], np.uint64)
         order = np.argsort(keys)
@@ -200,7 +203,12 @@ class Pieces:
 
     def choices(self, part: str, best: tuple[float, tuple[int, ...]]):
         """The segmentations of a part, the given best one first."""
-        rest = [found for found in self.search(part) if found != best]
+        found = self.kept.get(part)
+        if found is None:
+            if len(self.kept) >= KEPT_PARTS:
+                self.kept.clear()
+            found = self.kept[part] = self.search(part)
+        rest = [one for one in found if one != best]
         return [best, *rest[: self.n_best - 1]]
 
     def encode_all(self, texts: list[str | None]) -> list[tuple]:
@@ -210,8 +218,9 @@ class Pieces:
         go, ids that come instead).
         """
         split = [self.parts(text) if text else [] for text in texts]
-        names = list(dict.fromkeys(chain.from_iterable(split)))
-        number = {name: i for i, name in enumerate(names)}
+        every = np.array([*chain.from_iterable(split), None], object)[:-1]
+        numbers, distinct = pd.factorize(every)
+        names = distinct.tolist()
         score, loss = np.zeros(len(names)), np.full(len(names), np.inf)
         by_length: dict[int, list[int]] = defaultdict(list)
         for i, name in enumerate(names):
@@ -233,8 +242,10 @@ class Pieces:
         count = np.bincount(part, minlength=len(names))
         begin = np.cumsum(count) - count
         out = []
+        done = 0
         for parts in split:
-            at = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+            at = numbers[done : done + len(parts)]
+            done += len(parts)
             sizes = count[at]
             ends = np.cumsum(sizes)
             starts = ends - sizes
@@ -281,48 +292,40 @@ class Pieces:
 CHANGES = "array<struct<at:int,gone:int,ids:array<int>>>"
 
 
-def _blocks(texts) -> Iterator[list]:
+def _blocks(texts: pd.Series) -> Iterator[pd.Series]:
     """Texts in blocks of bounded size (a single text may be longer)."""
-    block, size = [], 0
-    for text in texts:
-        block.append(text)
-        size += len(text or "")
-        if size >= BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-    yield block
-
-
-def encode(docs: DataFrame, vocab: str | None = None, n_best: int = N_BEST) -> DataFrame:
-    """``doc_id, text, ids, score, others`` per row; ``others`` as ``Pieces.encode`` gives them."""
+    chars = texts.map(lambda text: len(text or "")).cumsum()
+    for _, block in texts.groupby(chars // BLOCK_CHARS, sort=True):
+        yield block
+
+
+SEGMENTED = f"struct<ids:array<int>,score:double,others:array<struct<score:double,changes:{CHANGES}>>>"
+
+
+def encode(text: Column, vocab: str | None = None, n_best: int = N_BEST) -> Column:
+    """Column of structs ``ids, score, others`` for a column of texts, see ``Pieces.encode_all``."""
     path = vocab or vocabulary()
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(SEGMENTED)
+    def segmented(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(path, n_best)
+
+        def frame(texts: pd.Series) -> pd.DataFrame:
+            rows = pieces.encode_all(texts.tolist())
+            others = [
+                [
+                    {"score": s, "changes": [{"at": a, "gone": g, "ids": i} for a, g, i in changes]}
+                    for s, changes in found
+                ]
+                for _, _, found in rows
+            ]
+            columns = {"ids": [r[0] for r in rows], "score": [r[1] for r in rows], "others": others}
+            return pd.DataFrame(columns)
+
         for batch in batches:
-            rows = [row for block in _blocks(batch["text"]) for row in pieces.encode_all(block)]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "text": batch["text"],
-                    "ids": [ids for ids, _, _ in rows],
-                    "score": [score for _, score, _ in rows],
-                    "others": [
-                        [
-                            {"score": s, "changes": [{"at": a, "gone": g, "ids": i} for a, g, i in changes]}
-                            for s, changes in others
-                        ]
-                        for _, _, others in rows
-                    ],
-                }
-            )
+            yield pd.concat([frame(block) for block in _blocks(batch)], ignore_index=True)
 
-    schema = (
-        f"doc_id {kind}, text string, ids array<int>, score double,"
-        f" others array<struct<score:double,changes:{CHANGES}>>"
-    )
-    return docs.select("doc_id", "text").mapInPandas(task, schema)
+    return segmented(text)
 
 
 def apply_changes(ids: Column, changes: Column) -> Column:

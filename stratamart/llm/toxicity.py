@@ -86,28 +86,34 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _telling_terms(sets: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Sorted hashes of the terms whose toxic share differs most from the overall share."""
+    none = [np.zeros(0, np.uint32)]
+    vocabulary, df = np.unique(np.concatenate(none + sets), return_counts=True)
+    often = df >= LEAST_DF
+    vocabulary, df = vocabulary[often], df[often]
+    seen, counts = np.unique(
+        np.concatenate(none + [s for s, label in zip(sets, labels) if label]), return_counts=True
+    )
+    toxic = np.zeros(len(vocabulary))
+    _, at, from_ = np.intersect1d(vocabulary, seen, assume_unique=True, return_indices=True)
+    toxic[at] = counts[from_]
+    share = float(labels.mean()) if len(labels) else 0.0
+    spread = np.sqrt(np.maximum(df * share * (1 - share), 1e-9))
+    tells = np.abs(toxic - df * share) / spread
+    return np.sort(vocabulary[np.argsort(-tells, kind="stable")[:TERMS]])
+
+
 def fit(sets: list[np.ndarray], labels: np.ndarray, rounds: int = 120, rate: float = 0.05) -> Model:
     """Fit by Adam on the whole sample at once; deterministic."""
     n, positive = len(sets), float(labels.sum())
     bias = float(np.log((positive + 0.5) / (n - positive + 1.5)))
-    every = np.concatenate(sets) if n else np.zeros(0, np.uint32)
-    rows = np.repeat(np.arange(n), [len(s) for s in sets])
-    vocabulary, column = np.unique(every, return_inverse=True)
-    df = np.bincount(column, minlength=len(vocabulary))
-    toxic = np.bincount(column, labels[rows], len(vocabulary)) if n else np.zeros(0)
-    # How far the toxic share among a term's documents is from the overall share.
-    share = positive / max(n, 1)
-    spread = np.sqrt(np.maximum(df * share * (1 - share), 1e-9))
-    tells = np.where(df >= LEAST_DF, np.abs(toxic - df * share) / spread, -1)
-    chosen = np.sort(np.argsort(-tells, kind="stable")[:TERMS])
-    chosen = chosen[tells[chosen] > 0]
-    place = np.full(len(vocabulary), -1)
-    place[chosen] = np.arange(len(chosen))
-    columns = place[column] if n else np.zeros(0, np.int64)
-    rows, columns = rows[columns >= 0], columns[columns >= 0]
-    m = len(chosen)
-    random = np.random.default_rng(7)
-    model = Model(vocabulary[chosen], bias, np.zeros(m), random.normal(0, 0.01, (m, FACTORS)))
+    hashes = _telling_terms(sets, labels)
+    m = len(hashes)
+    model = Model(hashes, bias, np.zeros(m), np.random.default_rng(7).normal(0, 0.01, (m, FACTORS)))
+    known = [model.known(s) for s in sets]
+    rows = np.repeat(np.arange(n), [len(k) for k in known])
+    columns = np.concatenate(known) if n else np.zeros(0, np.int64)
     if not m or positive in (0, n):
         model.vectors[:] = 0
         return model
