@@ -100,4 +100,33 @@ ORACLE = {
                coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
         FROM split LEFT JOIN rebuilt ON rebuilt.doc_id = split.doc_id
     """,
+    "op2_ngram_jaccard": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i : i + 3], ' ') AS s
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS i
+                  FROM split WHERE len(words) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), overlap_counts AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+            GROUP BY x.doc_id, y.doc_id
+        ), links AS (
+            SELECT a, b FROM overlap_counts JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * shared >= 85 * (p.n + q.n - shared)
+        ), reach AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        )
+        SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, least(min(b), d.doc_id) AS component_id
+        FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+        LEFT JOIN reach ON reach.a = d.doc_id
+        GROUP BY d.doc_id
+    """,
 }

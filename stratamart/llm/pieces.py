@@ -30,7 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 SPACE = "▁"
 #: Stands for a U+2581 of the text itself while it is segmented; no valid text holds it.
@@ -292,26 +292,24 @@ class Pieces:
 CHANGES = "array<struct<at:int,gone:int,ids:array<int>>>"
 
 
-def _blocks(texts: pd.Series) -> Iterator[pd.Series]:
-    """Texts in blocks of bounded size (a single text may be longer)."""
-    chars = texts.map(lambda text: len(text or "")).cumsum()
-    for _, block in texts.groupby(chars // BLOCK_CHARS, sort=True):
+def _blocks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows in blocks of bounded size (a single text may be longer)."""
+    chars = batch["text"].map(lambda text: len(text or "")).cumsum()
+    for _, block in batch.groupby(chars // BLOCK_CHARS, sort=True):
         yield block
 
 
-SEGMENTED = f"struct<ids:array<int>,score:double,others:array<struct<score:double,changes:{CHANGES}>>>"
+def encode(docs: DataFrame, vocab: str | None = None, n_best: int = N_BEST) -> DataFrame:
+    """``doc_id, ids, score, others, exact`` per row, see ``Pieces.encode_all``.
 
-
-def encode(text: Column, vocab: str | None = None, n_best: int = N_BEST) -> Column:
-    """Column of structs ``ids, score, others`` for a column of texts, see ``Pieces.encode_all``."""
+    ``exact`` tells whether the ids decode to the text they came from.
+    """
     path = vocab or vocabulary()
 
-    @F.pandas_udf(SEGMENTED)
-    def segmented(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(path, n_best)
-
-        def frame(texts: pd.Series) -> pd.DataFrame:
-            rows = pieces.encode_all(texts.tolist())
+        for block in (block for batch in batches for block in _blocks(batch)):
+            rows = pieces.encode_all(block["text"].tolist())
             others = [
                 [
                     {"score": s, "changes": [{"at": a, "gone": g, "ids": i} for a, g, i in changes]}
@@ -319,13 +317,22 @@ def encode(text: Column, vocab: str | None = None, n_best: int = N_BEST) -> Colu
                 ]
                 for _, _, found in rows
             ]
-            columns = {"ids": [r[0] for r in rows], "score": [r[1] for r in rows], "others": others}
-            return pd.DataFrame(columns)
-
-        for batch in batches:
-            yield pd.concat([frame(block) for block in _blocks(batch)], ignore_index=True)
+            exact = [pieces.decode(r[0].tolist()) == (t or "") for r, t in zip(rows, block["text"])]
+            yield pd.DataFrame(
+                {
+                    "doc_id": block["doc_id"].array,
+                    "ids": [ids for ids, _, _ in rows],
+                    "score": [score for _, score, _ in rows],
+                    "others": others,
+                    "exact": exact,
+                }
+            )
 
-    return segmented(text)
+    schema = (
+        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, score double,"
+        f" others array<struct<score:double,changes:{CHANGES}>>, exact boolean"
+    )
+    return docs.select("doc_id", "text").mapInPandas(task, schema)
 
 
 def apply_changes(ids: Column, changes: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, fingerprints, licences, lines, packing, pieces, quality, toxicity
+from stratamart.llm import chat, fingerprints, jaccard, licences, lines, packing, pieces, quality, toxicity
 from stratamart.llm.common import table
 
 
@@ -64,6 +64,10 @@ def op8_quality_rules(spark, sf_dir):
     )
 
 
+def op2_ngram_jaccard(spark, sf_dir):
+    return jaccard.link(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.deduplicate(docs).select("doc_id", "text", "lines.n_lines", "lines.n_removed")
@@ -100,17 +104,11 @@ def op9_fingerprints(spark, sf_dir):
 
 
 def op10_sentencepiece(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = docs.withColumn("best", pieces.encode(F.col("text")))
-    exact = pieces.decode(F.col("best.ids")) == F.coalesce("text", F.lit(""))
+    encoded = pieces.encode(table(spark, sf_dir, "documents"))
+    n_pieces = F.size("ids").cast("long").alias("n_pieces")
     return encoded.select(
-        "doc_id",
-        F.size("best.ids").cast("long").alias("n_pieces"),
-        "best.score",
-        "best.ids",
-        "best.others",
-        exact.alias("round_trip"),
+        "doc_id", n_pieces, "score", "ids", "others", F.col("exact").alias("round_trip")
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op4_packing, op5_chat_formatting, op6_toxicity, op7_license_scans, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_line_dedup, op4_packing, op5_chat_formatting, op6_toxicity, op7_license_scans, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
