@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, fingerprints, jaccard, licences, lines, packing, pieces, quality, toxicity
+from stratamart.llm import chat, fingerprints, jaccard, licences, lines, packing, pieces, quality, suffixes, toxicity
 from stratamart.llm.common import table
 
 
@@ -64,6 +64,12 @@ def op8_quality_rules(spark, sf_dir):
     )
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op2_ngram_jaccard(spark, sf_dir):
     return jaccard.link(table(spark, sf_dir, "documents"))
 
@@ -111,4 +117,4 @@ def op10_sentencepiece(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_line_dedup, op4_packing, op5_chat_formatting, op6_toxicity, op7_license_scans, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_ngram_jaccard, op3_line_dedup, op4_packing, op5_chat_formatting, op6_toxicity, op7_license_scans, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
