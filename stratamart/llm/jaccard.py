@@ -130,13 +130,13 @@ def _blocks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield block
 
 
-def _frequent(docs: DataFrame, sample: int = ORDER_SAMPLE) -> np.ndarray:
+def _frequent(docs: DataFrame, size: int, sample: int = ORDER_SAMPLE) -> np.ndarray:
     """Shingles in many documents of a sample by id hash: at most shingles per text / FREQUENT."""
     share = sample / max(1, docs.count())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in (block for batch in batches for block in _blocks(batch)):
-            found = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(block["text"])])
+            found = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(block["text"], size)])
             values, n = np.unique(found, return_counts=True)
             yield pd.DataFrame({"element": values.view(np.int64), "n": n, "docs": 0})
             yield pd.DataFrame({"element": [0], "n": [0], "docs": [len(block)]})
@@ -155,12 +155,12 @@ def _frequent(docs: DataFrame, sample: int = ORDER_SAMPLE) -> np.ndarray:
     return np.sort(rows["element"].to_numpy(np.int64).view(np.uint64))
 
 
-def _scan(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+def _scan(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
     """Per row: size and digest of the set, its prefix and its bitmap."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in (block for batch in batches for block in _blocks(batch)):
-            sets = shingle_sets(block["text"])
+            sets = shingle_sets(block["text"], size)
             yield pd.DataFrame(
                 {
                     "doc_id": block["doc_id"].array,
@@ -177,10 +177,10 @@ def _scan(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, size: int) -> DataFrame:
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in (block for batch in batches for block in _blocks(batch)):
-            sets = [s.tobytes() for s in shingle_sets(block["text"])]
+            sets = [s.tobytes() for s in shingle_sets(block["text"], size)]
             yield pd.DataFrame({"doc_id": block["doc_id"].array, "elements": sets})
 
     return docs.mapInPandas(task, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, elements binary")
@@ -322,10 +322,10 @@ def _tile_edges(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("tile").applyInPandas(task, f"a {kind}, b {kind}")
 
 
-def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row: the smallest id that links lead to."""
     rows = docs.select("doc_id", "text")
-    scanned = stored(_scan(rows, _frequent(rows), percent))
+    scanned = stored(_scan(rows, _frequent(rows, size), size, percent))
     digests = scanned.groupBy("digest").agg(F.min("doc_id").alias("class"))
     named = scanned.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     first = named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
@@ -339,7 +339,7 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .unionByName(tiles.select(F.col("id").alias("doc_id")))
         .distinct()
     )
-    sets = stored(_sets(rows.join(wanted, "doc_id", "left_semi")).distinct())
+    sets = stored(_sets(rows.join(wanted, "doc_id", "left_semi"), size).distinct())
     edges = _linked(pairs, sets, percent).unionByName(_tile_edges(tiles, sets, percent))
     joined = components(edges)
     least = digests.join(joined, F.col("class") == F.col("node"), "left").select(
@@ -351,3 +351,13 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The documents less those linked, by any chain, with one of a smaller id.
+
+    Rows that share a kept id all stay, as do rows with a null id.
+    """
+    linked = link(docs, size, percent)
+    gone = linked.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti")

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from stratamart.llm.common import SPACES, WORD
 
@@ -86,7 +86,12 @@ def _repeat_words(words: list[str]) -> int:
     return count
 
 
-def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+MEASURED = T.StructType([T.StructField(name, T.LongType()) for name in MEASURES])
+
+
+@F.pandas_udf(MEASURED)
+def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """All measurements of a column of texts."""
     find, upper = re.compile(WORD).findall, re.compile("[A-Z]").findall
 
     def row(text: str | None) -> tuple:
@@ -104,22 +109,14 @@ def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
     for batch in batches:
-        measured = pd.DataFrame([row(t) for t in batch["text"]], columns=list(MEASURES))
-        measured.insert(0, "id", batch["id"])
-        yield measured
+        yield pd.DataFrame([row(text) for text in batch], columns=list(MEASURES))
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, the measurements, ``failures`` (a bit per rule)."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, " + ", ".join(f"{name} long" for name in MEASURES)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    measured = docs.select(F.col(id_col), measure(F.col(text_col)).alias("measured"))
     failures = " + ".join(f"IF({rule.fails}, {rule.mask}L, 0L)" for rule in RULES)
-    return (
-        rows.mapInPandas(_measure, schema)
-        .withColumn("failures", F.expr(failures))
-        .withColumnRenamed("id", id_col)
-    )
+    return measured.select(id_col, "measured.*").withColumn("failures", F.expr(failures))
 
 
 def kept(policy: str = CURRENT):
@@ -161,11 +158,7 @@ def ablation(ledger: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The documents a policy keeps, with all their columns.
-
-    The verdict is joined on the id. An id that stands on several rows keeps a row only if
-    every text under that id passes; rows with a null id are rejected.
-    """
-    rejected = F.bit_or("failures").bitwiseAND(F.lit(mask_of(POLICIES[policy])))
-    good = ledger(docs).groupBy("doc_id").agg(rejected.alias("bits")).filter("bits = 0")
-    return docs.join(good.select("doc_id"), "doc_id", "left_semi")
+    """The rows a policy keeps, with all their columns and no shuffle."""
+    rows = docs.select(F.struct("*").alias("row"))
+    judged = ledger(rows.select("row", F.col("row.text").alias("text")), "row")
+    return judged.filter(kept(policy)).select("row.*")

@@ -37,7 +37,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from stratamart.llm.common import partitions_for
 from stratamart.llm.graphs import stored
@@ -269,7 +269,7 @@ class Positions:
 
 
 PAIRED = {1: False, 2: True, 3: False, 4: True}
-REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+REMOVED = "doc_id long, digest long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def _removed(docs: pd.DataFrame, answers: pd.DataFrame, threshold: int) -> pd.DataFrame:
@@ -282,17 +282,19 @@ def _removed(docs: pd.DataFrame, answers: pd.DataFrame, threshold: int) -> pd.Da
         np.add.at(edge, end, -1)
     gone = np.cumsum(edge[:-1]) > 0
     rows = []
-    for doc, text, end, size in zip(part.ids, positions.texts, part.ends, part.sizes):
+    digests = positions.docs["digest"]
+    for doc, digest, text, end, size in zip(part.ids, digests, positions.texts, part.ends, part.sizes):
         own = gone[end - size : end]
         n_removed = int(own.sum())
         spans = int(own[:1].sum() + (np.diff(own.astype(np.int8)) == 1).sum())
         kept = text if not n_removed else part.bytes[end - size : end][~own].tobytes()
-        rows.append((doc, size, n_removed, spans, kept))
+        rows.append((doc, digest, size, n_removed, spans, kept))
     unnamed = docs[docs["doc_id"].isna()]
-    for text in unnamed["text"]:
+    for digest, text in zip(unnamed["digest"], unnamed["text"]):
         kept = (text or "").encode("utf-8", "replace")
-        rows.append((pd.NA, len(kept), 0, 0, kept))
-    made = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        rows.append((pd.NA, digest, len(kept), 0, 0, kept))
+    names = ["doc_id", "digest", "n_bytes", "n_removed", "n_spans", "kept"]
+    made = pd.DataFrame(rows, columns=names)
     return made.astype({"doc_id": "Int64"})
 
 
@@ -302,7 +304,7 @@ def _laid_out(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = total // PART_BYTES + 1
     rows = docs.select(
-        F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(parts)), F.lit(0)).alias("part"), "doc_id", "text"
+        F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("part"), *docs.columns
     )
     name = f"parts_{uuid.uuid4().hex}"
     buckets = partitions_for(spark)
@@ -316,9 +318,10 @@ def _laid_out(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) per row."""
+    """Per row: id, digest of the text, lengths, number of spans, and the remaining bytes."""
     spark = docs.sparkSession
-    laid = _laid_out(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    digest = F.xxhash64("text").alias("digest")
+    laid = _laid_out(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest, "text"))
     buckets = 2 * partitions_for(spark)
     answers = spark.createDataFrame([], ANSWER)
 
@@ -342,3 +345,24 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         return _removed(rows, known, threshold)
 
     return by_part(finish, REMOVED)
+
+
+def deduplicate(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The documents with what remains as their text; a code point goes as soon as a byte does.
+
+    Null texts stay null.
+    """
+    removed = remove_repeats(docs, threshold).dropDuplicates(["doc_id", "digest"])
+    removed = removed.select(F.struct("doc_id", "digest", "kept").alias("r"))
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("key") == F.col("r.digest"))
+    text = F.when(F.col("row.text").isNotNull(), _whole_points(F.col("r.kept")))
+    columns = [
+        text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns
+    ]
+    return rows.join(removed, same).select(*columns)
+
+
+@F.pandas_udf(T.StringType())
+def _whole_points(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore") if b is not None else "")
