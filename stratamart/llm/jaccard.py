@@ -17,6 +17,8 @@ band (a power of two, so bitmaps of neighbouring bands fold onto each other). Bi
 has and the other lacks are elements that cannot be shared, which bounds the intersection
 from above. Only pairs that pass are intersected exactly, as sorted arrays.
 
+Classes are told apart by a 64-bit digest of their arrays.
+
 Defined cases: a null text, or one without words, has an empty set and is linked with
 nothing. Fewer words than a shingle make one shingle of all words. Rows that share an id are
 one node, linked if any of their texts is; each row keeps its own set size. A null id is
@@ -38,10 +40,10 @@ from stratamart.llm.graphs import components, stored
 SHINGLE = 4
 PERCENT = 85
 #: Documents sampled for the order of shingles, and the share from which one goes last.
-ORDER_SAMPLE = 8000
-FREQUENT = 0.0025
+ORDER_SAMPLE = 4000
+FREQUENT = 0.005
 #: Largest group that gives pairs; classes in a block of a larger one.
-SMALL_GROUP = 32
+SMALL_GROUP = 128
 BLOCK = 64
 #: Bits of a bitmap per element, before rounding up to a power of two.
 BITS = 4
@@ -138,17 +140,15 @@ def _frequent(docs: DataFrame, size: int, sample: int = ORDER_SAMPLE) -> np.ndar
         for block in (block for batch in batches for block in _blocks(batch)):
             found = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(block["text"], size)])
             values, n = np.unique(found, return_counts=True)
-            yield pd.DataFrame({"element": values.view(np.int64), "n": n, "docs": 0})
-            yield pd.DataFrame({"element": [0], "n": [0], "docs": [len(block)]})
+            yield pd.DataFrame({"element": values.view(np.int64), "n": n})
 
     limit = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
     picked = docs.filter(F.xxhash64("doc_id") <= F.lit(limit))
-    counted = picked.mapInPandas(count, "element long, n long, docs long")
-    total = counted.agg(F.sum("docs")).first()[0] or 0
     rows = (
-        counted.groupBy("element")
+        picked.mapInPandas(count, "element long, n long")
+        .groupBy("element")
         .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= max(2, FREQUENT * total))
+        .filter(F.col("n") >= max(2, FREQUENT * picked.count()))
         .select("element")
         .toPandas()
     )
@@ -156,7 +156,7 @@ def _frequent(docs: DataFrame, size: int, sample: int = ORDER_SAMPLE) -> np.ndar
 
 
 def _scan(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
-    """Per row: size and digest of the set, its prefix and its bitmap."""
+    """Per row: size of the set, its digest (the class), its prefix and its bitmap."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in (block for batch in batches for block in _blocks(batch)):
@@ -165,7 +165,9 @@ def _scan(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> Dat
                 {
                     "doc_id": block["doc_id"].array,
                     "n": [len(s) for s in sets],
-                    "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
+                    "node": np.array(
+                        [xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64
+                    ).view(np.int64),
                     "prefix": [prefix_of(s, frequent, percent).view(np.int64) for s in sets],
                     "bits": [bitmap(s).tobytes() for s in sets],
                 }
@@ -173,7 +175,7 @@ def _scan(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> Dat
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInPandas(
-        task, f"doc_id {kind}, n long, digest binary, prefix array<long>, bits binary"
+        task, f"doc_id {kind}, n long, node long, prefix array<long>, bits binary"
     )
 
 
@@ -181,15 +183,16 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in (block for batch in batches for block in _blocks(batch)):
             sets = [s.tobytes() for s in shingle_sets(block["text"], size)]
-            yield pd.DataFrame({"doc_id": block["doc_id"].array, "elements": sets})
+            yield pd.DataFrame({"node": block["node"].array, "elements": sets})
 
-    return docs.mapInPandas(task, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, elements binary")
+    return docs.mapInPandas(task, "node long, elements binary")
 
 
-def _groups(classes: DataFrame) -> DataFrame:
+def _groups(scanned: DataFrame) -> DataFrame:
     """Distinct groups of classes that meet in an element, ordered by size of set."""
-    rows = classes.select(F.explode("prefix").alias("element"), "n", F.col("doc_id").alias("id"))
-    shared = rows.groupBy("element").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    rows = scanned.select(F.explode("prefix").alias("element"), "n", F.col("node").alias("id"))
+    ends = rows.groupBy("element").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    shared = ends.filter("low <> high")
     met = rows.join(shared.select("element"), "element", "left_semi")
     members = F.sort_array(F.collect_set(F.struct("n", "id")))
     return met.groupBy("element").agg(members.alias("members")).select("members").distinct()
@@ -244,7 +247,7 @@ def _tiles(groups: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _passing(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     """Pairs whose bitmaps do not rule them out."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,12 +261,11 @@ def _passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             yield batch.loc[fit, ["a", "b"]]
 
     def side(name):
-        return classes.select(
-            F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}")
+        return bitmaps.select(
+            F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}")
         )
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(task, f"a {kind}, b {kind}")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(task, "a long, b long")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -277,10 +279,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 fit.append(reaches(shared_count(x, y), len(x), len(y), percent))
             yield batch.loc[fit, ["a", "b"]]
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    left = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(left, "a").join(right, "b").mapInPandas(task, f"a {kind}, b {kind}")
+    left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
+    return pairs.join(left, "a").join(right, "b").mapInPandas(task, "a long, b long")
 
 
 def tile_links(ids: list, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple]:
@@ -312,44 +313,52 @@ def tile_links(ids: list, sets: list[np.ndarray], percent: int = PERCENT) -> lis
 
 
 def _tile_edges(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    kind = sets.schema["doc_id"].dataType.simpleString()
-
     def task(frame: pd.DataFrame) -> pd.DataFrame:
         found = [np.frombuffer(e, np.uint64) for e in frame["elements"]]
         return pd.DataFrame(tile_links(frame["id"].tolist(), found, percent), columns=["a", "b"])
 
-    rows = tiles.join(sets.withColumnRenamed("doc_id", "id"), "id")
-    return rows.groupBy("tile").applyInPandas(task, f"a {kind}, b {kind}")
+    rows = tiles.join(sets.withColumnRenamed("node", "id"), "id")
+    return rows.groupBy("tile").applyInPandas(task, "a long, b long")
 
 
 def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row: the smallest id that links lead to."""
     rows = docs.select("doc_id", "text")
     scanned = stored(_scan(rows, _frequent(rows, size), size, percent))
-    digests = scanned.groupBy("digest").agg(F.min("doc_id").alias("class"))
     named = scanned.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    first = named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    classes = named.join(first, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id", "digest"])
-    groups = stored(_groups(classes))
-    pairs = stored(_passing(_small_pairs(groups, percent), classes, percent))
+    # Each class, with the smallest id that has its set.
+    classes = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    groups = stored(_groups(named))
+    bitmaps = named.select("node", "n", "bits").dropDuplicates(["node"])
+    pairs = stored(_passing(_small_pairs(groups, percent), bitmaps, percent))
     tiles = stored(_tiles(groups, percent))
     wanted = (
-        pairs.select(F.col("a").alias("doc_id"))
-        .unionByName(pairs.select(F.col("b").alias("doc_id")))
-        .unionByName(tiles.select(F.col("id").alias("doc_id")))
+        pairs.select(F.explode(F.array("a", "b")).alias("node"))
+        .unionByName(tiles.select(F.col("id").alias("node")))
         .distinct()
+        .join(classes, "node")
+    )
+    sets = stored(_sets(rows.join(wanted, "doc_id"), size))
+    links = _linked(pairs, sets, percent).unionByName(_tile_edges(tiles, sets, percent))
+    # From classes to ids: several classes may have rows of one id.
+    ids = named.select("node", "doc_id").distinct()
+    ends = classes.withColumnRenamed("doc_id", "least")
+    edges = (
+        links.join(ends.select(F.col("node").alias("a"), F.col("least").alias("x")), "a")
+        .join(ends.select(F.col("node").alias("b"), F.col("least").alias("y")), "b")
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+        .unionByName(
+            ids.join(ends, "node").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+        )
     )
-    sets = stored(_sets(rows.join(wanted, "doc_id", "left_semi"), size).distinct())
-    edges = _linked(pairs, sets, percent).unionByName(_tile_edges(tiles, sets, percent))
     joined = components(edges)
-    least = digests.join(joined, F.col("class") == F.col("node"), "left").select(
-        "digest", F.coalesce("component", "class").alias("component")
+    result = scanned.select("doc_id", "n").join(
+        joined, (F.col("doc_id") == F.col("node")) & (F.col("n") > 0), "left"
     )
-    own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return scanned.join(least, "digest").select(
+    return result.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
+        F.coalesce("component", "doc_id").alias("component_id"),
     )
 
 
