@@ -218,9 +218,14 @@ class Pieces:
         go, ids that come instead).
         """
         split = [self.parts(text) if text else [] for text in texts]
-        every = np.array([*chain.from_iterable(split), None], object)[:-1]
-        numbers, distinct = pd.factorize(every)
-        names = distinct.tolist()
+        if any(SPACE in text for text in texts if text):  # pandas does not tell surrogates apart
+            order: dict[str, int] = {}
+            found = [order.setdefault(part, len(order)) for part in chain.from_iterable(split)]
+            numbers, names = np.array(found), list(order)
+        else:
+            every = np.array([*chain.from_iterable(split), None], object)[:-1]
+            numbers, distinct = pd.factorize(every)
+            names = distinct.tolist()
         score, loss = np.zeros(len(names)), np.full(len(names), np.inf)
         by_length: dict[int, list[int]] = defaultdict(list)
         for i, name in enumerate(names):
