@@ -9,13 +9,13 @@ the others go on to the next offset, until the threshold is passed. A rank here
 name of the bytes it stands for (the first one the eight bytes themselves), so a task that
 holds the text has the rank at any offset at hand, and only the sorting is a shuffle.
 
-Two things keep the first rounds small. Not every position starts out, only one per window:
-the position of the smallest name among the windows' 24-byte strings, which equal windows
-choose alike (the last of equal ones); it stands for the run of windows that chose it.
-And in the second round a run stands as a whole: if its whole context is found in an earlier
-document, all of it is repeated, so that copies of a passage go on only once. Rounds:
+Two things keep the first rounds small. Windows of the threshold's length start out not each
+for itself but in runs: the least name among the 24-byte strings of a window stands for all
+neighbouring windows with that least name, and equal windows have equal ones. And in the
+second round a run stands as a whole: if its whole context is found in an earlier document,
+all of it is repeated, so copies of a passage go on only once. Rounds:
 
-1. 24 bytes, of the chosen positions;
+1. 24 bytes, those with the least name of each run;
 2. the whole context of their runs (first 32 bytes, the 32 that end the first window, the
    last 32);
 3. 32 bytes, of each window in runs that share a 24-byte string but not their context;
@@ -47,6 +47,7 @@ THRESHOLD = 50
 GRAM = 24
 NAME = 32
 PART_BYTES = 2_500_000
+STRETCH = 1 << 15
 GOLDEN, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 NO_DOC = np.iinfo(np.int64).max
 
@@ -63,60 +64,85 @@ class Part:
         self.ids, self.threshold = ids, threshold
         self.sizes = np.array([len(t) for t in texts], np.int64)
         self.ends = np.cumsum(self.sizes)
-        joined = b"".join(texts)
-        self.bytes = np.frombuffer(joined, np.uint8)
+        padded = b"".join([*texts, bytes(NAME + 8)])
+        self.size = len(padded) - NAME - 8
+        self.bytes = np.frombuffer(padded, np.uint8, self.size)
         # Eight bytes from every position, as a big-endian number: the first rank.
-        eight = np.frombuffer(joined + bytes(NAME + 8), np.uint8).astype(np.uint64)
-        for width in (1, 2, 4):
-            eight = (eight[:-width] << np.uint64(8 * width)) | eight[width:]
-        self.eight = eight
-
-    def name(self, at: np.ndarray, width: int) -> np.ndarray:
-        """Names of the first ``width`` (a multiple of eight) bytes of positions."""
-        name = _mix(self.eight[at] * GOLDEN)
-        for k in range(8, width, 8):
-            name = _mix((name + self.eight[at + k]) * GOLDEN)
+        self.eight = np.ndarray((len(padded) - 7,), ">u8", padded, strides=(1,))
+
+    def name(self, at: np.ndarray) -> np.ndarray:
+        """Names of the first ``NAME`` bytes of positions."""
+        name = _mix(self.eight[at].astype(np.uint64) * GOLDEN)
+        for k in range(8, NAME, 8):
+            name = _mix((name + self.eight[at + k].astype(np.uint64)) * GOLDEN)
+        return name
+
+    def _grams(self, start: int, stop: int) -> np.ndarray:
+        """Names of the first ``GRAM`` bytes of all positions of a range."""
+        name = self.eight[start:stop].astype(np.uint64)
+        name *= GOLDEN
+        for k in range(8, GRAM, 8):
+            name ^= name >> np.uint64(29)
+            name += self.eight[start + k : stop + k]
+            name *= SPREAD
+        name ^= name >> np.uint64(32)
         return name
 
+    def _least(self) -> np.ndarray:
+        """The least name of each window, computed in stretches that fit a processor's cache."""
+        slide = self.threshold - GRAM + 1
+        windows = self.size - self.threshold + 1
+        out = np.empty(max(0, windows), np.uint64)
+        for start in range(0, windows, STRETCH):
+            stop = min(windows, start + STRETCH)
+            least, span = self._grams(start, stop + slide - 1), 1
+            while span < slide:
+                step = min(span, slide - span)
+                least = np.minimum(least[:-step], least[step:])
+                span += step
+            out[start:stop] = least
+        return out
+
     def runs(self):
-        """Runs of windows by the position they choose: first window, one past the last,
-        position, its name, the document's index."""
-        n, slide = len(self.bytes), self.threshold - GRAM + 1
-        none = np.zeros(0, np.int64)
-        if n < self.threshold:
-            return none, none, none, none.astype(np.uint64), none
-        name = self.name(np.arange(n - GRAM + 1), GRAM)
-        least, chosen, span = name, np.arange(len(name), dtype=np.int32), 1
-        while span < slide:
-            step = min(span, slide - span)
-            left, right = least[:-step], least[step:]
-            later = right <= left
-            chosen = np.where(later, chosen[step:], chosen[:-step])
-            least = np.where(later, right, left)
-            span += step
-        windows = np.arange(len(chosen))
-        doc = np.searchsorted(self.ends, windows, "right")
-        inside = windows + self.threshold <= self.ends[np.minimum(doc, len(self.ends) - 1)]
-        windows, chosen, doc = windows[inside], chosen[inside].astype(np.int64), doc[inside]
-        if not len(windows):
-            return none, none, none, none.astype(np.uint64), none
-        new = np.ones(len(windows), bool)
-        new[1:] = (np.diff(chosen) != 0) | (np.diff(windows) != 1) | (np.diff(doc) != 0)
-        at = np.nonzero(new)[0]
-        first, past = windows[at], windows[np.append(at[1:], len(windows)) - 1] + 1
-        return first, past, chosen[at], name[chosen[at]], doc[at]
+        """Runs of windows with one least name: first window, one past the last, the name, the
+        document's index. A run is cut where its context would be longer than is named."""
+        least = self._least()
+        inside = np.ones(len(least), bool)
+        for k in range(1, self.threshold):
+            at = (self.ends - k)[self.sizes >= k]
+            inside[at[at < len(least)]] = False
+        new = inside.copy()
+        new[1:] &= (least[1:] != least[:-1]) | ~inside[:-1]
+        first = np.nonzero(new)[0]
+        last = inside.copy()
+        last[:-1] &= (least[1:] != least[:-1]) | ~inside[1:]
+        past = np.nonzero(last)[0] + 1
+        longest = 2 * NAME + (self.threshold - NAME) - self.threshold + 1
+        pieces = (past - first + longest - 1) // longest
+        if (pieces > 1).any():
+            nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            first = np.repeat(first, pieces) + nth * longest
+            past = np.minimum(np.repeat(past, pieces), first + longest)
+        return first, past, least[first], np.searchsorted(self.ends, first, "right")
 
 
 class Entries:
-    """Distinct pairs of ranks in a part, in their order, each with its smallest document."""
+    """Distinct pairs of ranks in a part, in their order, each with its smallest document.
 
-    def __init__(self, high: np.ndarray, low: np.ndarray, docs: np.ndarray):
-        self.order = np.lexsort((docs, low, high))
-        high, low, docs = high[self.order], low[self.order], docs[self.order]
+    Positions come in the order of their documents, so the first of a class has the smallest.
+    """
+
+    def __init__(self, high: np.ndarray, low: np.ndarray | None, docs: np.ndarray):
+        self.order = np.argsort(high, kind="stable") if low is None else np.lexsort((low, high))
+        high, docs = high[self.order], docs[self.order]
+        low = None if low is None else low[self.order]
         new = np.ones(len(high), bool)
-        new[1:] = (np.diff(high) != 0) | (np.diff(low) != 0)
+        new[1:] = np.diff(high) != 0
+        if low is not None:
+            new[1:] |= np.diff(low) != 0
         at = np.nonzero(new)[0]
-        self.high, self.low, self.least = high[at], low[at], docs[at]
+        self.new, self.high, self.least = new, high[at], docs[at]
+        self.low = None if low is None else low[at]
         self.several = (np.maximum.reduceat(docs, at) != docs[at]) if len(at) else np.zeros(0, bool)
         self.entry = np.cumsum(new) - 1
 
@@ -126,7 +152,7 @@ class Entries:
         out[self.order] = answers[self.entry]
         return out
 
-    def rows(self, part: int, buckets: int, paired: bool) -> pd.DataFrame:
+    def rows(self, part: int, buckets: int) -> list[tuple]:
         """Entries by range of rank, as bytes: what the part sends."""
         bucket = ((self.high >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
@@ -134,17 +160,9 @@ class Entries:
         for b in range(buckets):
             s = slice(cuts[b], cuts[b + 1])
             if s.start < s.stop:
-                rows.append(
-                    (
-                        part,
-                        b,
-                        self.high[s].tobytes(),
-                        self.low[s].tobytes() if paired else b"",
-                        self.least[s].tobytes() if paired else b"",
-                        np.packbits(self.several[s]).tobytes(),
-                    )
-                )
-        return pd.DataFrame(rows, columns=["part", "bucket", "high", "low", "least", "several"])
+                pair = (b"", b"") if self.low is None else (self.low[s].tobytes(), self.least[s].tobytes())
+                rows.append((part, b, self.high[s].tobytes(), *pair, np.packbits(self.several[s]).tobytes()))
+        return rows
 
 
 SENT = "part long, bucket long, high binary, low binary, least binary, several binary"
@@ -159,6 +177,17 @@ def rerank(round_: int, paired: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """
 
     def task(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["bucket"].iloc[0] < 0:  # what a part keeps for itself
+            return pd.DataFrame(
+                {
+                    "part": rows["part"],
+                    "bucket": rows["bucket"],
+                    "round": 0,
+                    "n": 0,
+                    "flags": rows["several"],
+                    "least": rows["high"],
+                }
+            )
         high = [np.frombuffer(x, np.uint64) for x in rows["high"]]
         sizes = [len(x) for x in high]
         source = np.repeat(np.arange(len(rows)), sizes)
@@ -211,61 +240,82 @@ class Positions:
     def __init__(self, docs: pd.DataFrame, answers: pd.DataFrame, threshold: int = THRESHOLD):
         docs = docs.sort_values(["doc_id", "text"], na_position="first")
         self.docs, self.answers = docs[docs["doc_id"].notna()], answers
-        texts = [(t or "").encode("utf-8", "replace") for t in self.docs["text"]]
-        self.texts = texts
-        self.part = Part(self.docs["doc_id"].to_numpy(np.int64), texts, threshold)
+        self.texts = [(t or "").encode("utf-8", "replace") for t in self.docs["text"]]
+        self.part = Part(self.docs["doc_id"].to_numpy(np.int64), self.texts, threshold)
 
-    def answered(self, round_: int, entries: Entries):
-        """Flags and smallest documents for the positions of a round."""
+    def _answers(self, round_: int):
         rows = self.answers[self.answers["round"] == round_].sort_values("bucket")
         flags = [
             np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(rows["flags"], rows["n"])
         ]
         least = [np.frombuffer(x, np.int64) for x in rows["least"]]
-        flags = np.concatenate([np.zeros(0, np.uint8), *flags]).astype(bool)
-        least = np.concatenate([np.zeros(0, np.int64), *least])
-        return entries.back(flags), entries.back(least) if len(least) else None
+        return (
+            np.concatenate([np.zeros(0, np.uint8), *flags]).astype(bool),
+            np.concatenate([np.zeros(0, np.int64), *least]),
+        )
 
-    def advance(self, to: int):
-        """Entries of round ``to``, or (5) the repeated stretches of bytes."""
+    def first_round(self) -> Entries:
+        _, _, name, doc = self.runs = self.part.runs()
+        return Entries(name, None, self.part.ids[doc])
+
+    def second_round(self) -> tuple[Entries, tuple[bytes, bytes]]:
+        """Runs that are left, and what later rounds need of them: their places in the order
+        of the entries, and where a new entry begins."""
         part = self.part
-        first, past, at, gram, doc = part.runs()
-        ids = part.ids[doc] if len(doc) else doc
-        entries = Entries(gram, np.zeros(len(gram), np.uint64), ids)
-        if to == 1:
-            return entries
-        alive, _ = self.answered(1, entries)
-        first, past, at, gram, ids = (x[alive] for x in (first, past, at, gram, ids))
-        end = past - 1 + part.threshold
-        context = part.name(first, NAME)
-        for more in (part.name(first + part.threshold - NAME, NAME), part.name(end - NAME, NAME)):
-            context = _mix((context + more) * GOLDEN)
-        context = _mix(context + (past - first).astype(np.uint64) * GOLDEN + (at - first).astype(np.uint64))
-        entries = Entries(gram, context, ids)
-        if to == 2:
-            return entries
-        mixed, least = self.answered(2, entries)
-        least = ids if least is None else least
+        alive = self.first_round().back(self._answers(1)[0])
+        first, past, name, doc = (x[alive] for x in self.runs)
+        context = part.name(first)
+        for more in (first + part.threshold - NAME, past - 1 + part.threshold - NAME):
+            context = _mix((context + part.name(more)) * GOLDEN)
+        context = _mix(context + (past - first).astype(np.uint64) * GOLDEN)
+        entries = Entries(name, context, part.ids[doc])
+        first, sizes = first[entries.order], (past - first)[entries.order]
+        places = first.astype(np.int32).tobytes() + sizes.astype(np.uint8).tobytes()
+        return entries, (places, np.packbits(entries.new).tobytes())
+
+    def third_round(self) -> Entries:
+        """Windows of runs whose context is not found earlier, but parts of it elsewhere."""
+        part, kept = self.part, self.answers[self.answers["round"] == 0]
+        places = kept["least"].iloc[0] if len(kept) else b""
+        n = len(places) // 5
+        first = np.frombuffer(places, np.int32, n).astype(np.int64)
+        sizes = np.frombuffer(places, np.uint8, n, 4 * n).astype(np.int64)
+        new = np.unpackbits(np.frombuffer(kept["flags"].iloc[0], np.uint8), count=n) if n else first
+        entry = np.cumsum(new.astype(np.int64)) - 1
+        mixed, least = (x[entry] for x in self._answers(2))
+        ids = part.ids[np.searchsorted(part.ends, first, "right")]
         whole = least < ids
-        stretches = [(first[whole], end[whole])]
-        open_ = mixed & ~whole
-        sizes = (past - first)[open_]
-        window = np.repeat(first[open_] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        ids = np.repeat(ids[open_], sizes)
-        name = part.name(window, NAME)
-        entries = Entries(name, np.zeros(len(name), np.uint64), ids)
-        if to == 3:
-            return entries
-        alive, _ = self.answered(3, entries)
-        window, name, ids = window[alive], name[alive], ids[alive]
-        entries = Entries(name, part.name(window + part.threshold - NAME, NAME), ids)
-        if to == 4:
-            return entries
-        _, least = self.answered(4, entries)
-        if least is not None:
-            repeated = window[least < ids]
-            stretches.append((repeated, repeated + part.threshold))
-        return stretches
+        end = first + sizes - 1 + part.threshold
+        self.stretches = [(first[whole], end[whole])]
+        left = np.nonzero(mixed & ~whole)[0]
+        left = left[np.argsort(first[left])]
+        first, sizes, ids = first[left], sizes[left], ids[left]
+        self.windows = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        self.owners = np.repeat(ids, sizes)
+        self.names = part.name(self.windows)
+        return Entries(self.names, None, self.owners)
+
+    def fourth_round(self) -> Entries:
+        alive = self.third_round().back(self._answers(3)[0])
+        self.windows, self.owners = self.windows[alive], self.owners[alive]
+        last = self.part.name(self.windows + self.part.threshold - NAME)
+        return Entries(self.names[alive], last, self.owners)
+
+    def repeated(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Starts and ends of stretches of repeated bytes."""
+        least = self.fourth_round().back(self._answers(4)[1])
+        found = self.windows[least < self.owners]
+        return [*self.stretches, (found, found + self.part.threshold)]
+
+    def send(self, round_: int, part: int, buckets: int) -> pd.DataFrame:
+        """The entries of a round, and in the second what the part keeps for itself."""
+        if round_ == 2:
+            entries, (places, new) = self.second_round()
+            rows = [*entries.rows(part, buckets), (part, -1 - part % buckets, places, b"", b"", new)]
+        else:
+            steps = {1: self.first_round, 3: self.third_round, 4: self.fourth_round}
+            rows = steps[round_]().rows(part, buckets)
+        return pd.DataFrame(rows, columns=["part", "bucket", "high", "low", "least", "several"])
 
 
 PAIRED = {1: False, 2: True, 3: False, 4: True}
@@ -277,7 +327,7 @@ def _removed(docs: pd.DataFrame, answers: pd.DataFrame, threshold: int) -> pd.Da
     positions = Positions(docs, answers, threshold)
     part = positions.part
     edge = np.zeros(len(part.bytes) + 1, np.int32)
-    for start, end in positions.advance(5):
+    for start, end in positions.repeated():
         np.add.at(edge, start, 1)
         np.add.at(edge, end, -1)
     gone = np.cumsum(edge[:-1]) > 0
@@ -331,8 +381,7 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     def sender(round_):
         def task(key, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-            entries = Positions(rows, known, threshold).advance(round_)
-            return entries.rows(int(key[0]), buckets, PAIRED[round_])
+            return Positions(rows, known, threshold).send(round_, int(key[0]), buckets)
 
         return task
 
