@@ -15,7 +15,9 @@ size; a tile gives the links that connect its classes, not all pairs.
 *Bound.* Each set has a bitmap, its elements hashed to a number of bits that follows the size
 band (a power of two, so bitmaps of neighbouring bands fold onto each other). Bits that one
 has and the other lacks are elements that cannot be shared, which bounds the intersection
-from above. Only pairs that pass are intersected exactly, as sorted arrays.
+from above. Only pairs that pass are intersected exactly, as sorted arrays. Passing pairs of
+small groups that hang together in a family of bounded size are compared in one place, so that
+each set is brought there once.
 
 Classes are told apart by a 64-bit digest of their arrays.
 
@@ -45,6 +47,8 @@ FREQUENT = 0.005
 #: Largest group that gives pairs; classes in a block of a larger one.
 SMALL_GROUP = 128
 BLOCK = 64
+#: Largest family of candidate pairs that is compared in one place.
+FAMILY = 256
 #: Bits of a bitmap per element, before rounding up to a power of two.
 BITS = 4
 BLOCK_CHARS = 4_000_000
@@ -268,6 +272,19 @@ def _passing(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(task, "a long, b long")
 
 
+def _families(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs as families that fit one place (``tile, id``), and the pairs of others.
+
+    In a family every set is brought in once, not once per pair.
+    """
+    joined = stored(components(pairs))
+    small = joined.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= FAMILY)
+    inside = joined.join(small.select("component"), "component", "left_semi")
+    outside = joined.join(small.select("component"), "component", "left_anti")
+    single = pairs.join(outside.select(F.col("node").alias("a")), "a", "left_semi")
+    return inside.select(F.col("component").alias("tile"), F.col("node").alias("id")), single
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs that are links, by exact intersection."""
 
@@ -339,7 +356,8 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
         .join(classes, "node")
     )
     sets = stored(_sets(rows.join(wanted, "doc_id"), size))
-    links = _linked(pairs, sets, percent).unionByName(_tile_edges(tiles, sets, percent))
+    families, single = _families(pairs)
+    links = _linked(single, sets, percent).unionByName(_tile_edges(tiles.unionByName(families), sets, percent))
     # From classes to ids: several classes may have rows of one id.
     ids = named.select("node", "doc_id").distinct()
     ends = classes.withColumnRenamed("doc_id", "least")
