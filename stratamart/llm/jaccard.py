@@ -3,21 +3,24 @@
 Texts become sorted arrays of 64-bit shingle hashes. Documents with equal arrays are one
 class, and only classes are compared.
 
-*Tiles.* Two sets with a Jaccard similarity of t share one of the first (1 - t) n + 1 elements
+*Groups.* Two sets with a Jaccard similarity of t share one of the first (1 - t) n + 1 elements
 of each, in any fixed order. The order puts shingles that are frequent in a sample of
 documents last, so a shingle of a common line or a large family of copies hardly ever brings
 documents together; the order decides the speed, never the result. Classes that meet in an
 element form a group; equal groups are taken once. Groups are ordered by set size and only
-pairs of compatible size are looked at. A small group gives its pairs. A large one is cut into
-blocks of neighbouring sizes, and every two blocks of compatible sizes make a tile of bounded
-size; a tile gives the links that connect its classes, not all pairs.
+pairs of compatible size are looked at.
 
 *Bound.* Each set has a bitmap, its elements hashed to a number of bits that follows the size
 band (a power of two, so bitmaps of neighbouring bands fold onto each other). Bits that one
 has and the other lacks are elements that cannot be shared, which bounds the intersection
-from above. Only pairs that pass are intersected exactly, as sorted arrays. Passing pairs of
-small groups that hang together in a family of bounded size are compared in one place, so that
-each set is brought there once.
+from above. A small group gives its pairs that the bound lets pass. A large one is cut into
+blocks of neighbouring sizes, every two blocks of compatible sizes make a tile of bounded
+size, and a tile gives pairs that connect its classes as all its passing pairs would.
+
+*Families.* What passing pairs connect is a family: no link leaves it. Only then are the sets
+themselves brought in, once for each family that fits a tile, else in tiles of its blocks, and
+what the bound lets pass is intersected exactly, as sorted arrays. A tile gives links that
+connect its classes as all its links would, so no result grows with the square of a group.
 
 Classes are told apart by a 64-bit digest of their arrays.
 
@@ -44,11 +47,9 @@ PERCENT = 85
 #: Documents sampled for the order of shingles, and the share from which one goes last.
 ORDER_SAMPLE = 4000
 FREQUENT = 0.005
-#: Largest group that gives pairs; classes in a block of a larger one.
+#: Largest group that gives pairs; classes in a block of a larger group or family.
 SMALL_GROUP = 128
-BLOCK = 64
-#: Largest family of candidate pairs that is compared in one place.
-FAMILY = 256
+BLOCK = 256
 #: Bits of a bitmap per element, before rounding up to a power of two.
 BITS = 4
 BLOCK_CHARS = 4_000_000
@@ -223,8 +224,7 @@ def _small_pairs(groups: DataFrame, percent: int) -> DataFrame:
 
 
 def _tiles(groups: DataFrame, percent: int) -> DataFrame:
-    """Members of the tiles of large groups: ``tile, id``."""
-    large = groups.filter(F.size("members") > SMALL_GROUP)
+    """Tiles of groups, as ``tile, id``: of every two blocks of compatible sizes."""
     blocks = F.ceil(F.size("members") / BLOCK).cast("int")
 
     def tiles(i):
@@ -245,7 +245,7 @@ def _tiles(groups: DataFrame, percent: int) -> DataFrame:
 
     every = F.flatten(F.transform(F.sequence(F.lit(0), blocks - 1), tiles))
     return (
-        large.select(F.explode(every).alias("t"))
+        groups.select(F.explode(every).alias("t"))
         .select("t.tile", F.explode("t.members").alias("m"))
         .select("tile", F.col("m.id").alias("id"))
     )
@@ -272,67 +272,60 @@ def _passing(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(task, "a long, b long")
 
 
-def _families(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs as families that fit one place (``tile, id``), and the pairs of others.
+def tile_links(ids: list, sizes: list[int], maps: list[np.ndarray], sets=None, percent: int = PERCENT) -> list[tuple]:
+    """Pairs that connect the classes of a tile as all its links would.
 
-    In a family every set is brought in once, not once per pair.
+    Without ``sets``, as all its pairs would that the bitmaps let pass.
     """
-    joined = stored(components(pairs))
-    small = joined.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= FAMILY)
-    inside = joined.join(small.select("component"), "component", "left_semi")
-    outside = joined.join(small.select("component"), "component", "left_anti")
-    single = pairs.join(outside.select(F.col("node").alias("a")), "a", "left_semi")
-    return inside.select(F.col("component").alias("tile"), F.col("node").alias("id")), single
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs that are links, by exact intersection."""
-
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fit = []
-            for x, y in zip(batch["x"], batch["y"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                fit.append(reaches(shared_count(x, y), len(x), len(y), percent))
-            yield batch.loc[fit, ["a", "b"]]
-
-    left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(left, "a").join(right, "b").mapInPandas(task, "a long, b long")
-
-
-def tile_links(ids: list, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple]:
-    """Links that connect the classes of a tile as all its links would."""
-    order = sorted(range(len(ids)), key=lambda i: len(sets[i]))
-    maps = [bitmap(s) for s in sets]
-    root = list(range(len(ids)))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+    n = np.array(sizes, np.int64)
+    order = np.argsort(n, kind="stable")
+    width = np.array([len(m) for m in maps])
+    stacked = {w: np.stack([maps[i] for i in order if width[i] == w]) for w in set(width.tolist())}
+    members = {w: np.array([i for i in order if width[i] == w]) for w in stacked}
+    folded: dict[tuple[int, int], np.ndarray] = {}
+    root = np.arange(len(ids))  # of the component, kept flat
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
     links = []
-    for x, i in enumerate(order):
-        for j in order[x + 1 :]:
-            n, m = len(sets[i]), len(sets[j])
-            if m * percent > n * 100:
-                break
-            if find(i) == find(j):
+    for i in order:
+        for w, others in members.items():
+            narrow = min(w, int(width[i]))
+            if (w, narrow) not in folded:
+                folded[w, narrow] = np.stack([_fold(m, narrow) for m in stacked[w]])
+            able = (place[others] > place[i]) & (n[others] * percent <= n[i] * 100) & (root[others] != root[i])
+            if not able.any():
                 continue
-            if reaches(overlap_bound(maps[i], n, maps[j], m), n, m, percent) and reaches(
-                shared_count(sets[i], sets[j]), n, m, percent
-            ):
-                root[find(j)] = find(i)
-                links.append((ids[i], ids[j]))
+            other, own = folded[w, narrow][able], _fold(maps[i], narrow)
+            able = others[able]
+            bound = np.minimum(
+                n[i] - np.bitwise_count(own & ~other).sum(1, dtype=np.int64),
+                n[able] - np.bitwise_count(other & ~own).sum(1, dtype=np.int64),
+            )
+            for j in able[100 * bound >= percent * (n[i] + n[able] - bound)].tolist():
+                if root[j] != root[i] and (
+                    sets is None or reaches(shared_count(sets[i], sets[j]), int(n[i]), int(n[j]), percent)
+                ):
+                    root[root == root[j]] = root[i]
+                    links.append((ids[i], ids[j]))
     return links
 
 
-def _tile_edges(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _passing_in_tiles(tiles: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    def task(frame: pd.DataFrame) -> pd.DataFrame:
+        maps = [np.frombuffer(b, np.uint64) for b in frame["bits"]]
+        found = tile_links(frame["id"].tolist(), frame["n"].tolist(), maps, None, percent)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    rows = tiles.join(bitmaps.withColumnRenamed("node", "id"), "id")
+    return rows.groupBy("tile").applyInPandas(task, "a long, b long")
+
+
+def _links_in_tiles(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def task(frame: pd.DataFrame) -> pd.DataFrame:
         found = [np.frombuffer(e, np.uint64) for e in frame["elements"]]
-        return pd.DataFrame(tile_links(frame["id"].tolist(), found, percent), columns=["a", "b"])
+        sizes, maps = [len(s) for s in found], [bitmap(s) for s in found]
+        found = tile_links(frame["id"].tolist(), sizes, maps, found, percent)
+        return pd.DataFrame(found, columns=["a", "b"])
 
     rows = tiles.join(sets.withColumnRenamed("node", "id"), "id")
     return rows.groupBy("tile").applyInPandas(task, "a long, b long")
@@ -347,17 +340,15 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     classes = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     groups = stored(_groups(named))
     bitmaps = named.select("node", "n", "bits").dropDuplicates(["node"])
-    pairs = stored(_passing(_small_pairs(groups, percent), bitmaps, percent))
-    tiles = stored(_tiles(groups, percent))
-    wanted = (
-        pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        .unionByName(tiles.select(F.col("id").alias("node")))
-        .distinct()
-        .join(classes, "node")
+    large = groups.filter(F.size("members") > SMALL_GROUP)
+    passing = _passing(_small_pairs(groups, percent), bitmaps, percent)
+    passing = passing.unionByName(_passing_in_tiles(_tiles(large, percent), bitmaps, percent))
+    families = stored(components(passing).join(named.select("node", "n").distinct(), "node"))
+    sets = stored(_sets(rows.join(families.join(classes, "node").select("node", "doc_id"), "doc_id"), size))
+    members = F.sort_array(F.collect_set(F.struct("n", F.col("node").alias("id")))).alias("members")
+    links = _links_in_tiles(
+        _tiles(families.groupBy("component").agg(members).select("members"), percent), sets, percent
     )
-    sets = stored(_sets(rows.join(wanted, "doc_id"), size))
-    families, single = _families(pairs)
-    links = _linked(single, sets, percent).unionByName(_tile_edges(tiles.unionByName(families), sets, percent))
     # From classes to ids: several classes may have rows of one id.
     ids = named.select("node", "doc_id").distinct()
     ends = classes.withColumnRenamed("doc_id", "least")

@@ -39,9 +39,8 @@ def family(seed, members, edits):
     return out
 
 
-@pytest.mark.parametrize("small_group,block,family_size", [(128, 64, 256), (128, 64, 12), (3, 4, 2)])
-def test_components_are_those_of_all_pairs(spark, monkeypatch, small_group, block, family_size):
-    monkeypatch.setattr(jaccard, "FAMILY", family_size)
+@pytest.mark.parametrize("small_group,block", [(128, 256), (128, 12), (3, 4)])
+def test_components_are_those_of_all_pairs(spark, monkeypatch, small_group, block):
     monkeypatch.setattr(jaccard, "SMALL_GROUP", small_group)
     monkeypatch.setattr(jaccard, "BLOCK", block)
     made = family(1, 40, 8) + family(2, 25, 3) + family(3, 10, 12) + ["a b", "a b", "b a", "", "a b c d"]
