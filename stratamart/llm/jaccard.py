@@ -196,11 +196,12 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 def _groups(scanned: DataFrame) -> DataFrame:
     """Distinct groups of classes that meet in an element, ordered by size of set."""
     rows = scanned.select(F.explode("prefix").alias("element"), "n", F.col("node").alias("id"))
-    ends = rows.groupBy("element").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = ends.filter("low <> high")
+    # Counting rows is lighter than telling classes apart; groups of one class go below.
+    shared = rows.groupBy("element").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     met = rows.join(shared.select("element"), "element", "left_semi")
     members = F.sort_array(F.collect_set(F.struct("n", "id")))
-    return met.groupBy("element").agg(members.alias("members")).select("members").distinct()
+    groups = met.groupBy("element").agg(members.alias("members")).select("members")
+    return groups.filter(F.size("members") > 1).distinct()
 
 
 def _small_pairs(groups: DataFrame, percent: int) -> DataFrame:
