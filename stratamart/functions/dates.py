@@ -3,12 +3,26 @@
 from pyspark.sql import Column, functions as F
 
 
+#: A time of day followed by Z, an offset or a zone's name.
+_ZONED = r"\d:\d\d.*?([zZ]|[+-]\d\d?(:?\d\d)?|[A-Za-z_]+/[A-Za-z_/]+|UTC|GMT)\s*$"
+
+
 def parse_timestamp(column: str) -> Column:
     """Text to timestamp without time zone; text that is no timestamp becomes NULL.
 
-    Without a zone the derived day keys do not depend on the session's time zone.
+    Text that names its zone is taken as that instant and given in UTC. Other text is taken
+    as it stands, so the derived day keys do not depend on the session's time zone.
     """
-    return F.col(column).try_cast("timestamp_ntz")
+    text = F.col(column)
+    micros = F.unix_micros(text.try_cast("timestamp")).cast("decimal(38,6)") / F.lit(10**6)
+    elapsed = F.make_dt_interval(secs=micros.cast("decimal(18,6)"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.when(text.rlike(_ZONED), epoch + elapsed).otherwise(text.try_cast("timestamp_ntz"))
+
+
+def finite(value: Column) -> Column:
+    """A fractional number, NULL where it is NaN or infinite."""
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def day(column: str) -> Column:

@@ -1,23 +1,34 @@
 """Exact sums, averages and ratios.
 
 Sums of doubles depend on the order of the rows, and over 1e12 rows they drift by whole
-currency units. Amounts are therefore summed as whole cents in a long, which is order-free,
-stays in code generation and raises on overflow (ANSI) instead of wrapping. Averages and
-ratios are rounded half-up from the two integers, so a value that lies on a half is
-rounded the same way on every engine and every partitioning.
+currency units. Amounts are therefore summed as whole millionths in a long, which keeps the
+fraction of a cent, is order-free and stays in code generation; only the total is rounded. A
+total beyond the long's range (9.2e12 currency units) raises (ANSI) instead of wrapping, as
+does an amount that is not a number or too large to be held exactly. Averages and ratios are
+rounded half-up from the two integers, so a value that lies on a half is rounded the same
+way on every engine and every partitioning.
 """
 
 from pyspark.sql import Column, functions as F
 
+#: Units of a currency unit, and the largest amount whose units a double holds exactly.
+UNITS = 10**6
+LARGEST = 9e9
 
-def cents(amount: str) -> Column:
-    """Amount in whole cents (nearest)."""
-    return F.floor(F.col(amount) * F.lit(100) + F.lit(0.5)).cast("long")
 
+def units(amount: str) -> Column:
+    """Amount in whole millionths (nearest); raises for NaN, infinity and beyond 9e9."""
+    value = F.col(amount)
+    return (
+        F.when(F.abs(value) <= LARGEST, F.floor(value * F.lit(float(UNITS)) + F.lit(0.5)).cast("long"))
+        .when(value.isNull(), F.lit(None).cast("long"))
+        .otherwise(F.raise_error(F.concat(F.lit(f"amount out of range: {amount} = "), value)).cast("long"))
+    )
 
-def amount(total_cents: Column) -> Column:
-    """Back to currency units."""
-    return total_cents.cast("double") / F.lit(100.0)
+
+def amount(total_units: Column) -> Column:
+    """A total back in currency units, rounded to the cent."""
+    return rounded_ratio(total_units, F.lit(UNITS), 2)
 
 
 def rounded_ratio(numerator: Column, denominator: Column, digits: int, scale: int = 1) -> Column:
@@ -34,6 +45,6 @@ def rounded_ratio(numerator: Column, denominator: Column, digits: int, scale: in
     return F.when(den != 0, signed.cast("double") / F.lit(float(10**digits)))
 
 
-def rounded_mean(total_cents: Column, count: Column) -> Column:
-    """Average of amounts given in cents, rounded to the cent, in currency units."""
-    return rounded_ratio(total_cents, count, 0) / F.lit(100.0)
+def rounded_mean(total_units: Column, count: Column) -> Column:
+    """Average of amounts given by their total, rounded to the cent, in currency units."""
+    return rounded_ratio(total_units, count * F.lit(UNITS), 2)

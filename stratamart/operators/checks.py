@@ -33,7 +33,8 @@ def check_table(
     unique_key: Sequence[str] = (),
     non_negative: Sequence[str] = (),
     ranges: Mapping[str, tuple[float, float]] | None = None,
-    types: Mapping[str, str] | None = None,
+    types: Mapping[str, tuple[str, Column]] | None = None,
+    no_values: Sequence[str] = (),
 ) -> DataFrame:
     """Results of the requested checks on one table.
 
@@ -42,7 +43,9 @@ def check_table(
     * ``unique_key``: as many distinct keys as rows; ``actual`` is the surplus of rows. NULL
       keys count as equal: the key is counted as a struct, which is never NULL itself.
     * ``non_negative`` and ``ranges``: no value outside; NULL passes.
-    * ``types``: text columns whose text does not read as the given type.
+    * ``types``: text columns whose text does not read as their type, by the name of the type
+      and the column read as it.
+    * ``no_values``: nothing but NULL.
     """
     violations = [("no_nulls", c, F.col(c).isNull()) for c in not_null]
     violations += [("non_negative", c, F.col(c) < 0) for c in non_negative]
@@ -51,9 +54,10 @@ def check_table(
         for c, (low, high) in (ranges or {}).items()
     ]
     violations += [
-        (f"reads_as[{wanted}]", c, F.col(c).isNotNull() & F.col(c).try_cast(wanted).isNull())
-        for c, wanted in (types or {}).items()
+        (f"reads_as[{wanted}]", c, F.col(c).isNotNull() & value.isNull())
+        for c, (wanted, value) in (types or {}).items()
     ]
+    violations += [("well_formed", c, F.col(c).isNotNull()) for c in no_values]
 
     measures = [F.count(F.lit(1)).alias(ROWS)]
     measures += [F.count_if(bad).alias(f"_v{i}") for i, (_, _, bad) in enumerate(violations)]

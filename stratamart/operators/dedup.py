@@ -8,7 +8,8 @@ _RANK = "_rank_in_key"
 
 
 def keep_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the first under the order of all other columns, NULLs first.
+    """One row per key: the first under the order of all other columns, NULLs last,
+    so that of two copies that differ in one missing value the complete one stays.
 
     The order is total up to identical rows, so the survivor depends neither on the
     partitioning nor on a retried task. ``row_number() = 1`` plans a group limit on both
@@ -18,7 +19,7 @@ def keep_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.distinct()
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in others])
+    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in others])
     return (
         df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
     )

@@ -10,7 +10,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratamart.functions.dates import day, day_key
-from stratamart.functions.exact import cents
+from stratamart.functions.exact import units
 from stratamart.lazy import LazyTables
 from stratamart.operators.joins import left_lookup
 from stratamart.specs import GOLD_TABLES, METADATA_COLUMNS
@@ -126,7 +126,7 @@ class Gold(LazyTables):
 
     ``item_lines`` has the item columns only. ``order_totals(attribute)`` has one row per
     order with items: ``order_id``, one order attribute (order attributes depend on the
-    order alone) and the revenue in cents. ``item_customers`` has the customer keys that
+    order alone) and the revenue in millionths. ``item_customers`` has the customer keys that
     the items refer to. All three are defined by the fact table. When gold is built from
     silver in one plan they come from the silver tables directly: item reports then do
     without the join to orders, and order reports aggregate the items per order *before*
@@ -153,7 +153,7 @@ class Gold(LazyTables):
 
 
 def _revenue() -> Column:
-    return F.sum(cents("price") + cents("freight_value")).alias("revenue_cents")
+    return F.sum(units("price") + units("freight_value")).alias("revenue_units")
 
 
 def gold_from_silver(silver: Mapping[str, DataFrame]) -> Gold:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 from stratamart.operators.checks import check_reference, check_table
 from stratamart.operators.joins import orphan_keys
 from stratamart.plans.gold import Gold
-from stratamart.specs import SOURCES
+from stratamart.plans.silver import read_as
+from stratamart.specs import MALFORMED, SOURCES
 
 # The range of a review score, the references of the item fact.
 SCORE_RANGE = (1, 5)
@@ -77,24 +78,18 @@ def gold_suite(gold: Gold) -> DataFrame:
         "dim_product": {"unique_key": ["product_id"]},
         "dim_seller": {"unique_key": ["seller_id"]},
     }
-    narrow = {"fact_order_items": "item_lines"}
-    results = [
-        check_table(gold[narrow.get(name, name)], f"gold.{name}", **checks)
-        for name, checks in plan.items()
-    ]
+    results = [check_table(gold[name], f"gold.{name}", **checks) for name, checks in plan.items()]
     for column, dimension, key in ITEM_REFERENCES:
-        results.append(_item_reference(gold, column, dimension, key))
+        orphans = orphan_keys(gold["fact_order_items"], column, gold[dimension], key)
+        results.append(
+            check_reference(orphans, "gold.fact_order_items", column, f"gold.{dimension}")
+        )
     return union_results(results)
 
 
-def _item_reference(gold: Gold, column: str, dimension: str, key: str) -> DataFrame:
-    fact = gold["item_customers"] if column == "customer_id" else gold["item_lines"]
-    orphans = orphan_keys(fact, column, gold[dimension], key)
-    return check_reference(orphans, "gold.fact_order_items", column, f"gold.{dimension}")
-
-
 def bronze_type_suite(bronze: Mapping[str, DataFrame]) -> DataFrame:
-    """Text in the bronze tables that does not read as the declared type of its column.
+    """Text in the bronze tables that does not read as the declared type of its column, and
+    records whose number of fields is not that of their header.
 
     Raises ``ValueError`` if every column arrived typed and there is no text to check.
     """
@@ -102,12 +97,13 @@ def bronze_type_suite(bronze: Mapping[str, DataFrame]) -> DataFrame:
     for name, df in bronze.items():
         arrived = dict(df.dtypes)
         types = {
-            column: wanted
+            column: (wanted, read_as(column, wanted))
             for column, wanted in SOURCES[name].types.items()
             if wanted != "string" and arrived.get(column) == "string"
         }
-        if types:
-            results.append(check_table(df, f"bronze.{name}", types=types))
+        malformed = [MALFORMED] if MALFORMED in arrived else []
+        if types or malformed:
+            results.append(check_table(df, f"bronze.{name}", types=types, no_values=malformed))
     if not results:
         raise ValueError("no text columns to check")
     return union_results(results)

@@ -4,14 +4,14 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.lazy import LazyTables
 from stratamart.plans.gold import Gold, gold_from_silver, gold_from_tables
 from stratamart.plans.quality import bronze_type_suite, enforce, gold_suite, silver_suite
 from stratamart.plans.silver import silver as clean_all
 from stratamart.sources.jdbc import JdbcTarget
-from stratamart.sources.layers import Layer
+from stratamart.sources.layers import Layer, new_version
 from stratamart.specs import GOLD_TABLES, LOADED_AT, METADATA_COLUMNS, PROCESSED_AT
 
 Layout = Mapping[str, Sequence[str]]
@@ -47,19 +47,44 @@ def stored_silver(spark: SparkSession, lake: Lake, tables: list[str]) -> Mapping
 
 
 def write_gold(
-    spark: SparkSession, lake: Lake, tables: list[str], layout: Layout | None = None
+    spark: SparkSession,
+    lake: Lake,
+    tables: list[str],
+    layout: Layout | None = None,
+    version: str | None = None,
 ) -> dict[str, int]:
     built = gold_from_silver(stored_silver(spark, lake, tables))
-    return lake.gold.write_all(built.tables(), stamp=LOADED_AT, layout=layout)
+    return lake.gold.write_all(built.tables(), stamp=LOADED_AT, layout=layout, version=version)
+
+
+def stored_gold(spark: SparkSession, lake: Lake, version: str | None = None) -> Gold:
+    return gold_from_tables(lake.gold.read_all(spark, GOLD_TABLES, version))
 
 
-def stored_gold(spark: SparkSession, lake: Lake) -> Gold:
-    return gold_from_tables(lake.gold.read_all(spark, GOLD_TABLES))
+# The numeric columns by which facts are read over several connections.
+FACT_PARTITIONS = {"fact_order_items": "order_date_id", "fact_reviews": "review_date_id"}
+
+
+def warehouse_gold(
+    spark: SparkSession,
+    target: JdbcTarget,
+    bounds: Mapping[str, tuple[str, object, object]] | None = None,
+) -> Gold:
+    """The published tables read back over JDBC, for reports on the warehouse itself.
+
+    ``bounds`` gives, for a table, a column with its lowest and highest value; the table is
+    then read over parallel connections. The dated facts have theirs from the calendar.
+    """
+    known = dict(bounds or {})
 
+    def read(name: str) -> DataFrame:
+        if name in FACT_PARTITIONS and name not in known:
+            days = target.read(spark, "dim_date").agg(F.min("date_id"), F.max("date_id")).first()
+            if days[0] is not None:
+                known[name] = (FACT_PARTITIONS[name], *days)
+        return target.read(spark, name, *known.get(name, ()))
 
-def warehouse_gold(spark: SparkSession, target: JdbcTarget) -> Gold:
-    """The published tables read back over JDBC, for reports on the warehouse itself."""
-    return gold_from_tables(LazyTables({n: partial(target.read, spark, n) for n in GOLD_TABLES}))
+    return gold_from_tables(LazyTables({n: partial(read, n) for n in GOLD_TABLES}))
 
 
 def publish_to_layer(target: Layer) -> Publisher:
@@ -94,7 +119,8 @@ def run(
 ) -> dict[str, dict[str, int]]:
     """All stages; returns the rows written per stage and table.
 
-    A failed check raises before anything is published. ``gate_silver`` also stops before
+    A failed check raises before gold replaces the gold that is read and before anything is
+    published. ``gate_silver`` also stops before
     gold is built, ``gate_bronze`` before cleaning if text does not read as its declared
     type. ``layout`` maps gold tables to the columns they are laid out by, for example
     ``{"fact_order_items": ["order_date_id"]}``. Every stage replaces its tables, so a run
@@ -108,10 +134,12 @@ def run(
     silver_results = silver_suite(stored_silver(spark, lake, tables))
     if gate_silver:
         enforce(silver_results)
-    written["gold"] = write_gold(spark, lake, tables, layout)
-    gold = stored_gold(spark, lake)
+    version = new_version()
+    written["gold"] = write_gold(spark, lake, tables, layout, version)
+    gold = stored_gold(spark, lake, version)
     gold_results = gold_suite(gold)
     enforce(gold_results if gate_silver else silver_results.unionByName(gold_results))
+    lake.gold.commit(spark, GOLD_TABLES, version)
     if publish:
         stored = lake.gold.read_all(spark, GOLD_TABLES)
         written["published"] = publish(spark, stored, written["gold"])

@@ -8,9 +8,9 @@ reach the scan.
 from collections.abc import Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from stratamart.functions.dates import parse_timestamp
+from stratamart.functions.dates import finite, parse_timestamp
 from stratamart.functions.text import lower_trim, trim_only
 from stratamart.lazy import LazyTables
 from stratamart.operators.dedup import keep_first
@@ -18,21 +18,27 @@ from stratamart.operators.filters import require
 from stratamart.specs import METADATA_COLUMNS, SOURCES, SourceSpec
 
 
+def read_as(column: str, wanted: str) -> Column:
+    """A text column as its declared type; NULL where the text does not read as that."""
+    if wanted == "timestamp_ntz":
+        return parse_timestamp(column)
+    value = F.col(column).try_cast(wanted)
+    return finite(value) if wanted in ("double", "float") else value
+
+
 def conform(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Give text columns their declared type; unreadable text becomes NULL.
 
-    Columns that arrive typed (from a columnar source) keep their type.
+    Columns that arrive typed (from a columnar source) keep their type. NaN and infinity are
+    no readings of a number, in text or typed.
     """
     arrived = dict(df.dtypes)
     parsed = {}
     for column, wanted in spec.types.items():
-        if arrived.get(column) != "string" or wanted == "string":
-            continue
-        parsed[column] = (
-            parse_timestamp(column)
-            if wanted == "timestamp_ntz"
-            else F.col(column).try_cast(wanted)
-        )
+        if arrived.get(column) in ("double", "float"):
+            parsed[column] = finite(F.col(column))
+        elif arrived.get(column) == "string" and wanted != "string":
+            parsed[column] = read_as(column, wanted)
     return df.withColumns(parsed) if parsed else df
 
 

@@ -49,8 +49,8 @@ def _columns(name: str) -> list[str]:
 # --- expressions -------------------------------------------------------------------------
 
 
-def _cents(column: str) -> str:
-    return f"CAST(floor({column} * 100 + 0.5) AS HUGEINT)"
+def _decimal(column: str) -> str:
+    return f"CAST({column} AS DECIMAL(18, 6))"
 
 
 def _ratio(num: str, den: str, digits: int, scale: int = 1) -> str:
@@ -61,7 +61,7 @@ def _ratio(num: str, den: str, digits: int, scale: int = 1) -> str:
 
 
 def _mean(column: str) -> str:
-    return f"{_ratio(f'SUM({_cents(column)})', f'COUNT({column})', 0)} / 100.0"
+    return _ratio(f"1000000 * SUM({_decimal(column)})", f"1000000 * COUNT({column})", 2)
 
 
 def _day_key(column: str) -> str:
@@ -178,7 +178,7 @@ CTES: dict[str, str] = {
 
 def _keep_first(name: str, source: str) -> str:
     spec = SOURCES[name]
-    order = [f"{c} ASC NULLS FIRST" for c in _columns(name) if c not in spec.key]
+    order = [f"{c} ASC NULLS LAST" for c in _columns(name) if c not in spec.key]
     order_by = f" ORDER BY {', '.join(order)}" if order else ""
     return (
         f"SELECT * FROM {source} "
@@ -395,17 +395,18 @@ def _gold_checks(prefix: str) -> str:
 # --- reports -------------------------------------------------------------------------------
 
 _REVENUE = "ROUND(SUM(f.price + f.freight_value), 2)"
-_REVENUE_CENTS = f"SUM({_cents('f.price')} + {_cents('f.freight_value')})"
 _ORDERS = "COUNT(DISTINCT f.order_id)"
-_ORDER_VALUE = f"{_ratio(_REVENUE_CENTS, _ORDERS, 0)} / 100.0"
+_ORDER_VALUE = _ratio(
+    f"1000000 * SUM({_decimal('f.price')} + {_decimal('f.freight_value')})", f"1000000 * {_ORDERS}", 2
+)
 _DATED = "fact_order_items f JOIN dim_date d ON d.date_id = f.order_date_id"
 _SOLD = "fact_order_items f JOIN dim_product p ON p.product_id = f.product_id"
 _PLACED = "fact_order_items f JOIN dim_customer c ON c.customer_id = f.customer_id"
 _RATED = f"{_SOLD} JOIN fact_reviews r ON r.order_id = f.order_id"
 _SCORE = _ratio("SUM(r.review_score)", "COUNT(r.review_score)", 2)
 _FREIGHT_SHARE = _ratio(
-    f"SUM({_cents('f.freight_value')}) * COUNT(f.price)",
-    f"SUM({_cents('f.price')}) * COUNT(f.freight_value)",
+    f"CAST(100 * SUM({_decimal('f.freight_value')}) AS HUGEINT) * COUNT(f.price)",
+    f"CAST(100 * SUM({_decimal('f.price')}) AS HUGEINT) * COUNT(f.freight_value)",
     1,
     scale=100,
 )
@@ -513,11 +514,43 @@ def _counts(stage: str | None, relations: dict[str, str]) -> str:
     )
 
 
+def _both_ways(select: str) -> str:
+    return f"SELECT *, unnest([false, true]) AS by_splits FROM ({select})"
+
+
 _PURCHASED = "order_purchase_timestamp"
 
 _OPERATORS = {
     "csv_multiline_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "csv_split_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "csv_stray_quote": _both_ways(
+        "SELECT doc_id, n_chars || '\" wide' AS size, text FROM documents"
+    ),
+    "csv_leading_blank_lines": _both_ways("SELECT doc_id, text FROM documents"),
+    "csv_mixed_headers": _both_ways(
+        "SELECT doc_id, lang, CASE WHEN doc_id % 3 < 2 THEN text END AS text FROM documents"
+    ),
+    "csv_padded_text": _both_ways(
+        """SELECT customer_id, customer_city,
+                  CASE coalesce(customer_id % 7, 6) WHEN 1 THEN '' WHEN 2 THEN chr(9) || 'tab' || chr(10)
+                       WHEN 3 THEN '"' WHEN 6 THEN NULL ELSE '  pad  ' END AS note
+           FROM faulty_customers"""
+    ),
+    "sum_fractional_amounts": """
+        SELECT l_returnflag, CAST(round(sum(tax), 2) AS DOUBLE) AS total_tax,
+               CAST(round(sum(tax) / count(tax), 2) AS DOUBLE) AS avg_tax
+        FROM (SELECT l_returnflag, CAST(l_extendedprice * l_tax AS DECIMAL(18, 6)) AS tax
+              FROM lineitem)
+        GROUP BY l_returnflag""",
+    "sql_views_report": """
+        SELECT s.seller_state, d.year, d.quarter, count(*) AS items,
+               count(DISTINCT f.order_id) AS orders, max(f.price) AS dearest
+        FROM fact_order_items f JOIN dim_seller s ON s.seller_id = f.seller_id
+        LEFT JOIN dim_date d ON d.date_id = f.order_date_id
+        GROUP BY s.seller_state, d.year, d.quarter""",
+    "gate_blocks_publishing": "SELECT *, 1 AS blocked, 0 AS published FROM ("
+    + _counts(None, {name: name for name in GOLD_TABLES})
+    + ")",
     "ingest_metadata": _all(
         *[
             f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, COUNT(*) AS with_time, "

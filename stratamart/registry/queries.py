@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.functions.dates import day, day_key, period_label
+from stratamart.functions.exact import amount, rounded_mean, units
 from stratamart.functions.text import lower_trim, trim_only
 from stratamart.operators.checks import check_reference, check_table
 from stratamart.operators.dedup import distinct_values, keep_first
@@ -13,11 +14,11 @@ from stratamart.operators.joins import left_lookup, orphan_keys
 from stratamart.plans import quality, silver as cleaners
 from stratamart.plans.gold import Gold, date_bounds, fact_order_items, gold_from_silver
 from stratamart.plans.reports import REPORTS
-from stratamart.plans.run import Lake, publish_to_layer, run
+from stratamart.plans.run import Lake, publish_to_layer, run, stored_gold
 from stratamart.plans.silver import silver
 from stratamart.registry import faults
 from stratamart.sources import tpch
-from stratamart.sources.csv import ingest, read_csv, write_csv
+from stratamart.sources.csv import WRITE, ingest, read_csv, write_csv
 from stratamart.sources.layers import Layer, row_counts, scratch_directory
 from stratamart.specs import GOLD_TABLES, INGESTED_AT, LOADED_AT, SOURCE_FILE, SOURCES
 
@@ -52,6 +53,103 @@ def _csv_roundtrip(split_files: bool) -> Query:
     return query
 
 
+def csv_stray_quote(spark, sf_dir):
+    """An unquoted field with a quote in it beside quoted texts; both readers, split as equal."""
+    path = f"{scratch_directory(spark)}/documents"
+    size = F.concat(F.col("n_chars").cast("string"), F.lit('" wide'))
+    rows = tpch.table(spark, sf_dir, "documents").select("doc_id", size.alias("size"), "text")
+    rows.write.options(**WRITE).option("escapeQuotes", "false").csv(path)
+    return _read_both_ways(spark, path, "doc_id", "size", "text")
+
+
+def csv_leading_blank_lines(spark, sf_dir):
+    """Files that begin with blank lines before the header."""
+    path = f"{scratch_directory(spark)}/documents"
+    text = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), F.coalesce(text, F.lit("")))
+    # The first row of each partition, hence of each file, also carries what precedes it.
+    is_first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    first = F.when(is_first, F.lit("\n\ndoc_id,text\n")).otherwise(F.lit(""))
+    tpch.table(spark, sf_dir, "documents").select(F.concat(first, line)).write.text(path)
+    return _read_both_ways(spark, path, "doc_id", "text")
+
+
+def csv_mixed_headers(spark, sf_dir):
+    """Files with other column orders, and without a column, in one place."""
+    path = f"{scratch_directory(spark)}/documents"
+    docs = tpch.table(spark, sf_dir, "documents")
+    for part, columns in enumerate((["doc_id", "lang", "text"], ["text", "doc_id", "lang"], ["lang", "doc_id"])):
+        rows = docs.filter(F.col("doc_id") % 3 == part).select(columns)
+        rows.write.mode("append").options(**WRITE).csv(path)
+    return _read_both_ways(spark, path, "doc_id", "lang", "text")
+
+
+def csv_padded_text(spark, sf_dir):
+    """Padded, empty, blank and missing texts, written and read back."""
+    path = f"{scratch_directory(spark)}/customers"
+    key = F.coalesce(F.col("customer_id") % 7, F.lit(6))
+    odd = F.when(key == 1, "").when(key == 2, "\ttab\n").when(key == 3, '"').when(key < 6, "  pad  ")
+    rows = faults.customers(spark, sf_dir).select("customer_id", "customer_city", odd.alias("note"))
+    write_csv(rows, path)
+    return _read_both_ways(spark, path, "customer_id", "customer_city", "note")
+
+
+def _read_both_ways(spark, path, key, *texts):
+    """Rows by the reader of whole files and by that of splits, told apart by a column."""
+    both = [
+        read_csv(spark, path, split_files=split).select(
+            F.col(key).cast("long").alias(key), *texts, F.lit(split).alias("by_splits")
+        )
+        for split in (False, True)
+    ]
+    return both[0].unionByName(both[1])
+
+
+def sum_fractional_amounts(spark, sf_dir):
+    """Amounts with fractions of a cent, summed before rounding."""
+    lines = tpch.table(spark, sf_dir, "lineitem")
+    tax = lines.select("l_returnflag", (F.col("l_extendedprice") * F.col("l_tax")).alias("tax"))
+    total = F.sum(units("tax"))
+    return tax.groupBy("l_returnflag").agg(
+        amount(total).alias("total_tax"), rounded_mean(total, F.count("tax")).alias("avg_tax")
+    )
+
+
+def sql_views_report(spark, sf_dir):
+    """Items and distinct orders per seller's state and quarter, in SQL over the gold views."""
+    clean_gold(spark, sf_dir).create_views()
+    return spark.sql(
+        """
+        SELECT s.seller_state, d.year, d.quarter, COUNT(*) AS items,
+               COUNT(DISTINCT f.order_id) AS orders, MAX(f.price) AS dearest
+        FROM fact_order_items f
+        JOIN dim_seller s ON s.seller_id = f.seller_id
+        LEFT JOIN dim_date d ON d.date_id = f.order_date_id
+        GROUP BY s.seller_state, d.year, d.quarter
+        """
+    )
+
+
+def gate_blocks_publishing(spark, sf_dir):
+    """Rows that readers see after a good run and a bad one: the good run's, nothing published."""
+    lake = Lake.under(scratch_directory(spark))
+    run(spark, tpch.sources(spark, sf_dir), lake)
+    published, blocked = [], 0
+    bad = dict(faults.sources(spark, sf_dir))
+    try:
+        run(spark, bad, lake, publish=lambda *given: published.append(given) or {})
+    except quality.DataQualityError:
+        blocked = 1
+    seen = stored_gold(spark, lake)
+    counts = [
+        seen[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "*")
+        for name in GOLD_TABLES
+    ]
+    return quality.union_results(counts).withColumns(
+        {"blocked": F.lit(blocked), "published": F.lit(len(published))}
+    )
+
+
 def _csv_drop(spark: SparkSession, sf_dir: str) -> str:
     """Write the nine roles as a CSV drop that follows the manifest's file names."""
     root = scratch_directory(spark)
@@ -280,7 +378,14 @@ def _report(name: str) -> Query:
 QUERIES: dict[str, Query] = {
     "csv_multiline_roundtrip": _csv_roundtrip(split_files=False),
     "csv_split_roundtrip": _csv_roundtrip(split_files=True),
+    "csv_stray_quote": csv_stray_quote,
+    "csv_leading_blank_lines": csv_leading_blank_lines,
+    "csv_mixed_headers": csv_mixed_headers,
+    "csv_padded_text": csv_padded_text,
     "ingest_metadata": ingest_metadata,
+    "sum_fractional_amounts": sum_fractional_amounts,
+    "sql_views_report": sql_views_report,
+    "gate_blocks_publishing": gate_blocks_publishing,
     "layer_roundtrip": layer_roundtrip,
     "layer_row_counts": layer_row_counts,
     "filter_not_null_key": filter_not_null_key,

@@ -1,14 +1,25 @@
 """CSV sources: header, quoted fields that span lines, doubled quotes inside quotes."""
 
+from collections import defaultdict
 from collections.abc import Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from fnmatch import fnmatchcase
+from functools import reduce
+from urllib.parse import unquote, urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.sources.csv_split import read_split_csv
-from stratamart.specs import INGESTED_AT, SOURCE_FILE, SOURCES, SourceSpec
+from stratamart.specs import INGESTED_AT, MALFORMED, SOURCE_FILE, SOURCES, SourceSpec
 
 # The dialect of the sources.
 DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+#: Reading: an empty field is NULL and a quoted empty one is the empty text. Spark tells them
+#: apart only if NULL is spelt by something else; no file holds this.
+READ = {**DIALECT, "nullValue": "￾\u0000null", "emptyValue": ""}
+#: Writing: blanks at the ends of a text are part of it.
+WRITE = {**DIALECT, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_csv(
@@ -21,34 +32,58 @@ def read_csv(
     """Read CSV by header name; all columns are text unless ``infer_schema``.
 
     Text keeps leading zeros and makes one broken row visible as such instead of changing
-    a column's type; the cleaners give columns their declared type.
+    a column's type; the cleaners give columns their declared type. Columns are bound by the
+    header of each file, so files may order them differently or lack some.
 
     By default each file is one task, because a line end may be inside quotes. That suits
     drops of many files. For a few huge files there are two ways to read them in splits:
     ``record_separator`` if records end in something that does not occur inside fields (for
     example CR LF around fields with bare LF), else ``split_files``, which finds the record
-    ends itself (see :mod:`stratamart.sources.csv_split`).
+    ends itself (see :mod:`stratamart.sources.csv_split`). Both ways return the same rows.
     """
-    if split_files:
-        if infer_schema or record_separator is not None:
-            raise ValueError("split_files reads text columns and finds record ends itself")
-        return _split_csv(spark, path).drop(SOURCE_FILE)
-    reader = spark.read.options(**DIALECT).option("inferSchema", str(infer_schema).lower())
-    if record_separator is None:
-        reader = reader.option("multiLine", "true")
-    else:
-        reader = reader.option("lineSep", record_separator)
-    return reader.csv(path)
-
-
-def _split_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    header = spark.read.options(**DIALECT).option("multiLine", "true").csv(path).columns
-    return read_split_csv(spark, path, header, DIALECT)
+    if split_files and (infer_schema or record_separator is not None):
+        raise ValueError("split_files reads text columns and finds record ends itself")
+    if infer_schema or record_separator is not None:
+        reader = spark.read.options(**READ).option("inferSchema", str(infer_schema).lower())
+        if record_separator is None:
+            return reader.option("multiLine", "true").csv(path)
+        return reader.option("lineSep", record_separator).csv(path)
+    return read_records(spark, path, split_files).drop(MALFORMED, SOURCE_FILE)
+
+
+def read_records(spark: SparkSession, path: str | list[str], split_files: bool) -> DataFrame:
+    """Text columns, source file and, of a record whose number of fields is not that of its
+    header, the raw text. Such a record keeps the fields it has."""
+    parts = []
+    for header, files in _by_header(spark, path).items():
+        if split_files:
+            parts.append(read_split_csv(spark, files, list(header), READ))
+        else:
+            schema = ", ".join("`{}` string".format(c.replace("`", "``")) for c in [*header, MALFORMED])
+            reader = spark.read.options(**READ).option("multiLine", "true").schema(schema)
+            rows = reader.option("columnNameOfCorruptRecord", MALFORMED).csv(files)
+            parts.append(rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path")))
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    own = [c for c in every.columns if c not in (MALFORMED, SOURCE_FILE)]
+    return every.select(*own, MALFORMED, SOURCE_FILE)
+
+
+def _by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header. Reads the first record of each file, some files at a time."""
+    reader = spark.read.options(**READ).option("multiLine", "true")
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        headers = pool.map(lambda file: tuple(reader.csv(unquote(file)).columns), files)
+        groups = defaultdict(list)
+        for file, header in zip(files, headers):
+            groups[header].append(unquote(file))
+    # A file without a record adds no columns, unless there are only such files.
+    return {h: f for h, f in groups.items() if h} or {(): files}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Write CSV in the same dialect, so that :func:`read_csv` returns equal text."""
-    df.write.mode("overwrite").options(**DIALECT).csv(path)
+    df.write.mode("overwrite").options(**WRITE).csv(path)
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
@@ -58,23 +93,43 @@ def with_ingest_metadata(df: DataFrame) -> DataFrame:
     )
 
 
+def located(spark: SparkSession, raw_dir: str, spec: SourceSpec) -> str:
+    """The one place that a source's pattern names: a file, or a directory of part files."""
+    pattern = f"{raw_dir}/{spec.file_pattern}"
+    try:
+        files = spark.read.text(pattern).inputFiles()
+    except AnalysisException as error:
+        raise ValueError(f"{spec.name}: nothing matches {pattern}") from error
+    names = set()
+    for file in files:
+        folders = unquote(urlparse(file).path).split("/")
+        names.add([f for f in folders if fnmatchcase(f, spec.file_pattern)][-1])
+    if len(names) != 1:
+        raise ValueError(f"{spec.name}: {pattern} matches {sorted(names) or 'no file'}; name one in paths")
+    return f"{raw_dir}/{names.pop()}"
+
+
 def ingest(
     spark: SparkSession,
     raw_dir: str,
     paths: Mapping[str, str] | None = None,
     specs: Mapping[str, SourceSpec] = SOURCES,
     infer_schema: bool = False,
-    split_files: Collection[str] = (),
+    whole_files: Collection[str] = (),
 ) -> dict[str, DataFrame]:
-    """Bronze DataFrames for every source in the manifest.
+    """Bronze DataFrames for every source in the manifest, read in splits.
 
-    ``paths`` overrides locations; ``split_files`` names the sources to read in splits.
+    ``paths`` overrides locations. ``whole_files`` names the sources to read with one task a
+    file, as all are with ``infer_schema``. Records with too few or too many fields carry
+    their raw text in a column of their own, which the type check of bronze counts.
     """
-    located = {name: f"{raw_dir}/{spec.file_pattern}" for name, spec in specs.items()}
-    located |= dict(paths or {})
+    places = dict(paths or {})
+    places |= {n: located(spark, raw_dir, spec) for n, spec in specs.items() if n not in places}
     return {
-        name: _split_csv(spark, path).withColumn(INGESTED_AT, F.current_timestamp())
-        if name in split_files
-        else with_ingest_metadata(read_csv(spark, path, infer_schema))
-        for name, path in located.items()
+        name: with_ingest_metadata(read_csv(spark, place, infer_schema))
+        if infer_schema
+        else read_records(spark, place, name not in whole_files).withColumn(
+            INGESTED_AT, F.current_timestamp()
+        )
+        for name, place in ((n, places[n]) for n in specs)
     }

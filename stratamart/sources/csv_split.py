@@ -3,11 +3,13 @@
 A quoted field may hold line ends, so Spark's multi-line reader gives each file to one task.
 Here the file is read as lines, in ordinary splits, and the records are put together again:
 
-1. A line end is inside a field when the number of quotes before it is odd. The quotes are
-   counted per split; their running sum over the splits of a file (one small row per split)
-   tells in which state each split begins.
-2. Within a split, the same running count marks the lines that begin a record. The lines of
-   a record are joined in place: the shuffle by split also serves that grouping.
+1. Whether a line end is inside a field depends on how the line began. A quote opens a field
+   only at the field's start; elsewhere in an unquoted field it is text. So each line is a
+   transition: for either state at its begin (outside or inside a quoted field) the state at
+   its end. The transitions of a split compose to one (a small row per split), and composed
+   over the splits of a file they tell in which state each split begins.
+2. Within a split, the same composition marks the lines that begin a record. The lines of a
+   record are joined in place: the shuffle by split also serves that grouping.
 3. Only the pieces at the two edges of a split can belong to a record that crosses into the
    next one. They alone are shuffled again and joined across splits.
 
@@ -17,35 +19,61 @@ split).
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from stratamart.specs import SOURCE_FILE
+from stratamart.specs import MALFORMED, SOURCE_FILE
 
 _SPLIT = [SOURCE_FILE, "_split"]
+# States within a record: at a field's start, in an unquoted field, in a quoted one, after a
+# quote in a quoted one (its end, or the first of two).
+_START, _PLAIN, _QUOTED, _CLOSING = range(4)
 
 
 def read_split_csv(
     spark: SparkSession, path: str | list[str], columns: list[str], dialect: Mapping[str, str]
 ) -> DataFrame:
-    """Text columns and the source file of CSV files that begin with a header.
+    """Text columns, raw text of malformed records, and source file of CSV files.
 
-    Quotes may stand in quoted fields only, as RFC 4180 has it.
+    Each file begins with a header: its first record that is not blank.
     """
     pieces = _pieces(_lines(spark, path))
-    inside = pieces.filter("is_whole").select(SOURCE_FILE, "_split", "_record", "text")
+    inside = pieces.filter("is_whole").select(SOURCE_FILE, "text", "is_header")
     records = inside.unionByName(_joined_across_splits(pieces.filter("NOT is_whole")))
-    is_header = (F.col("_split") == 0) & (F.col("_record") == 1)
-    names = ", ".join("`{}` string".format(c.replace("`", "``")) for c in columns)
-    row = F.from_csv("text", names, dict(dialect))
+    names = ", ".join("`{}` string".format(c.replace("`", "``")) for c in [*columns, MALFORMED])
+    options = {**dialect, "columnNameOfCorruptRecord": MALFORMED}
+    row = F.from_csv("text", names, options)
     return (
-        records.filter(~is_header & (F.col("text") != ""))
+        records.filter(~F.col("is_header") & (F.col("text") != ""))
         .select(row.alias("_row"), SOURCE_FILE)
         .select("_row.*", SOURCE_FILE)
     )
 
 
+def _end_state(line: Column, begin: int) -> Column:
+    """State at the end of a line that begins in a state."""
+
+    def step(state: Column, token: Column) -> Column:
+        quote, comma = token == '"', token == ","
+        return (
+            F.when(state == _QUOTED, F.when(quote, _CLOSING).otherwise(_QUOTED))
+            .when(comma, F.lit(_START))
+            .when((state == _START) & quote, F.lit(_QUOTED))
+            .when((state == _CLOSING) & quote, F.lit(_QUOTED))
+            .otherwise(F.lit(_PLAIN))
+        )
+
+    tokens = F.regexp_extract_all(line, F.lit(r'[",]|[^",]+'), F.lit(0))
+    return F.aggregate(tokens, F.lit(begin), step)
+
+
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    without_quotes = F.replace(F.col("value"), F.lit('"'), F.lit(""))
+    """Lines with their transitions: ``fixed`` is the state at the end where it does not depend
+    on that at the begin, else NULL and ``swaps`` tells whether it is the other one."""
+    line = F.col("value")
+    from_outside = (_end_state(line, _START) == _QUOTED).cast("int")
+    from_inside = (_end_state(line, _QUOTED) == _QUOTED).cast("int")
+    plain = ~F.contains(line, F.lit('"'))
+    ends = F.when(~plain, F.struct(from_outside.alias("outside"), from_inside.alias("inside")))
     return (
         spark.read.option("lineSep", "\n")
         .text(path)
@@ -53,53 +81,96 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
             F.col("_metadata.file_path").alias(SOURCE_FILE),
             F.col("_metadata.file_block_start").alias("_split"),
             F.monotonically_increasing_id().alias("_line"),
-            F.col("value").alias("text"),
-            (F.length("value") - F.length(without_quotes)).cast("long").alias("quotes"),
+            line.alias("text"),
+            ends.alias("ends"),
+        )
+        .select(
+            *_SPLIT,
+            "_line",
+            "text",
+            F.expr("IF(ends.outside = ends.inside, ends.outside, NULL)").alias("fixed"),
+            F.expr("IF(ends.outside > ends.inside, 1, 0)").alias("swaps"),
         )
     )
 
 
-def _split_states(lines: DataFrame) -> DataFrame:
-    """Per split: quotes in the file before it, and whether it ends inside a field.
+def _composed(lines: DataFrame) -> DataFrame:
+    """Transition from the begin of the split to the end of each line: ``turned`` counts swaps
+    so far, ``last`` holds the last fixed state and the swaps up to it."""
+    so_far = (
+        Window.partitionBy(*_SPLIT)
+        .orderBy("_line")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    counted = lines.withColumn("turned", F.sum("swaps").over(so_far))
+    fixed = F.when(F.col("fixed").isNotNull(), F.struct("fixed", "turned"))
+    return counted.withColumn("last", F.last(fixed, ignorenulls=True).over(so_far))
 
-    Also whether the file ends its lines in CR LF. If its first line does, every CR LF is
-    read as LF, as Spark's own reader does.
+
+def _state_after(entry: Column, turned: Column, last: Column) -> Column:
+    begin = F.coalesce(last["fixed"], entry)
+    return (begin + turned - F.coalesce(last["turned"], F.lit(0))) % 2
+
+
+def _split_states(composed: DataFrame) -> DataFrame:
+    """Per split: the state it begins and ends in, the file's header line, its line ends.
+
+    If a file's first line ends in CR LF, every CR LF is read as LF, as Spark's own reader
+    does.
     """
+    whole = F.max_by(F.struct("turned", "last"), "_line")
+    blank = F.col("text").isin("", "\r")
+    totals = composed.groupBy(*_SPLIT).agg(
+        whole.alias("whole"),
+        F.min_by(F.col("text").endswith("\r"), "_line").alias("first_ends_in_cr"),
+        F.min(F.when(~blank, F.col("_line"))).alias("first_line"),
+    )
     in_file = Window.partitionBy(SOURCE_FILE).orderBy("_split")
-    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
     so_far = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = lines.groupBy(*_SPLIT).agg(
-        F.sum("quotes").alias("total"),
-        F.min_by(F.col("text").endswith("\r"), "_line").alias("first_ends_in_cr"),
+    swaps = F.col("whole.turned") - F.coalesce(F.col("whole.last.turned"), F.lit(0))
+    turned = totals.withColumns({"fixed": F.col("whole.last.fixed"), "swaps": swaps})
+    turned = turned.withColumn(
+        "turned", F.sum(F.when(F.col("fixed").isNull(), F.col("swaps")).otherwise(0)).over(so_far)
     )
-    before = F.coalesce(F.sum("total").over(earlier), F.lit(0))
-    return totals.select(
+    state = (F.col("fixed") + F.col("swaps")) % 2
+    known = F.when(F.col("fixed").isNotNull(), F.struct(state.alias("fixed"), "turned"))
+    ended = turned.withColumn("known", F.last(known, ignorenulls=True).over(so_far))
+    ends = _state_after(F.lit(0), F.col("turned"), F.col("known"))
+    whole_file = Window.partitionBy(SOURCE_FILE)
+    return ended.withColumn("ends", ends).select(
         *_SPLIT,
-        before.alias("quotes_before"),
-        ((before + F.col("total")) % 2 == 1).alias("ends_inside"),
+        F.coalesce(F.lag("ends").over(in_file), F.lit(0)).alias("entry"),
+        (F.col("ends") == 1).alias("ends_inside"),
         F.first("first_ends_in_cr").over(so_far).alias("crlf"),
+        F.min_by("first_line", F.when(F.col("first_line").isNotNull(), F.col("_split")))
+        .over(whole_file)
+        .alias("header_line"),
     )
 
 
 def _pieces(lines: DataFrame) -> DataFrame:
     """The records of each split, numbered from 1; number 0 continues the split before."""
+    composed = _composed(lines)
     in_order = Window.partitionBy(*_SPLIT).orderBy("_line")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    quotes = F.col("quotes_before") + F.coalesce(F.sum("quotes").over(earlier), F.lit(0))
+    after = _state_after(F.col("entry"), F.col("turned"), F.col("last"))
     unified = F.when(F.col("crlf"), F.regexp_replace("text", r"\r\z", "")).otherwise(F.col("text"))
     marked = (
-        lines.join(_split_states(lines), _SPLIT)
+        composed.join(_split_states(composed), _SPLIT)
         .withColumn("text", unified)
-        .withColumn("begins", (quotes % 2 == 0).cast("long"))
+        .withColumn("after", after)
+        .withColumn("before", F.coalesce(F.lag("after").over(in_order), F.col("entry")))
+        .withColumn("begins", (F.col("before") == 0).cast("long"))
         .withColumn("_record", F.sum("begins").over(so_far))
         .withColumn("last_record", F.sum("begins").over(Window.partitionBy(*_SPLIT)))
     )
     ordered = F.array_sort(F.collect_list(F.struct("_line", "text")))
     is_last = F.col("_record") == F.max("last_record")
+    is_header = F.coalesce(F.max(F.col("_line") == F.col("header_line")), F.lit(False))
     return marked.groupBy(*_SPLIT, "_record").agg(
         F.array_join(F.transform(ordered, lambda line: line["text"]), "\n").alias("text"),
         ((F.col("_record") > 0) & ~(is_last & F.max("ends_inside"))).alias("is_whole"),
+        is_header.alias("is_header"),
     )
 
 
@@ -113,11 +184,10 @@ def _joined_across_splits(edges: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct(*place, "text")))
     return (
         chained.groupBy(SOURCE_FILE, "_chain")
-        .agg(ordered.alias("chain"))
+        .agg(ordered.alias("chain"), F.max("is_header").alias("is_header"))
         .select(
             SOURCE_FILE,
-            F.col("chain")[0]["_split"].alias("_split"),
-            F.col("chain")[0]["_record"].alias("_record"),
             F.array_join(F.transform("chain", lambda piece: piece["text"]), "\n").alias("text"),
+            "is_header",
         )
     )

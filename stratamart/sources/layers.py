@@ -1,6 +1,7 @@
 """Layer storage: tables under a directory or in a catalog schema, always fully replaced."""
 
 import tempfile
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -12,22 +13,57 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from stratamart.lazy import LazyTables
 
 
+_COMMIT = "at long, version string"
+
+
+def new_version() -> str:
+    return f"version-{uuid.uuid4()}"
+
+
 @dataclass(frozen=True)
 class Layer:
-    """``location`` is a directory, or a catalog schema when ``catalog`` is set."""
+    """``location`` is a directory, or a catalog schema when ``catalog`` is set.
+
+    In a directory of plain files (any format but Delta) every write goes to a new version of
+    the table, a folder of its own. ``commit`` then names the current version in one small
+    file, so readers see the old table until the new one is whole, and stay with it if the
+    write fails. Delta and catalog tables replace themselves. Old versions are kept for
+    readers that still use them; deleting them is left to the storage's retention.
+    """
 
     location: str
     fmt: str = "parquet"
     catalog: bool = False
     options: Mapping[str, str] = field(default_factory=dict)
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
+    @property
+    def versioned(self) -> bool:
+        return not self.catalog and self.fmt != "delta"
+
+    def read(self, spark: SparkSession, table: str, version: str | None = None) -> DataFrame:
+        """The current version of a table, or a named one that need not be committed."""
         if self.catalog:
             return spark.table(f"{self.location}.{table}")
-        return spark.read.format(self.fmt).load(f"{self.location}/{table}")
-
-    def read_all(self, spark: SparkSession, tables: Sequence[str]) -> LazyTables:
-        return LazyTables({table: partial(self.read, spark, table) for table in tables})
+        path = f"{self.location}/{table}"
+        if self.versioned:
+            path += f"/{version or self._current(spark, table)}"
+        return spark.read.format(self.fmt).load(path)
+
+    def read_all(
+        self, spark: SparkSession, tables: Sequence[str], version: str | None = None
+    ) -> LazyTables:
+        return LazyTables({table: partial(self.read, spark, table, version) for table in tables})
+
+    def _current(self, spark: SparkSession, table: str) -> str:
+        commits = spark.read.schema(_COMMIT).json(f"{self.location}/{table}/commits")
+        return commits.agg(F.max_by("version", "at")).first()[0]
+
+    def commit(self, spark: SparkSession, tables: Sequence[str], version: str) -> None:
+        """Make a written version of each table the one that is read."""
+        if self.versioned:
+            row = spark.createDataFrame([(time.time_ns(), version)], _COMMIT).coalesce(1)
+            for table in tables:
+                row.write.mode("append").json(f"{self.location}/{table}/commits")
 
     def write(
         self,
@@ -35,9 +71,12 @@ class Layer:
         table: str,
         stamp: str | None = None,
         partition_by: Sequence[str] = (),
+        version: str | None = None,
     ) -> int:
         """Replace a table and its schema; return the number of rows written.
 
+        With a ``version`` the rows are written under that name and wait for ``commit``.
+
         ``stamp`` names a column that receives the load time. Rows are counted by the write
         itself, in its last stage, where a retried task is counted once. ``partition_by``
         lays the table out by those columns; rows are first rebalanced on them, which keeps
@@ -56,8 +95,13 @@ class Layer:
             writer = writer.partitionBy(*partition_by)
         if self.catalog:
             writer.saveAsTable(f"{self.location}.{table}")
-        else:
+        elif not self.versioned:
             writer.save(f"{self.location}/{table}")
+        else:
+            own = version or new_version()
+            writer.save(f"{self.location}/{table}/{own}")
+            if version is None:
+                self.commit(df.sparkSession, [table], own)
         return counted.get["rows"]
 
     def write_all(
@@ -66,6 +110,7 @@ class Layer:
         stamp: str | None = None,
         layout: Mapping[str, Sequence[str]] | None = None,
         at_once: int = 4,
+        version: str | None = None,
     ) -> dict[str, int]:
         """Write independent tables, a few at a time, so that small ones share the cluster.
 
@@ -74,7 +119,7 @@ class Layer:
         columns = layout or {}
         with ThreadPoolExecutor(max_workers=at_once) as pool:
             jobs = {
-                name: pool.submit(self.write, df, name, stamp, columns.get(name, ()))
+                name: pool.submit(self.write, df, name, stamp, columns.get(name, ()), version)
                 for name, df in tables.items()
             }
             return {name: job.result() for name, job in jobs.items()}
@@ -94,6 +139,6 @@ def scratch_directory(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/stratamart-{uuid.uuid4()}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="stratamart-")

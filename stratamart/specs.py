@@ -179,6 +179,14 @@ GOLD_TABLES: tuple[str, ...] = (
 
 # Names of the row-metadata columns of each layer.
 INGESTED_AT, SOURCE_FILE = "_ingested_at", "_source_file"
+#: Raw text of a record whose number of fields is not that of its header.
+MALFORMED = "_malformed"
 PROCESSED_AT = "_processed_at"
 LOADED_AT = "_loaded_at"
-METADATA_COLUMNS: tuple[str, ...] = (INGESTED_AT, SOURCE_FILE, PROCESSED_AT, LOADED_AT)
+METADATA_COLUMNS: tuple[str, ...] = (
+    INGESTED_AT,
+    SOURCE_FILE,
+    PROCESSED_AT,
+    LOADED_AT,
+    MALFORMED,
+)

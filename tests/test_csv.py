@@ -1,6 +1,9 @@
 """CSV: line ends and quotes inside fields, leading zeros, manifest ingest, split reading."""
 
+import uuid
+
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from stratamart.sources.csv import ingest, read_csv, write_csv
@@ -107,7 +110,7 @@ def test_ingest_follows_the_manifest(spark, tmp_path):
     for spec in SOURCES.values():
         file = tmp_path / spec.file_pattern.replace("*", "public_")
         file.write_text(",".join(spec.types) + "\n" + ",".join("1" for _ in spec.types) + "\n")
-    bronze = ingest(spark, str(tmp_path), split_files={"order_reviews"})
+    bronze = ingest(spark, str(tmp_path), whole_files={"order_reviews"})
     assert list(bronze) == list(SOURCES) and len(bronze) == 9
     for name, df in bronze.items():
         row = df.first()
@@ -115,3 +118,72 @@ def test_ingest_follows_the_manifest(spark, tmp_path):
         assert row[INGESTED_AT] is not None
         assert row[SOURCE_FILE].endswith(".csv")
         assert set(SOURCES[name].types) < set(df.columns)
+
+
+def _both(spark, path, split_size, sizes=("8B", "64B", "3KB")):
+    whole = read_csv(spark, path)
+    rows = sorted(map(str, whole.collect()))
+    for size in sizes:
+        split_size(size)
+        split = read_csv(spark, path, split_files=True)
+        assert split.columns == whole.columns
+        assert sorted(map(str, split.collect())) == rows, size
+    return whole
+
+
+def test_a_stray_quote_is_text(spark, tmp_path, split_size):
+    (tmp_path / "f.csv").write_text('id,note\n1,5" pipe\n2,b\n3,"c\n""d"""\n4,e"\n')
+    rows = {r.id: r.note for r in _both(spark, str(tmp_path), split_size).collect()}
+    assert rows == {"1": '5" pipe', "2": "b", "3": 'c\n"d"', "4": 'e"'}
+
+
+def test_blank_lines_before_the_header(spark, tmp_path, split_size):
+    (tmp_path / "f.csv").write_text("\n\n\nid,note\n1,a\n\n2,b\n")
+    rows = {r.id: r.note for r in _both(spark, str(tmp_path), split_size).collect()}
+    assert rows == {"1": "a", "2": "b"}
+
+
+def test_columns_are_bound_by_each_file_s_header(spark, tmp_path, split_size):
+    (tmp_path / "a.csv").write_text("id,score,note\n1,5,x\n")
+    (tmp_path / "b.csv").write_text("id,note,score\n2,y,4\n")
+    (tmp_path / "c.csv").write_text("note,id\nz,3\n")
+    found = _both(spark, str(tmp_path), split_size).select("id", "score", "note")
+    assert sorted(map(tuple, found.collect())) == [("1", "5", "x"), ("2", "4", "y"), ("3", None, "z")]
+
+
+def test_texts_come_back_as_written(spark, tmp_path, split_size):
+    texts = ["  pad  ", " x\ny ", "\ttab", "", None, '"', '""', "a,b", " ", "\\", "é\n"]
+    rows = list(enumerate(texts))
+    write_csv(spark.createDataFrame(rows, "id long, note string").coalesce(1), str(tmp_path / "t"))
+    back = _both(spark, str(tmp_path / "t"), split_size)
+    assert {int(r.id): r.note for r in back.collect()} == dict(rows)
+
+
+_plain = st.text("ab\" \t'", min_size=1, max_size=6).filter(lambda t: t.strip() == t and t[0] != '"')
+_quoted = st.text('ab",\n', max_size=8).map(lambda t: '"' + t.replace('"', '""') + '"')
+_records = st.lists(st.tuples(_plain | _quoted, _plain | _quoted | st.just("")), min_size=1, max_size=12)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(_records, st.integers(0, 2))
+def test_both_readers_agree(spark, tmp_path, split_size, records, blank):
+    folder = tmp_path / uuid.uuid4().hex
+    folder.mkdir()
+    lines = ["one,two", *[f"{a},{b}" for a, b in records]]
+    (folder / "f.csv").write_text("\n" * blank + "\n".join(lines) + "\n", newline="\n")
+    assert _both(spark, str(folder), split_size).count() == len(records)
+
+
+def test_a_source_has_one_place(spark, tmp_path):
+    spec = {"orders": SOURCES["orders"]}
+    with pytest.raises(ValueError, match="nothing matches"):
+        ingest(spark, str(tmp_path), specs=spec)
+    (tmp_path / "public_orders_dataset.csv").mkdir()
+    for part in ("a", "b"):
+        (tmp_path / "public_orders_dataset.csv" / f"{part}.csv").write_text("order_id\n1\n")
+    assert ingest(spark, str(tmp_path), specs=spec)["orders"].count() == 2
+    (tmp_path / "old_orders_dataset.csv").write_text("order_id\n2\n")
+    with pytest.raises(ValueError, match="old_orders_dataset.csv"):
+        ingest(spark, str(tmp_path), specs=spec)
+    named = {"orders": str(tmp_path / "old_orders_dataset.csv")}
+    assert ingest(spark, str(tmp_path), paths=named, specs=spec)["orders"].first().order_id == "2"

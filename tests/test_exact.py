@@ -2,10 +2,11 @@
 
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from stratamart.functions.exact import amount, cents, rounded_mean, rounded_ratio
+from stratamart.functions.exact import amount, rounded_mean, rounded_ratio, units
 
 
 def expected(num, den, digits, scale=1):
@@ -42,8 +43,21 @@ def test_halves_round_away_from_zero_and_zero_divides_to_null(spark):
     assert got == [0.13, -0.13, 0.02, None]
 
 
-def test_cents(spark):
+def test_units(spark):
     df = spark.createDataFrame([(0.29,), (1.1,), (104999.91,), (-2.5,), (None,)], "x double")
-    assert [r[0] for r in df.select(cents("x")).collect()] == [29, 110, 10499991, -250, None]
-    total = df.agg(amount(F.sum(cents("x"))).alias("t"), rounded_mean(F.sum(cents("x")), F.count("x")).alias("m"))
+    expected = [290_000, 1_100_000, 104_999_910_000, -2_500_000, None]
+    assert [r[0] for r in df.select(units("x")).collect()] == expected
+    total = df.agg(amount(F.sum(units("x"))).alias("t"), rounded_mean(F.sum(units("x")), F.count("x")).alias("m"))
     assert tuple(total.first()) == (104998.8, 26249.7)
+
+
+def test_fractions_of_a_cent_count(spark):
+    df = spark.createDataFrame([(0.004,)] * 4 + [(1.005,)], "x double")
+    assert df.agg(amount(F.sum(units("x")))).first()[0] == 1.02
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), -float("inf"), 1e30])
+def test_amounts_that_cannot_be_summed_raise(spark, bad):
+    df = spark.createDataFrame([(1.0,), (bad,)], "x double")
+    with pytest.raises(Exception, match="amount out of range"):
+        df.agg(F.sum(units("x"))).collect()

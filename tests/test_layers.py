@@ -152,7 +152,7 @@ def test_warehouse_publisher_verifies_counts(spark, monkeypatch):
 
 def test_reports_read_the_warehouse(spark, finished, monkeypatch):
     lake, published, _ = finished
-    monkeypatch.setattr(JdbcTarget, "read", lambda self, spark, table: published.read(spark, table))
+    monkeypatch.setattr(JdbcTarget, "read", lambda self, spark, table, *bounds: published.read(spark, table))
     gold = warehouse_gold(spark, JdbcTarget("jdbc:x"))
     for name in ("q03_top_sellers", "kpi_totals"):
         assert REPORTS[name](gold).collect() == REPORTS[name](stored_gold(spark, lake)).collect()
@@ -167,4 +167,34 @@ def test_session_settings():
 
 
 def test_metadata_names_are_distinct():
-    assert len(set(METADATA_COLUMNS)) == 4
+    assert len(set(METADATA_COLUMNS)) == 5
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    layer = Layer(str(tmp_path))
+    layer.write(spark.range(5).toDF("id"), "t")
+    broken = spark.range(100).select(F.expr("IF(id = 99, raise_error('lost'), id)").cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        layer.write(broken, "t")
+    assert layer.read(spark, "t").count() == 5
+    layer.write(spark.range(7).toDF("id"), "t", version="next")
+    assert layer.read(spark, "t").count() == 5 and layer.read(spark, "t", "next").count() == 7
+    layer.commit(spark, ["t"], "next")
+    assert layer.read(spark, "t").count() == 7
+
+
+def test_facts_are_read_over_several_connections(spark, monkeypatch):
+    asked = {}
+    days = spark.createDataFrame([(20170101,), (20181231,)], "date_id int")
+
+    def read(self, spark, table, *bounds):
+        asked[table] = bounds
+        return days
+
+    monkeypatch.setattr(JdbcTarget, "read", read)
+    gold = warehouse_gold(spark, JdbcTarget("jdbc:x"), {"fact_payments": ("payment_sequential", 1, 9)})
+    for name in ("fact_order_items", "fact_reviews", "fact_payments", "dim_seller"):
+        gold[name]
+    assert asked["fact_order_items"] == ("order_date_id", 20170101, 20181231)
+    assert asked["fact_reviews"] == ("review_date_id", 20170101, 20181231)
+    assert asked["fact_payments"] == ("payment_sequential", 1, 9) and asked["dim_seller"] == ()

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 from stratamart.operators.checks import check_table
 from stratamart.operators.joins import orphan_keys
 from stratamart.plans import quality
-from stratamart.plans.gold import gold_from_silver
-from stratamart.plans.silver import silver
+from stratamart.plans.gold import gold_from_silver, gold_from_tables
+from stratamart.plans.silver import read_as, silver
 from stratamart.registry import faults
 from stratamart.registry.queries import clean_gold
 from stratamart.sources import tpch
+from stratamart.sources.csv import ingest
+from stratamart.specs import SOURCES
 from tests.conftest import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -33,7 +35,7 @@ def test_each_check_counts_its_violations(rows):
     got = results(
         check_table(
             rows, "t", min_rows=5, not_null=["id", "name"], unique_key=["id", "name"],
-            non_negative=["amount"], ranges={"score": (1, 5)}, types={"raw": "int"},
+            non_negative=["amount"], ranges={"score": (1, 5)}, types={"raw": ("int", read_as("raw", "int"))},
         )
     )
     assert got == {
@@ -91,3 +93,31 @@ def test_shifted_columns_show_as_type_failures(spark):
     found = results(quality.bronze_type_suite({"order_reviews": text}))
     wrong = text.filter(F.col("review_score") == "great").count()
     assert wrong > 0 and found[("reads_as[int]", "review_score")] == (wrong, False)
+
+
+def test_gold_suite_reads_the_fact_it_names(spark):
+    """A fact that fanned out or lost its keys fails, whatever silver holds."""
+    built = clean_gold(spark, SF_DIR)
+    tables = dict(built.tables())
+    fact = tables["fact_order_items"]
+    tables["fact_order_items"] = fact.withColumns(
+        {"price": -F.abs("price"), "seller_id": F.col("seller_id") + 10**9}
+    )
+    lazy = clean_gold(spark, SF_DIR)
+    lazy._built["fact_order_items"] = tables["fact_order_items"]
+    for damaged in (gold_from_tables(tables), lazy):
+        failed = quality.failures(quality.gold_suite(damaged)).collect()
+        assert {("non_negative", "price"), ("refers_to[gold.dim_seller]", "seller_id")} <= {
+            (r.check_name, r.columns) for r in failed
+        }
+
+
+def test_malformed_records_fail_the_bronze_suite(spark, tmp_path):
+    for name, spec in SOURCES.items():
+        file = tmp_path / spec.file_pattern.replace("*", "public_")
+        row = ["1"] * (len(spec.types) + (name == "orders"))
+        file.write_text(",".join(spec.types) + "\n" + ",".join(row) + "\n")
+    for whole in ((), tuple(SOURCES)):
+        results = quality.bronze_type_suite(ingest(spark, str(tmp_path), whole_files=whole)).collect()
+        bad = {r.table_name for r in results if r.check_name == "well_formed" and not r.passed}
+        assert bad == {"bronze.orders"}
