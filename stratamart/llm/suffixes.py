@@ -367,8 +367,13 @@ def _laid_out(docs: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Per row: id, digest of the text, lengths, number of spans, and the remaining bytes."""
+def remove_repeats(
+    docs: DataFrame, threshold: int = THRESHOLD, once: bool = False
+) -> DataFrame:
+    """Per row: id, digest of the text, lengths, number of spans, and the remaining bytes.
+
+    With ``once``, rows of one id and one text give one row.
+    """
     spark = docs.sparkSession
     digest = F.xxhash64("text").alias("digest")
     laid = _laid_out(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest, "text"))
@@ -391,7 +396,9 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         answers = answers.unionByName(stored(ranked))
 
     def finish(key, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        return _removed(rows, known, threshold)
+        made = _removed(rows, known, threshold)
+        # All rows of one id are in one part.
+        return made.drop_duplicates(["doc_id", "digest"]) if once else made
 
     return by_part(finish, REMOVED)
 
@@ -401,8 +408,7 @@ def deduplicate(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     Null texts stay null.
     """
-    removed = remove_repeats(docs, threshold).dropDuplicates(["doc_id", "digest"])
-    removed = removed.select(F.struct("doc_id", "digest", "kept").alias("r"))
+    removed = remove_repeats(docs, threshold, once=True).select(F.struct("doc_id", "digest", "kept").alias("r"))
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
     same = F.col("row.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("key") == F.col("r.digest"))
     text = F.when(F.col("row.text").isNotNull(), _whole_points(F.col("r.kept")))
