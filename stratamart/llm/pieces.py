@@ -37,7 +37,7 @@ SPACE = "▁"
 OWN = "\ud800"
 N_BEST = 4
 #: Characters of texts whose parts are segmented together, and the longest part done so.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 4_000_000
 ARRAY_LENGTH = 48
 #: Parts whose search results a task keeps at once.
 KEPT_PARTS = 50_000
@@ -87,8 +87,11 @@ class Pieces:
             raise ValueError(f"{path}: two pieces have one key")
         self.numbers = np.array([self.scores[n][0] for n in names], np.int32)[order]
         self.values = np.array([self.scores[n][1] for n in names])[order]
-        self.maybe = np.zeros(1 << 20, bool)  # which keys may be pieces, by their top bits
-        self.maybe[self.keys >> np.uint64(44)] = True
+        # The first key by its top bits, and where several share them.
+        top = (self.keys >> np.uint64(44)).astype(np.int64)
+        self.slots = np.full(1 << 20, -1, np.int32)
+        self.slots[top[::-1]] = np.arange(len(top), dtype=np.int32)[::-1]
+        self.crowded = np.bincount(top, minlength=1 << 20) > 1
 
     @staticmethod
     def _key(name: str) -> int:
@@ -153,10 +156,13 @@ class Pieces:
         for length in range(1, min(self.longest, codes.shape[1]) + 1):
             starts = codes.shape[1] - length + 1
             key = (key[:, :starts] + codes[:, length - 1 :] + np.uint64(1)) * FACTOR
-            found = np.full(key.shape, -1, np.int32)
-            likely = np.nonzero(self.maybe[key >> np.uint64(44)])
-            wanted = key[likely]
-            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            top = (key >> np.uint64(44)).astype(np.int64)
+            found = self.slots[top]
+            likely = np.nonzero(found >= 0)
+            wanted, at = key[likely], found[likely]
+            hit = self.keys[at] == wanted
+            missed = np.nonzero(~hit & self.crowded[top[likely]])[0]
+            at[missed] = np.minimum(np.searchsorted(self.keys, wanted[missed]), len(self.keys) - 1)
             found[likely] = np.where(self.keys[at] == wanted, at, -1)
             yield length, found
 
