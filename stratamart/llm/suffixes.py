@@ -123,7 +123,9 @@ class Part:
             nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             first = np.repeat(first, pieces) + nth * longest
             past = np.minimum(np.repeat(past, pieces), first + longest)
-        return first, past, least[first], np.searchsorted(self.ends, first, "right")
+        # Least names crowd at the low end of their range: mixed again, they fill it evenly.
+        name = _mix(least[first] * GOLDEN)
+        return first, past, name, np.searchsorted(self.ends, first, "right")
 
 
 class Entries:
@@ -190,7 +192,6 @@ def rerank(round_: int, paired: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
             )
         high = [np.frombuffer(x, np.uint64) for x in rows["high"]]
         sizes = [len(x) for x in high]
-        source = np.repeat(np.arange(len(rows)), sizes)
         high = np.concatenate(high)
         if paired:
             low = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["low"]])
