@@ -62,7 +62,10 @@ def read_records(spark: SparkSession, path: str | list[str], split_files: bool)
             schema = ", ".join("`{}` string".format(c.replace("`", "``")) for c in [*header, MALFORMED])
             reader = spark.read.options(**READ).option("multiLine", "true").schema(schema)
             rows = reader.option("columnNameOfCorruptRecord", MALFORMED).csv(files)
-            parts.append(rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path")))
+            # Spark refuses to read the raw text alone, so it is read with the first column.
+            raw = F.element_at(F.array(F.col(MALFORMED), F.col(f"`{header[0]}`")), 1) if header else None
+            rows = rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+            parts.append(rows if raw is None else rows.withColumn(MALFORMED, raw))
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     own = [c for c in every.columns if c not in (MALFORMED, SOURCE_FILE)]
     return every.select(*own, MALFORMED, SOURCE_FILE)
