@@ -88,11 +88,11 @@ def repeated(docs: DataFrame, run: int = RUN) -> DataFrame:
     )
 
 
-def deduplicate(docs: DataFrame, run: int = RUN) -> DataFrame:
+def deduplicate(docs: DataFrame, run: int = RUN, counts: str | None = None) -> DataFrame:
     """All columns of the documents with ``text`` less its repeated runs.
 
-    Two columns are added in a struct ``lines``: how many lines with a word there were, and
-    how many are deleted.
+    ``counts`` names a column to add, a struct of how many lines with a word there were
+    (``n_lines``) and how many are deleted (``n_removed``).
     """
     cuts = repeated(docs.select("doc_id", "text"), run).groupBy("doc").agg(
         F.collect_set("line").alias("cut")
@@ -133,5 +133,6 @@ def deduplicate(docs: DataFrame, run: int = RUN) -> DataFrame:
         F.col("done.text").alias("text") if c == "text" else F.col("row").getField(c).alias(c)
         for c in docs.columns
     ]
-    counts = F.struct("done.n_lines", "done.n_removed").alias("lines")
-    return joined.select("row", done.alias("done")).select(*columns, counts)
+    if counts:
+        columns.append(F.struct("done.n_lines", "done.n_removed").alias(counts))
+    return joined.select("row", done.alias("done")).select(*columns)

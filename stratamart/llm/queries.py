@@ -76,7 +76,8 @@ def op2_ngram_jaccard(spark, sf_dir):
 
 def op3_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.deduplicate(docs).select("doc_id", "text", "lines.n_lines", "lines.n_removed")
+    cut = lines.deduplicate(docs, counts="lines")
+    return cut.select("doc_id", "text", "lines.n_lines", "lines.n_removed")
 
 
 def op4_packing(spark, sf_dir):

@@ -10,7 +10,7 @@ def test_runs_are_deleted_from_the_later_place(spark):
         (3, "first line\nsecond line"),
         (4, f"{run}\nsomething else\n{run}"),
     ]
-    out = {r.doc_id: r for r in lines.deduplicate(documents(spark, rows)).collect()}
+    out = {r.doc_id: r for r in lines.deduplicate(documents(spark, rows), counts="lines").collect()}
     assert out[1].text == rows[0][1]
     assert out[2].text == "other\n\nfourth line" and out[2].lines.n_removed == 3
     assert out[3].text == rows[2][1]
@@ -20,8 +20,8 @@ def test_runs_are_deleted_from_the_later_place(spark):
 def test_awkward_rows(spark):
     rows = odd_rows() + [(8, "a\nb\nc"), (8, "a\nb\nc"), (None, "a\nb\nc")]
     docs = clashing(documents(spark, rows))
-    out = lines.deduplicate(docs.drop("lines"))
-    assert out.columns == [*docs.drop("lines").columns, "lines"]
+    out = lines.deduplicate(docs)
+    assert out.columns == docs.columns
     made = sorted((r.doc_id or 0, r.text or "") for r in out.collect())
     expected = [(i or 0, "" if i == 8 else t or "") for i, t in rows]
     assert made == sorted(expected)
