@@ -25,8 +25,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts less runs of lines that stand earlier; a document may become empty and stays."""
-    return _counted(lines.deduplicate(docs), docs)
+    """Texts less runs of lines that stand earlier, runs of one or two long lines included.
+
+    A document may become empty and stays.
+    """
+    return _counted(lines.deduplicate(docs, short_words=lines.SHORT_WORDS), docs)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

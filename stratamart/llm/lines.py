@@ -8,6 +8,10 @@ extended line by line both ways to the windows around it, and each window to its
 in the corpus. Windows that have an earlier place are marked; marked windows that overlap or
 touch make up the repeated run, and all its lines are deleted. The first place keeps them.
 
+Where ``short_words`` is given, windows of fewer lines that hold so many words are compared in
+the same way, and so are the lines of a whole document of fewer than ``RUN`` lines with those
+of other such documents. A shorter passage on fewer lines than ``RUN`` stays.
+
 Earlier means a smaller id, or further up in the same document (also where the two overlap).
 Lines are compared whole; lines without a word are neither compared nor deleted, and do not
 interrupt a run. Places are counted and first places found by aggregates that combine on the
@@ -21,9 +25,11 @@ columns are made from id and text alone.
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import let
+from stratamart.llm.common import WORD, let
 
 RUN = 3
+#: Words from which a run of fewer than ``RUN`` lines is compared, where short runs are asked for.
+SHORT_WORDS = 50
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -37,37 +43,70 @@ def _worded(lines):
     return F.filter(marked, lambda i: i.isNotNull())
 
 
-def windows(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """One row per window: document, first line (from 1), key of its text, fingerprint, its place."""
+def windows(docs: DataFrame, run: int = RUN, short_words: int | None = None) -> DataFrame:
+    """One row per window: document, first line (from 1), lines, key of its text, fingerprint, its place.
+
+    With ``short_words``, windows of fewer than ``run`` lines are given if they hold so many
+    words, and so are all lines of a document that has fewer than ``run``, by a key of their own.
+    """
     lines = F.filter(_split(F.col("text")), lambda line: line.rlike(HAS_WORD))
 
-    def window(hashes, i):
-        part = F.slice(hashes, i, run)
+    def window(hashes, i, size, whole=False):
+        part = F.slice(hashes, i, size)
         least = F.array_min(part)
+        kind = [F.lit("whole")] if whole else []
         return F.struct(
             i.alias("line"),
-            F.xxhash64(part).alias("key"),
-            F.xxhash64(F.lit(run), part).alias("key2"),
+            F.lit(size).alias("size") if isinstance(size, int) else size.alias("size"),
+            F.xxhash64(*kind, part).alias("key"),
+            F.xxhash64(*kind, F.lit(size) if isinstance(size, int) else size, part).alias("key2"),
             least.alias("mark"),
-            (i + run - F.array_position(F.reverse(part), least)).cast("int").alias("place"),
+            (i + size - F.array_position(F.reverse(part), least)).cast("int").alias("place"),
         )
 
     def all_windows(hashes):
         return F.when(
             F.size(hashes) >= run,
             F.transform(
-                F.sequence(F.lit(1), F.size(hashes) - (run - 1)), lambda i: window(hashes, i)
+                F.sequence(F.lit(1), F.size(hashes) - (run - 1)), lambda i: window(hashes, i, run)
             ),
         )
 
-    hashes = F.transform(lines, lambda line: F.xxhash64(line))
+    def short_windows(hashes, words):
+        def of(size):
+            starts = F.when(
+                F.size(hashes) >= size, F.sequence(F.lit(1), F.size(hashes) - (size - 1))
+            ).otherwise(F.array().cast("array<int>"))
+            held = lambda i: sum(F.element_at(words, i + k) for k in range(size))
+            long = F.filter(starts, lambda i: held(i) >= short_words)
+            return F.transform(long, lambda i: window(hashes, i, size))
+
+        whole = F.when(
+            F.size(hashes).between(1, run - 1),
+            F.array(window(hashes, F.lit(1), F.size(hashes), whole=True)),
+        )
+        nothing = F.slice(F.array(window(hashes, F.lit(1), 1)), 1, 0)
+        parts = [F.coalesce(part, nothing) for part in (all_windows(hashes), whole)]
+        return F.concat(*parts, *[of(size) for size in range(1, run)])
+
+    hashed = F.transform(lines, lambda line: F.xxhash64(line))
+    if short_words is None:
+        found = let(hashed, all_windows)
+    else:
+        counted = F.transform(
+            lines, lambda line: F.struct(F.xxhash64(line).alias("hash"), F.regexp_count(line, F.lit(WORD)).alias("words"))
+        )
+        found = let(
+            let(counted, lambda c: F.struct(c["hash"].alias("hashes"), c["words"].alias("words"))),
+            lambda c: short_windows(c["hashes"], c["words"]),
+        )
     doc = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text")).alias("doc")
-    return docs.select(doc, F.explode(let(hashes, all_windows)).alias("w")).select("doc", "w.*")
+    return docs.select(doc, F.explode(found).alias("w")).select("doc", "w.*")
 
 
-def repeated(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """Windows that have an earlier place: document and first line (from 1)."""
-    every = windows(docs, run)
+def repeated(docs: DataFrame, run: int = RUN, short_words: int | None = None) -> DataFrame:
+    """Windows that have an earlier place: document, first line (from 1) and lines."""
+    every = windows(docs, run, short_words)
     place = F.struct("doc", "place")
     shared = (
         every.groupBy("mark")
@@ -75,7 +114,7 @@ def repeated(docs: DataFrame, run: int = RUN) -> DataFrame:
         .filter(F.col("first") != F.col("last"))
         .select("mark")
     )
-    extended = every.join(shared, "mark", "left_semi").select("key", "key2", "doc", "line")
+    extended = every.join(shared, "mark", "left_semi").select("key", "key2", "doc", "line", "size")
     here = F.struct("doc", "line")
     firsts = (
         extended.groupBy("key", "key2")
@@ -84,18 +123,24 @@ def repeated(docs: DataFrame, run: int = RUN) -> DataFrame:
         .select("key", "key2", "first")
     )
     return (
-        extended.join(firsts, ["key", "key2"]).filter(here > F.col("first")).select("doc", "line")
+        extended.join(firsts, ["key", "key2"])
+        .filter(here > F.col("first"))
+        .select("doc", "line", "size")
     )
 
 
-def deduplicate(docs: DataFrame, run: int = RUN, counts: str | None = None) -> DataFrame:
+def deduplicate(
+    docs: DataFrame, run: int = RUN, counts: str | None = None, short_words: int | None = None
+) -> DataFrame:
     """All columns of the documents with ``text`` less its repeated runs.
 
+    ``short_words`` adds runs of fewer than ``run`` lines that hold so many words, and whole
+    copies of documents of fewer than ``run`` lines, whatever their length.
     ``counts`` names a column to add, a struct of how many lines with a word there were
     (``n_lines``) and how many are deleted (``n_removed``).
     """
-    cuts = repeated(docs.select("doc_id", "text"), run).groupBy("doc").agg(
-        F.collect_set("line").alias("cut")
+    cuts = repeated(docs.select("doc_id", "text"), run, short_words).groupBy("doc").agg(
+        F.collect_set(F.struct("line", "size")).alias("cut")
     )
     cuts = cuts.select(
         F.col("doc.id").alias("cut_id"), F.col("doc.text").alias("cut_text"), "cut"
@@ -112,7 +157,7 @@ def deduplicate(docs: DataFrame, run: int = RUN, counts: str | None = None) -> D
         gone = let(
             worded,
             lambda at: F.array_distinct(
-                F.flatten(F.transform("cut", lambda first: F.slice(at, first, run)))
+                F.flatten(F.transform("cut", lambda w: F.slice(at, w["line"], w["size"])))
             ),
         )
         kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)

@@ -1,5 +1,7 @@
+import corpus_pipeline
 from stratamart.llm import lines
-from tests.llm.helpers import clashing, documents, empty, odd_rows
+from stratamart.llm.common import table
+from tests.llm.helpers import SMALL, clashing, documents, empty, odd_rows
 
 
 def test_runs_are_deleted_from_the_later_place(spark):
@@ -26,3 +28,62 @@ def test_awkward_rows(spark):
     expected = [(i or 0, "" if i == 8 else t or "") for i, t in rows]
     assert made == sorted(expected)
     assert lines.deduplicate(empty(spark)).count() == 0
+
+
+def brute(rows, run=3, short_words=50):
+    """Texts and numbers of deleted lines, by comparing windows in the order of ids."""
+    seen, out = set(), {}
+    for doc, text in sorted(rows):
+        every = text.split("\n")
+        at = [i for i, line in enumerate(every) if line.split()]
+        worded, gone = [every[i] for i in at], set()
+        found = [(tuple(worded), 0)] if 0 < len(worded) < run else []
+        found = [(("whole", *w), i) for w, i in found]
+        for size in range(1, run + 1):
+            for i in range(len(worded) - size + 1):
+                window = tuple(worded[i : i + size])
+                if size == run or sum(len(line.split()) for line in window) >= short_words:
+                    found.append((window, i))
+        for window, i in sorted(found, key=lambda f: f[1]):
+            size = len(window) - (window[0] == "whole")
+            if window in seen:
+                gone |= set(at[i : i + size])
+            seen.add(window)
+        out[doc] = "\n".join(line for i, line in enumerate(every) if i not in gone), len(gone)
+    return out
+
+
+def test_short_runs_of_many_words_and_short_copies_are_deleted(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    half, rest = " ".join(f"h{i}" for i in range(30)), " ".join(f"r{i}" for i in range(20))
+    rows = [
+        (1, f"start\n{long}\nmiddle\n{half}\n\n{rest}\nend"),
+        (2, f"other\n{long}\nbetween\n{half}\n{rest}"),
+        (3, long),
+        (4, f"{half}\nalone\n{rest} less"),
+        (5, "two short\nlines"),
+        (6, "two short\n\nlines"),
+        (7, "two short\nlines\nand more"),
+        (8, f"{long} more\n{long} more"),
+        (9, "one"),
+        (10, "one"),
+    ]
+    made = lines.deduplicate(documents(spark, rows), counts="lines", short_words=50).collect()
+    out = {r.doc_id: (r.text, r.lines.n_removed) for r in made}
+    assert out == brute(rows)
+    assert out[2] == ("other\nbetween", 3) and out[3] == ("", 1)
+    assert out[4][1] == 0 and out[6] == ("", 2) and out[7][1] == 0 and out[10] == ("", 1)
+
+
+def test_short_runs_of_the_table(spark):
+    docs = table(spark, SMALL, "documents").select("doc_id", "text")
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    made = lines.deduplicate(docs, counts="lines", short_words=20).collect()
+    assert {r.doc_id: (r.text or "", r.lines.n_removed) for r in made} == brute(rows, 3, 20)
+
+
+def test_pipeline_stage_deletes_short_runs(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    docs = documents(spark, [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd")])
+    out = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SMALL).collect()
+    assert {r.doc_id: r.text for r in out} == {1: f"a\n{long}\nb", 2: "c\nd"}
