@@ -16,6 +16,7 @@ Earlier means a smaller id, or further up in the same document (also where the t
 Lines are compared whole; lines without a word are neither compared nor deleted, and do not
 interrupt a run. Places are counted and first places found by aggregates that combine on the
 map side, and what is joined back is one row per window, so no pair of copies is ever built.
+Both joins back are lookups that adaptive execution can split where a passage is very frequent.
 
 Defined cases: a null text stays null, an empty one empty; a null id comes before all others;
 rows that share id and text are one document and keep the same lines; an empty table gives no
@@ -26,6 +27,7 @@ columns are made from id and text alone.
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.llm.common import WORD, let
+from stratamart.operators.joins import inner_lookup
 
 RUN = 3
 #: Words from which a run of fewer than ``RUN`` lines is compared, where short runs are asked for.
@@ -114,17 +116,18 @@ def repeated(docs: DataFrame, run: int = RUN, short_words: int | None = None) ->
         .filter(F.col("first") != F.col("last"))
         .select("mark")
     )
-    extended = every.join(shared, "mark", "left_semi").select("key", "key2", "doc", "line", "size")
+    extended = inner_lookup(every, shared, "mark").select("key", "key2", "doc", "line", "size")
     here = F.struct("doc", "line")
     firsts = (
         extended.groupBy("key", "key2")
         .agg(F.min(here).alias("first"), F.max(here).alias("last"))
         .filter(F.col("first") != F.col("last"))
-        .select("key", "key2", "first")
+        .select("key", F.col("key2").alias("first_key2"), "first")
     )
+    # By one half of the key; rows that differ in the other half go.
     return (
-        extended.join(firsts, ["key", "key2"])
-        .filter(here > F.col("first"))
+        inner_lookup(extended, firsts, "key")
+        .filter((F.col("key2") == F.col("first_key2")) & (here > F.col("first")))
         .select("doc", "line", "size")
     )
 

@@ -87,3 +87,30 @@ def test_pipeline_stage_deletes_short_runs(spark):
     docs = documents(spark, [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd")])
     out = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SMALL).collect()
     assert {r.doc_id: r.text for r in out} == {1: f"a\n{long}\nb", 2: "c\nd"}
+
+
+def test_joins_split_a_passage_of_many_documents(spark):
+    rows = [(i, f"own {i}\nfirst line\nsecond line\nthird line\nlast {i}") for i in range(20_000)]
+    rows += [(20_000 + i, "\n".join(f"{i} {k}" for k in range(9))) for i in range(2000)]
+    rows += [(22_000 + i, t) for i, (_, t) in enumerate(rows[20_000:])]
+    docs = documents(spark, rows).repartition(32)
+    limits = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key, None) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        found = lines.repeated(docs)
+        n = found.count()
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert n == 19_999 + 2000 * 7
+    final = plan.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin(skew=true) [mark" in final and "SortMergeJoin(skew=true) [key" in final
