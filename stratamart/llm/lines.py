@@ -3,9 +3,11 @@
 A document is the sequence of its lines that hold a word. Of every window of ``RUN``
 consecutive line hashes the smallest is selected as a fingerprint (the last of equal ones),
 so two equal runs of at least ``RUN`` lines are sure to share one. Fingerprints that stand at
-a single place in all documents end there. The places of the others are joined; each is
-extended line by line both ways to the windows around it, and each window to its first place
-in the corpus. Windows that have an earlier place are marked; marked windows that overlap or
+a single place in all documents end there. Windows around the others are compared whole:
+grouped by their key, each with its first place in the corpus. That stands in for extending
+each place line by line both ways: a run of equal lines is the same as equal windows in a row,
+and grouping needs no pair of places, of which a passage in many documents has very many.
+Every window is made before fingerprints that stand alone drop theirs. Windows that have an earlier place are marked; marked windows that overlap or
 touch make up the repeated run, and all its lines are deleted. The first place keeps them.
 
 Where ``short_words`` is given, windows of fewer lines that hold so many words are compared in
