@@ -13,12 +13,16 @@ pairs of compatible size are looked at.
 *Bound.* Each set has a bitmap, its elements hashed to a number of bits that follows the size
 band (a power of two, so bitmaps of neighbouring bands fold onto each other). Bits that one
 has and the other lacks are elements that cannot be shared, which bounds the intersection
-from above. A small group gives its pairs that the bound lets pass. A large one is cut into
-blocks of neighbouring sizes, every two blocks of compatible sizes make a tile of bounded
-size, and a tile gives pairs that connect its classes as all its passing pairs would.
+from above. A small group is one row and gives its pairs that the bound lets pass. A large one
+stays rows and is cut into blocks of neighbouring sizes. Blocks make tiles of bounded size, and
+a tile gives pairs that connect its classes as all its passing pairs would. Each block is a tile
+first, with one class of some blocks before it. Classes that these tiles have connected are not
+compared again: the largest part of a group is only held against the classes outside of it,
+in tiles of every two blocks of compatible sizes. So near copies of one text cost about linear
+work, and only what the first tiles leave apart is tiled in full.
 
 *Families.* What passing pairs connect is a family: no link leaves it. Only then are the sets
-themselves brought in, once for each family that fits a tile, else in tiles of its blocks, and
+themselves brought in, once for each family that fits a block, else in tiles as above, and
 what the bound lets pass is intersected exactly, as sorted arrays. A tile gives links that
 connect its classes as all its links would, so no result grows with the square of a group.
 
@@ -32,15 +36,16 @@ read; other columns are not.
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stratamart.llm.graphs import components, stored
+from stratamart.operators.joins import inner_lookup
 
 SHINGLE = 4
 PERCENT = 85
@@ -193,15 +198,33 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInPandas(task, "node long, elements binary")
 
 
-def _groups(scanned: DataFrame) -> DataFrame:
-    """Distinct groups of classes that meet in an element, ordered by size of set."""
+def _groups(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Who meets in an element: small groups as arrays by size of set, large ones as rows.
+
+    Large ones are ``grp, id, n``; of equal large groups one is given.
+    """
     rows = scanned.select(F.explode("prefix").alias("element"), "n", F.col("node").alias("id"))
     # Counting rows is lighter than telling classes apart; groups of one class go below.
     shared = rows.groupBy("element").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    met = rows.join(shared.select("element"), "element", "left_semi")
-    members = F.sort_array(F.collect_set(F.struct("n", "id")))
-    groups = met.groupBy("element").agg(members.alias("members")).select("members")
-    return groups.filter(F.size("members") > 1).distinct()
+    met = rows.join(shared, "element")
+    members = F.sort_array(F.collect_set(F.struct("n", "id"))).alias("members")
+    few = met.filter(F.col("times") <= SMALL_GROUP).groupBy("element").agg(members).select("members")
+    few = few.filter(F.size("members") > 1).distinct()
+    many = met.filter(F.col("times") > SMALL_GROUP).select("element", "id", "n").distinct()
+    # Written in one job, so that the rows are dealt out once.
+    both = stored(few.unionByName(many, allowMissingColumns=True))
+    few = both.filter(F.col("members").isNotNull()).select("members")
+    many = both.filter(F.col("members").isNull()).select("element", "id", "n")
+    sized = many.groupBy("element").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.bit_xor(F.xxhash64("id")).alias("digest"),
+        F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("digest2"),
+    )
+    one = sized.groupBy("size", "digest", "digest2").agg(F.min("element").alias("element"))
+    small = one.filter(F.col("size").between(2, SMALL_GROUP)).select("element")
+    large = one.filter(F.col("size") > SMALL_GROUP).select("element")
+    more = inner_lookup(many, small, "element").groupBy("element").agg(members).select("members")
+    return few.unionByName(more), inner_lookup(many, large, "element").withColumnRenamed("element", "grp")
 
 
 def _small_pairs(groups: DataFrame, percent: int) -> DataFrame:
@@ -217,39 +240,76 @@ def _small_pairs(groups: DataFrame, percent: int) -> DataFrame:
 
     pairs = F.flatten(F.transform("members", after))
     return (
-        groups.filter(F.size("members") <= SMALL_GROUP)
-        .select(F.explode(pairs).alias("p"))
+        groups.select(F.explode(pairs).alias("p"))
         .select("p.a", "p.b")
         .distinct()
     )
 
 
-def _tiles(groups: DataFrame, percent: int) -> DataFrame:
-    """Tiles of groups, as ``tile, id``: of every two blocks of compatible sizes."""
-    blocks = F.ceil(F.size("members") / BLOCK).cast("int")
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """``grp, id, n`` rows with a ``block``: numbers by size of set, about ``BLOCK`` rows each.
 
-    def tiles(i):
-        last = F.element_at("members", F.least((i + 1) * BLOCK, F.size("members")))
-        fit = F.filter(
-            F.sequence(i, blocks - 1),
-            lambda j: F.element_at("members", j * BLOCK + 1)["n"] * percent <= last["n"] * 100,
-        )
-        return F.transform(
-            fit,
-            lambda j: F.struct(
-                F.xxhash64("members", i, j).alias("tile"),
-                F.array_union(
-                    F.slice("members", i * BLOCK + 1, BLOCK), F.slice("members", j * BLOCK + 1, BLOCK)
-                ).alias("members"),
-            ),
-        )
+    Only sizes and their counts are ordered. Rows of one size are spread by a hash of the id.
+    """
+    counts = members.groupBy("grp", "n").agg(F.count(F.lit(1)).alias("times"))
+    before = Window.partitionBy("grp").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    slot = F.struct("grp", "n").alias("slot")
+    starts = counts.select(
+        slot, F.coalesce(F.sum("times").over(before), F.lit(0)).alias("start"), "times"
+    )
+    spread = F.pmod(F.xxhash64("id"), F.ceil(F.col("times") / BLOCK))
+    block = (F.floor(F.col("start") / BLOCK) + spread).cast("long").alias("block")
+    return inner_lookup(members.select(slot, *members.columns), starts, "slot").select(
+        *members.columns, block
+    )
 
-    every = F.flatten(F.transform(F.sequence(F.lit(0), blocks - 1), tiles))
-    return (
-        groups.select(F.explode(every).alias("t"))
-        .select("t.tile", F.explode("t.members").alias("m"))
-        .select("tile", F.col("m.id").alias("id"))
+
+def _connected(members: DataFrame, links: Callable[..., DataFrame], percent: int) -> DataFrame:
+    """Links that connect the classes of each group as all links within the groups would.
+
+    ``members`` are ``grp, id, n``; ``links`` takes rows of tiles and the columns that name a
+    tile. The first tiles are the blocks, each with a class of the blocks 1, 2, 4, ... before
+    it. What they connect is not compared again: of each group the largest part so connected
+    stands on one side, and only the other classes are tiled, with each other and with it.
+    """
+    placed = stored(_in_blocks(members))
+    blocks = placed.groupBy("grp", "block").agg(F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("id"))
+    several = blocks.groupBy("grp").agg(F.max("block").alias("last")).filter("last > 0")
+    after = F.transform(
+        F.sequence(F.lit(0), F.lit(40)), lambda k: F.col("block") + F.pow(F.lit(2), k).cast("long")
+    )
+    heads = blocks.join(several, "grp").select(
+        "grp", F.explode(F.filter(after, lambda b: b <= F.col("last"))).alias("block"), "id"
     )
+    found = links(placed.select("grp", "block", "id").unionByName(heads), ["grp", "block"])
+    if several.isEmpty():
+        return found
+    found = stored(found)
+    known = components(found).withColumnRenamed("node", "id")
+    wide = inner_lookup(placed, several.select("grp"), "grp").join(known, "id", "left")
+    wide = stored(wide.withColumn("component", F.coalesce("component", "id")))
+    parts = wide.groupBy("grp", "component").agg(F.count(F.lit(1)).alias("times"))
+    largest = parts.groupBy("grp").agg(
+        F.max(F.struct("times", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("parts")
+    )
+    wide = inner_lookup(wide, largest.filter("parts > 1").drop("parts"), "grp")
+    columns = ["grp", "id", "n", "component"]
+    rest = stored(_in_blocks(wide.filter("component <> largest").select(*columns)))
+    sides = rest.withColumn("rest", F.lit(True)).unionByName(
+        wide.filter("component = largest").select(*columns, "block").withColumn("rest", F.lit(False))
+    )
+    spans = sides.groupBy("grp", "rest", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    own = spans.filter("rest").select("grp", F.col("block").alias("own"), F.col("least").alias("from"), F.col("most").alias("to"))
+    able = (F.col("least") * percent <= F.col("to") * 100) & (F.col("from") * percent <= F.col("most") * 100)
+    tiles = own.join(spans, "grp").filter(able & (~F.col("rest") | (F.col("block") >= F.col("own"))))
+    tiles = stored(tiles.select("grp", "own", "rest", "block"))
+    names = ["grp", "own", "rest", "block"]
+    here = tiles.join(rest.select("grp", F.col("block").alias("own"), "id", "component"), ["grp", "own"])
+    there = tiles.filter(~F.col("rest") | (F.col("block") != F.col("own"))).join(
+        sides.select("grp", "rest", "block", "id", "component"), ["grp", "rest", "block"]
+    )
+    rows = here.unionByName(there).select(*names, "id", "component")
+    return found.unionByName(links(rows, names))
 
 
 def _passing(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
@@ -273,10 +333,11 @@ def _passing(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(task, "a long, b long")
 
 
-def tile_links(ids: list, sizes: list[int], maps: list[np.ndarray], sets=None, percent: int = PERCENT) -> list[tuple]:
+def tile_links(ids: list, sizes: list[int], maps: list[np.ndarray], sets=None, percent: int = PERCENT, known=None) -> list[tuple]:
     """Pairs that connect the classes of a tile as all its links would.
 
-    Without ``sets``, as all its pairs would that the bitmaps let pass.
+    Without ``sets``, as all its pairs would that the bitmaps let pass. ``known`` are the
+    components that links elsewhere lead to.
     """
     n = np.array(sizes, np.int64)
     order = np.argsort(n, kind="stable")
@@ -284,7 +345,8 @@ def tile_links(ids: list, sizes: list[int], maps: list[np.ndarray], sets=None, p
     stacked = {w: np.stack([maps[i] for i in order if width[i] == w]) for w in set(width.tolist())}
     members = {w: np.array([i for i in order if width[i] == w]) for w in stacked}
     folded: dict[tuple[int, int], np.ndarray] = {}
-    root = np.arange(len(ids))  # of the component, kept flat
+    # Of the component, kept flat.
+    root = np.arange(len(ids)) if known is None else np.unique(np.asarray(known), return_inverse=True)[1]
     place = np.empty(len(ids), np.int64)
     place[order] = np.arange(len(ids))
     links = []
@@ -311,25 +373,27 @@ def tile_links(ids: list, sizes: list[int], maps: list[np.ndarray], sets=None, p
     return links
 
 
-def _passing_in_tiles(tiles: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+def _passing_in_tiles(tiles: DataFrame, names: list[str], bitmaps: DataFrame, percent: int) -> DataFrame:
     def task(frame: pd.DataFrame) -> pd.DataFrame:
         maps = [np.frombuffer(b, np.uint64) for b in frame["bits"]]
-        found = tile_links(frame["id"].tolist(), frame["n"].tolist(), maps, None, percent)
+        known = frame.get("component")
+        found = tile_links(frame["id"].tolist(), frame["n"].tolist(), maps, None, percent, known)
         return pd.DataFrame(found, columns=["a", "b"])
 
     rows = tiles.join(bitmaps.withColumnRenamed("node", "id"), "id")
-    return rows.groupBy("tile").applyInPandas(task, "a long, b long")
+    return rows.groupBy(*names).applyInPandas(task, "a long, b long")
 
 
-def _links_in_tiles(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links_in_tiles(tiles: DataFrame, names: list[str], sets: DataFrame, percent: int) -> DataFrame:
     def task(frame: pd.DataFrame) -> pd.DataFrame:
         found = [np.frombuffer(e, np.uint64) for e in frame["elements"]]
         sizes, maps = [len(s) for s in found], [bitmap(s) for s in found]
-        found = tile_links(frame["id"].tolist(), sizes, maps, found, percent)
+        known = frame.get("component")
+        found = tile_links(frame["id"].tolist(), sizes, maps, found, percent, known)
         return pd.DataFrame(found, columns=["a", "b"])
 
     rows = tiles.join(sets.withColumnRenamed("node", "id"), "id")
-    return rows.groupBy("tile").applyInPandas(task, "a long, b long")
+    return rows.groupBy(*names).applyInPandas(task, "a long, b long")
 
 
 def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -339,17 +403,16 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     named = scanned.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     # Each class, with the smallest id that has its set.
     classes = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    groups = stored(_groups(named))
+    groups, large = _groups(named)
     bitmaps = named.select("node", "n", "bits").dropDuplicates(["node"])
-    large = groups.filter(F.size("members") > SMALL_GROUP)
     passing = _passing(_small_pairs(groups, percent), bitmaps, percent)
-    passing = passing.unionByName(_passing_in_tiles(_tiles(large, percent), bitmaps, percent))
+    passing = passing.unionByName(
+        _connected(large, lambda tiles, names: _passing_in_tiles(tiles, names, bitmaps, percent), percent)
+    )
     families = stored(components(passing).join(named.select("node", "n").distinct(), "node"))
     sets = stored(_sets(rows.join(families.join(classes, "node").select("node", "doc_id"), "doc_id"), size))
-    members = F.sort_array(F.collect_set(F.struct("n", F.col("node").alias("id")))).alias("members")
-    links = _links_in_tiles(
-        _tiles(families.groupBy("component").agg(members).select("members"), percent), sets, percent
-    )
+    members = families.select(F.col("component").alias("grp"), F.col("node").alias("id"), "n")
+    links = _connected(members, lambda tiles, names: _links_in_tiles(tiles, names, sets, percent), percent)
     # From classes to ids: several classes may have rows of one id.
     ids = named.select("node", "doc_id").distinct()
     ends = classes.withColumnRenamed("doc_id", "least")

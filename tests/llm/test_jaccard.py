@@ -70,3 +70,31 @@ def test_awkward_rows(spark):
     kept = jaccard.keep_one(clashing(documents(spark, rows)))
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 6, 6, 7]
     assert jaccard.link(empty(spark)).count() == 0
+
+
+def test_near_copies_make_a_linear_number_of_tile_rows(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL_GROUP", 16)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    counted = []
+    for name in ("_passing_in_tiles", "_links_in_tiles"):
+        def counting(tiles, *others, inner=getattr(jaccard, name)):
+            counted.append((inner.__name__, tiles.count()))
+            return inner(tiles, *others)
+
+        monkeypatch.setattr(jaccard, name, counting)
+    rows = list(enumerate(family(4, 800, 1) + ["a b c d e f", "a b c d e g"]))
+    found = {r.doc_id: r.component_id for r in jaccard.link(documents(spark, rows)).collect()}
+    assert all(found[i] == 0 for i in range(800)) and found[800] == 800 and found[801] == 801
+    # A block of 16 meets itself and at most 6 classes of other blocks.
+    assert sum(n for name, n in counted if name == "_links_in_tiles") <= 3 * 800
+
+
+def test_parts_that_first_tiles_leave_apart_are_still_joined(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL_GROUP", 4)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    made = [t for seed in range(6) for t in family(1, 12, 9 + seed)] + family(1, 30, 14)
+    head = " ".join(f"common{i}" for i in range(30))
+    rows = [(i, f"{head} {t}") for i, t in enumerate(made)]
+    random.Random(7).shuffle(rows)
+    found = jaccard.link(documents(spark, rows))
+    assert sorted(map(tuple, found.collect())) == brute(rows)
