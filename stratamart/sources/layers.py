@@ -142,3 +142,9 @@ def scratch_directory(spark: SparkSession) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="stratamart-")
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whichever storage its path names; says whether it was there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
