@@ -2,7 +2,20 @@
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, fingerprints, jaccard, licences, lines, packing, pieces, quality, suffixes, toxicity
+from stratamart.llm import (
+    bpe,
+    chat,
+    fingerprints,
+    jaccard,
+    licences,
+    lines,
+    merkle,
+    packing,
+    pieces,
+    quality,
+    suffixes,
+    toxicity,
+)
 from stratamart.llm.common import table
 
 
@@ -118,4 +131,45 @@ def op10_sentencepiece(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_ngram_jaccard, op3_line_dedup, op4_packing, op5_chat_formatting, op6_toxicity, op7_license_scans, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
+def op11_merkle_manifest(spark, sf_dir):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    n_chars = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    proved = merkle.manifest(table(spark, sf_dir, "documents"), {"n_chars": n_chars})
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_bpe(spark, sf_dir):
+    encoded = bpe.encode(table(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids")).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup,
+        op2_ngram_jaccard,
+        op3_line_dedup,
+        op4_packing,
+        op5_chat_formatting,
+        op6_toxicity,
+        op7_license_scans,
+        op8_quality_rules,
+        op9_fingerprints,
+        op10_sentencepiece,
+        op11_merkle_manifest,
+        op12_bpe,
+    )
+}
