@@ -53,8 +53,8 @@ def load_encoder(path: str):
 
     The file's merges stand in the order of their ids, which is what the fast encoder needs;
     that is checked. Its pattern engine refuses some texts (a million spaces): those are
-    encoded with the file's own library, as all could be. Strings of special tokens within a
-    text are ordinary text.
+    encoded with the file's own library, as all could be. So are texts that hold the string of
+    an added token, which that library reads as the token's id.
     """
     import tiktoken
     from tokenizers import Tokenizer
@@ -62,7 +62,7 @@ def load_encoder(path: str):
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     vocab, alphabet = spec["model"]["vocab"], _printable_bytes()
-    special = {token["content"] for token in spec["added_tokens"]}
+    special = [token["content"] for token in spec["added_tokens"]]
     previous = -1
     for merge in spec["model"]["merges"]:
         left, right = merge.split(" ") if isinstance(merge, str) else merge
@@ -76,12 +76,18 @@ def load_encoder(path: str):
     }
     encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
 
-    def encode(text: str) -> np.ndarray:
+    def fast(text: str):
+        if any(token in text for token in special):
+            return None
         try:
-            ids = encoding.encode_to_numpy(text, disallowed_special=())
+            return encoding.encode_to_numpy(text, disallowed_special=())
         except ValueError:
+            return None
+
+    def encode(text: str) -> np.ndarray:
+        ids = fast(text)
+        if ids is None:
             ids = slow.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, "<u4")
 

@@ -13,7 +13,6 @@ from tests.llm.helpers import SMALL, clashing, documents, empty, odd_rows, texts
 def check(rows, sources):
     """Every id once, windows gapless, and little padding."""
     tokenizer = Tokenizer.from_file(packing.vocabulary())
-    tokenizer.encode_special_tokens = True
     by_doc, by_window = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
@@ -43,8 +42,10 @@ def test_query(spark):
 
 
 def test_awkward_rows(spark):
-    rows = [r for r in odd_rows() if r[0] not in (None, 5, 6)] + [(20, " " * 400_000), (21, "<|endoftext|>")]
+    rows = [r for r in odd_rows() if r[0] not in (None, 5, 6)] + [(20, " " * 400_000), (21, "<|endoftext|>"), (22, "a <|endoftext|> b")]
     check(packing.pack(clashing(documents(spark, rows))).collect(), {i: t or "" for i, t in rows})
+    five = packing.pack(documents(spark, [(1, "a <|endoftext|> b")])).first()
+    assert five.doc_tokens == 5
     every = packing.pack(documents(spark, odd_rows())).collect()
     assert sum(r.start == 0 for r in every) == len(odd_rows())
     assert packing.pack(empty(spark)).count() == 0
