@@ -11,6 +11,7 @@ from stratamart.llm import (
     lines,
     merkle,
     packing,
+    phrases,
     pieces,
     quality,
     suffixes,
@@ -156,6 +157,10 @@ def op12_bpe(spark, sf_dir):
     )
 
 
+def op13_phrases(spark, sf_dir):
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -171,5 +176,6 @@ QUERIES = {
         op10_sentencepiece,
         op11_merkle_manifest,
         op12_bpe,
+        op13_phrases,
     )
 }
