@@ -33,9 +33,9 @@ from pyspark.sql.types import StringType
 from stratamart.llm.packing import PATTERN, _printable_bytes, vocabulary
 
 KNOWN_LENGTH = 64
-KNOWN_WORDS = 1_000_000
-#: Bytes of results handed to Spark at once.
-OUT_BYTES = 8 << 20
+KNOWN_WORDS = 100_000
+#: Bytes of ids handed to Spark at once.
+OUT_BYTES = 4 << 20
 #: A character that is neither letter, number nor space; private use.
 OTHER = "\ue000"
 
@@ -143,33 +143,36 @@ def loaded(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _slices(values: Iterator, sizes_of, limit: int = OUT_BYTES) -> Iterator[tuple[int, list]]:
-    """Runs of values of about ``limit`` bytes, each with the place of its first value."""
-    start, held, size = 0, [], 0
-    for value in values:
-        held.append(value)
-        size += sizes_of(value)
-        if size >= limit:
-            yield start, held
-            start, held, size = start + len(held), [], 0
-    if held:
-        yield start, held
+def encode(docs: DataFrame, vocab: str | None = None, back: bool = False) -> DataFrame:
+    """``doc_id, ids`` of every row; with ``back`` also ``decoded``, the text of these ids.
 
-
-def encode(docs: DataFrame, vocab: str | None = None) -> DataFrame:
-    """``doc_id, ids`` of every row."""
+    Rows are given back some megabytes at a time.
+    """
     path = vocab or vocabulary()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids binary" + (", decoded string" if back else "")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
-        for batch in batches:
-            texts = (bpe.encode(text.as_py() or "") for text in batch.column(1))
-            for start, ids in _slices(texts, len):
-                rows = batch.column(0).slice(start, len(ids))
-                yield pa.RecordBatch.from_arrays([rows, pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(task, f"doc_id {kind}, ids binary")
+        def rows(batch: pa.RecordBatch, start: int, ids: list[bytes]) -> pa.RecordBatch:
+            arrays = {"doc_id": batch.column(0).slice(start, len(ids)), "ids": pa.array(ids, pa.binary())}
+            if back:
+                arrays["decoded"] = pa.array(map(bpe.decode, ids), pa.string())
+            return pa.RecordBatch.from_pydict(arrays)
+
+        for batch in batches:
+            start, ids, size = 0, [], 0
+            for text in batch.column(1):
+                ids.append(bpe.encode(text.as_py() or ""))
+                size += len(ids[-1])
+                if size >= OUT_BYTES:
+                    yield rows(batch, start, ids)
+                    start, ids, size = start + len(ids), [], 0
+            if ids:
+                yield rows(batch, start, ids)
+
+    return docs.select("doc_id", "text").mapInArrow(task, schema)
 
 
 def decoded(ids: Column, vocab: str | None = None) -> Column:

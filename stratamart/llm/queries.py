@@ -148,12 +148,12 @@ def op11_merkle_manifest(spark, sf_dir):
 
 
 def op12_bpe(spark, sf_dir):
-    encoded = bpe.encode(table(spark, sf_dir, "documents"))
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), back=True)
     return encoded.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded(F.col("ids")).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

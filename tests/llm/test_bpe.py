@@ -5,6 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratamart.llm import bpe
@@ -39,15 +40,16 @@ def test_query(spark, library):
 def test_awkward_rows(spark, library):
     extra = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext", " " * 100_000, "ab" * 50_000, "\x1c\u0085　x"]
     rows = odd_rows() + [(20 + i, t) for i, t in enumerate(extra)]
-    encoded = bpe.encode(clashing(documents(spark, rows)))
-    found = encoded.select("doc_id", "ids", bpe.decoded(encoded["ids"]).alias("text")).collect()
+    encoded = bpe.encode(clashing(documents(spark, rows)), back=True)
+    assert encoded.filter(bpe.decoded(encoded["ids"]) != F.col("decoded")).isEmpty()
+    found = encoded.select("doc_id", "ids", F.col("decoded").alias("text")).collect()
     wanted = [(i, ids_of(library, t or ""), t or "") for i, t in rows]
     key = lambda r: (r[0] is not None, r[0] or 0, r[1])
     assert sorted([(r.doc_id, bytes(r.ids), r.text) for r in found], key=key) == sorted(wanted, key=key)
     assert bpe.encode(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("place", ["a{}1", "{}.{}", " {}x", "\n {}"])
+@pytest.mark.parametrize("place", ["a{}1", "{}. {}x"])
 def test_classes_of_all_characters(library, place):
     """Letters, numbers and spaces are those of the library, of every code point."""
     encoder = bpe.loaded(bpe.vocabulary())
