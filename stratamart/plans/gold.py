@@ -10,9 +10,9 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratamart.functions.dates import day, day_key
-from stratamart.functions.exact import units
+from stratamart.functions.exact import total
 from stratamart.lazy import LazyTables
-from stratamart.operators.joins import left_lookup
+from stratamart.operators.joins import inner_lookup, left_lookup
 from stratamart.specs import GOLD_TABLES, METADATA_COLUMNS
 
 
@@ -126,21 +126,36 @@ class Gold(LazyTables):
 
     ``item_lines`` has the item columns only. ``order_totals(attribute)`` has one row per
     order with items: ``order_id``, one order attribute (order attributes depend on the
-    order alone) and the revenue in millionths. ``item_customers`` has the customer keys that
+    order alone) and the exact revenue. ``item_customers`` has the customer keys that
     the items refer to. All three are defined by the fact table. When gold is built from
     silver in one plan they come from the silver tables directly: item reports then do
     without the join to orders, and order reports aggregate the items per order *before*
     joining, which makes both join sides unique on ``order_id`` - a huge order is folded on
     the map side and never reaches the join.
+
+    ``co_partitioned`` says that the stored facts share a layout by order (buckets).
     """
 
     def __init__(
         self,
         builders: Mapping[str, Callable[[], DataFrame]],
         order_totals: Callable[[str], DataFrame],
+        co_partitioned: bool = False,
     ):
         super().__init__(builders)
         self.order_totals = order_totals
+        self.co_partitioned = co_partitioned
+
+    def with_order(self, items: DataFrame, per_order: DataFrame, how: str = "inner") -> DataFrame:
+        """Items with what is folded per order.
+
+        Facts that share a layout by order meet where they lie, without a shuffle; else both
+        are shuffled, so that a hot order can be split.
+        """
+        if self.co_partitioned:
+            return items.join(per_order, "order_id", how)
+        lookup = inner_lookup if how == "inner" else left_lookup
+        return lookup(items, per_order, "order_id")
 
     def tables(self) -> dict[str, DataFrame]:
         """The published tables."""
@@ -153,7 +168,7 @@ class Gold(LazyTables):
 
 
 def _revenue() -> Column:
-    return F.sum(units("price") + units("freight_value")).alias("revenue_units")
+    return total("price", "freight_value").alias("revenue")
 
 
 def gold_from_silver(silver: Mapping[str, DataFrame]) -> Gold:
@@ -180,8 +195,8 @@ def gold_from_silver(silver: Mapping[str, DataFrame]) -> Gold:
     )
 
 
-def gold_from_tables(tables: Mapping[str, DataFrame]) -> Gold:
-    """Gold over stored tables."""
+def gold_from_tables(tables: Mapping[str, DataFrame], co_partitioned: bool = False) -> Gold:
+    """Gold over stored tables; ``co_partitioned`` if its facts are laid out by order."""
 
     def stored(name: str) -> DataFrame:
         return tables[name].drop(*METADATA_COLUMNS)
@@ -196,4 +211,5 @@ def gold_from_tables(tables: Mapping[str, DataFrame]) -> Gold:
             "item_customers": lambda: stored("fact_order_items").select("customer_id"),
         },
         order_totals,
+        co_partitioned,
     )

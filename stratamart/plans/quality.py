@@ -87,12 +87,9 @@ def gold_suite(gold: Gold) -> DataFrame:
     return union_results(results)
 
 
-def bronze_type_suite(bronze: Mapping[str, DataFrame]) -> DataFrame:
+def bronze_type_results(bronze: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Text in the bronze tables that does not read as the declared type of its column, and
-    records whose number of fields is not that of their header.
-
-    Raises ``ValueError`` if every column arrived typed and there is no text to check.
-    """
+    records whose number of fields is not that of their header; none for typed tables."""
     results = []
     for name, df in bronze.items():
         arrived = dict(df.dtypes)
@@ -104,6 +101,15 @@ def bronze_type_suite(bronze: Mapping[str, DataFrame]) -> DataFrame:
         malformed = [MALFORMED] if MALFORMED in arrived else []
         if types or malformed:
             results.append(check_table(df, f"bronze.{name}", types=types, no_values=malformed))
+    return results
+
+
+def bronze_type_suite(bronze: Mapping[str, DataFrame]) -> DataFrame:
+    """The checks of :func:`bronze_type_results`.
+
+    Raises ``ValueError`` if every column arrived typed and there is no text to check.
+    """
+    results = bronze_type_results(bronze)
     if not results:
         raise ValueError("no text columns to check")
     return union_results(results)

@@ -11,8 +11,7 @@ Reports return their rows ordered; ties are broken by the group key.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratamart.functions.dates import period_label
-from stratamart.functions.exact import amount, rounded_mean, rounded_ratio, units
-from stratamart.operators.joins import inner_lookup, left_lookup
+from stratamart.functions.exact import added, amount, exact, rounded_mean, rounded_ratio, total
 from stratamart.operators.topk import highest, lowest, top_k
 from stratamart.plans.gold import Gold
 
@@ -27,7 +26,7 @@ MIN_PRODUCT_ORDERS = 10
 
 def _orders_by(gold: Gold, key: str) -> DataFrame:
     return gold.order_totals(key).groupBy(key).agg(
-        F.sum("revenue_units").alias("revenue_units"), F.count(F.lit(1)).alias("orders")
+        added("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders")
     )
 
 
@@ -37,7 +36,7 @@ def _by_calendar(gold: Gold, *attributes: str) -> DataFrame:
     return (
         per_day.join(gold["dim_date"], "date_id")
         .groupBy(*attributes)
-        .agg(F.sum("revenue_units").alias("revenue_units"), F.sum("orders").alias("orders"))
+        .agg(added("revenue").alias("revenue"), F.sum("orders").alias("orders"))
     )
 
 
@@ -47,17 +46,17 @@ def _by_state(gold: Gold) -> DataFrame:
     return (
         per_customer.join(states, "customer_id")
         .groupBy("customer_state")
-        .agg(F.sum("revenue_units").alias("revenue_units"), F.sum("orders").alias("orders"))
+        .agg(added("revenue").alias("revenue"), F.sum("orders").alias("orders"))
     )
 
 
 def _sales_by_category(gold: Gold) -> DataFrame:
     """Price and freight totals with their non-NULL counts, and items, per category."""
-    columns = ("price_units", "prices", "freight_units", "freights", "items")
+    amounts, counts = ("price", "freight"), ("prices", "freights", "items")
     per_product = gold["item_lines"].groupBy("product_id").agg(
-        F.sum(units("price")).alias("price_units"),
+        total("price").alias("price"),
         F.count("price").alias("prices"),
-        F.sum(units("freight_value")).alias("freight_units"),
+        total("freight_value").alias("freight"),
         F.count("freight_value").alias("freights"),
         F.count(F.lit(1)).alias("items"),
     )
@@ -65,7 +64,7 @@ def _sales_by_category(gold: Gold) -> DataFrame:
     return (
         per_product.join(categories, "product_id")
         .groupBy("category_name_english")
-        .agg(*[F.sum(c).alias(c) for c in columns])
+        .agg(*[added(c).alias(c) for c in amounts], *[F.sum(c).alias(c) for c in counts])
     )
 
 
@@ -92,7 +91,7 @@ def monthly_revenue(gold: Gold) -> DataFrame:
             "year",
             "month",
             "month_name",
-            amount(F.col("revenue_units")).alias("total_revenue"),
+            amount(exact(F.col("revenue"))).alias("total_revenue"),
             F.col("orders").alias("total_orders"),
         )
         .orderBy("year", "month")
@@ -102,7 +101,7 @@ def monthly_revenue(gold: Gold) -> DataFrame:
 def top_categories(gold: Gold) -> DataFrame:
     sales = _sales_by_category(gold).select(
         "category_name_english",
-        amount(F.col("price_units")).alias("total_revenue"),
+        amount(exact(F.col("price"))).alias("total_revenue"),
         F.col("items").alias("items_sold"),
     )
     return top_k(sales, highest("total_revenue", ["category_name_english"]), TOP_ROWS)
@@ -110,16 +109,16 @@ def top_categories(gold: Gold) -> DataFrame:
 
 def top_sellers(gold: Gold) -> DataFrame:
     per_order = gold["item_lines"].groupBy("seller_id", "order_id").agg(
-        F.sum(units("price")).alias("price_units")
+        total("price").alias("price")
     )
     per_seller = per_order.groupBy("seller_id").agg(
-        F.sum("price_units").alias("price_units"), F.count(F.lit(1)).alias("orders_handled")
+        added("price").alias("price"), F.count(F.lit(1)).alias("orders_handled")
     )
     states = gold["dim_seller"].select("seller_id", "seller_state")
     sales = per_seller.join(states, "seller_id").select(
         "seller_id",
         "seller_state",
-        amount(F.col("price_units")).alias("total_revenue"),
+        amount(exact(F.col("price"))).alias("total_revenue"),
         "orders_handled",
     )
     return top_k(sales, highest("total_revenue", ["seller_id"]), TOP_ROWS)
@@ -130,7 +129,7 @@ def revenue_by_state(gold: Gold) -> DataFrame:
         _by_state(gold)
         .select(
             "customer_state",
-            amount(F.col("revenue_units")).alias("total_revenue"),
+            amount(exact(F.col("revenue"))).alias("total_revenue"),
             F.col("orders").alias("total_orders"),
         )
         .orderBy(*highest("total_revenue", ["customer_state"]))
@@ -142,7 +141,7 @@ def payment_mix(gold: Gold) -> DataFrame:
         gold["fact_payments"].groupBy("payment_type")
         .agg(
             F.count(F.lit(1)).alias("num_payments"),
-            amount(F.sum(units("payment_value"))).alias("total_value"),
+            amount(exact(total("payment_value"))).alias("total_value"),
             rounded_ratio(
                 F.sum(F.col("payment_installments").cast("long")),
                 F.count("payment_installments"),
@@ -156,8 +155,8 @@ def payment_mix(gold: Gold) -> DataFrame:
 def category_reviews(gold: Gold) -> DataFrame:
     """Scores weighted by items: a review counts once for every item of its order."""
     per_product = (
-        inner_lookup(
-            gold["item_lines"].select("order_id", "product_id"), _reviews_by_order(gold), "order_id"
+        gold.with_order(
+            gold["item_lines"].select("order_id", "product_id"), _reviews_by_order(gold)
         )
         .groupBy("product_id")
         .agg(*[F.sum(c).alias(c) for c in ("score_sum", "scores", "reviews")])
@@ -192,7 +191,7 @@ def monthly_order_value(gold: Gold) -> DataFrame:
         .select(
             "year",
             "month",
-            rounded_mean(F.col("revenue_units"), F.col("orders")).alias("avg_order_value"),
+            rounded_mean(exact(F.col("revenue")), F.col("orders")).alias("avg_order_value"),
         )
         .orderBy("year", "month")
     )
@@ -204,7 +203,7 @@ def worst_products(gold: Gold) -> DataFrame:
         F.count(F.lit(1)).alias("items")
     )
     per_product = (
-        inner_lookup(items, _reviews_by_order(gold), "order_id")
+        gold.with_order(items, _reviews_by_order(gold))
         .groupBy("product_id")
         .agg(
             F.sum(F.col("score_sum") * F.col("items")).alias("score_sum"),
@@ -226,12 +225,12 @@ def worst_products(gold: Gold) -> DataFrame:
 def freight_share(gold: Gold) -> DataFrame:
     """Average freight over average price, in percent."""
     whole = "decimal(20,0)"
-    freight = F.col("freight_units").cast(whole) * F.col("prices").cast(whole)
-    price = F.col("price_units").cast(whole) * F.col("freights").cast(whole)
+    freight = exact(F.col("freight")) * F.col("prices").cast(whole)
+    price = exact(F.col("price")) * F.col("freights").cast(whole)
     shares = _sales_by_category(gold).select(
         "category_name_english",
-        rounded_mean(F.col("freight_units"), F.col("freights")).alias("avg_freight"),
-        rounded_mean(F.col("price_units"), F.col("prices")).alias("avg_price"),
+        rounded_mean(exact(F.col("freight")), F.col("freights")).alias("avg_freight"),
+        rounded_mean(exact(F.col("price")), F.col("prices")).alias("avg_price"),
         rounded_ratio(freight, price, 1, scale=100).alias("freight_pct_of_price"),
     )
     return top_k(shares, highest("freight_pct_of_price", ["category_name_english"]), TOP_ROWS)
@@ -239,15 +238,15 @@ def freight_share(gold: Gold) -> DataFrame:
 
 def headline_totals(gold: Gold) -> DataFrame:
     per_order = gold["item_lines"].groupBy("order_id").agg(
-        F.sum(units("price") + units("freight_value")).alias("revenue_units")
+        total("price", "freight_value").alias("revenue")
     )
     totals = per_order.agg(
-        F.sum("revenue_units").alias("revenue_units"), F.count(F.lit(1)).alias("orders")
+        added("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders")
     )
     return totals.select(
-        amount(F.col("revenue_units")).alias("total_revenue"),
+        amount(exact(F.col("revenue"))).alias("total_revenue"),
         F.col("orders").alias("total_orders"),
-        rounded_mean(F.col("revenue_units"), F.col("orders")).alias("avg_order_value"),
+        rounded_mean(exact(F.col("revenue")), F.col("orders")).alias("avg_order_value"),
     )
 
 
@@ -263,7 +262,7 @@ def revenue_by_period(gold: Gold) -> DataFrame:
         _by_calendar(gold, "year", "month")
         .select(
             period_label("year", "month").alias("period"),
-            amount(F.col("revenue_units")).alias("total_revenue"),
+            amount(exact(F.col("revenue"))).alias("total_revenue"),
         )
         .orderBy("period")
     )
@@ -275,7 +274,7 @@ def top_named_categories(gold: Gold) -> DataFrame:
         .filter(F.col("category_name_english").isNotNull())
         .select(
             F.col("category_name_english").alias("category"),
-            amount(F.col("price_units")).alias("revenue"),
+            amount(exact(F.col("price"))).alias("revenue"),
         )
     )
     return top_k(sales, highest("revenue", ["category"]), TOP_ROWS)
@@ -283,7 +282,7 @@ def top_named_categories(gold: Gold) -> DataFrame:
 
 def top_states(gold: Gold) -> DataFrame:
     sales = _by_state(gold).select(
-        F.col("customer_state").alias("state"), amount(F.col("revenue_units")).alias("revenue")
+        F.col("customer_state").alias("state"), amount(exact(F.col("revenue"))).alias("revenue")
     )
     return top_k(sales, highest("revenue", ["state"]), TOP_ROWS)
 
@@ -299,8 +298,8 @@ def payment_counts(gold: Gold) -> DataFrame:
 def untranslated_categories(gold: Gold) -> DataFrame:
     """Categories without an English name, with their products, sales volume and score."""
     volume = (
-        left_lookup(
-            gold["item_lines"].select("order_id", "product_id"), _reviews_by_order(gold), "order_id"
+        gold.with_order(
+            gold["item_lines"].select("order_id", "product_id"), _reviews_by_order(gold), "left"
         )
         .groupBy("product_id")
         .agg(

@@ -5,7 +5,7 @@ before deduplication, so a bad copy of a key cannot displace a good one and the
 reach the scan.
 """
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,7 +15,7 @@ from stratamart.functions.text import lower_trim, trim_only
 from stratamart.lazy import LazyTables
 from stratamart.operators.dedup import keep_first
 from stratamart.operators.filters import require
-from stratamart.specs import METADATA_COLUMNS, SOURCES, SourceSpec
+from stratamart.specs import MALFORMED, METADATA_COLUMNS, SOURCES, SourceSpec
 
 
 def read_as(column: str, wanted: str) -> Column:
@@ -42,19 +42,29 @@ def conform(df: DataFrame, spec: SourceSpec) -> DataFrame:
     return df.withColumns(parsed) if parsed else df
 
 
-def clean(df: DataFrame, spec: SourceSpec, normalise_key: bool = False) -> DataFrame:
+Watch = Callable[[str, DataFrame], DataFrame]
+
+
+def clean(
+    df: DataFrame, spec: SourceSpec, normalise_key: bool = False, watch: Watch = lambda point, rows: rows
+) -> DataFrame:
     """Clean one bronze table.
 
+    Records whose number of fields is not that of their header are dropped. ``watch`` is given
+    the rows as ``read``, the ``whole`` records and the ``valid`` rows before deduplication.
     ``normalise_key`` also lower-cases and trims text keys before deduplication. It is off
     by default; the translation table needs it when its keys differ from the product
     categories in case or padding.
     """
-    rows = conform(df.drop(*METADATA_COLUMNS), spec)
+    rows = watch("read", df)
+    if MALFORMED in df.columns:
+        rows = rows.filter(F.col(MALFORMED).isNull())
+    rows = conform(watch("whole", rows).drop(*METADATA_COLUMNS), spec)
     if normalise_key:
         rows = rows.withColumns(
             {k: lower_trim(k) for k in spec.key if spec.types[k] == "string"}
         )
-    rows = require(rows, spec.required, spec.non_negative)
+    rows = watch("valid", require(rows, spec.required, spec.non_negative))
     rows = keep_first(rows, spec.key)
     normalised = {c: lower_trim(c) for c in spec.lower_trim}
     normalised |= {c: trim_only(c) for c in spec.trim}

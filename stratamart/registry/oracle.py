@@ -520,6 +520,33 @@ def _both_ways(select: str) -> str:
 
 _PURCHASED = "order_purchase_timestamp"
 
+
+def _row_ledger(name: str) -> str:
+    """What becomes of a damaged source's rows, each step counted by its own condition."""
+    spec, source = SOURCES[name], _FAULTY_SOURCE.get(name, f"src_{name}")
+    broken = "customer_zip_code_prefix % 10 = 0" if name == "customers" else "false"
+    holds = [f"{c} IS NOT NULL" for c in spec.required] + [f"{c} >= 0" for c in spec.non_negative]
+    whole = f"SELECT *, {' AND '.join(holds)} AS valid FROM {source} WHERE NOT ({broken})"
+    keys = f"SELECT DISTINCT {', '.join(spec.key)} FROM ({whole}) WHERE valid"
+    return f"""
+        SELECT '{name}' AS table_name, every AS read, every - whole AS malformed,
+               whole - valid AS filtered, valid - kept AS duplicate, kept AS written,
+               true AS reconciled
+        FROM (SELECT (SELECT COUNT(*) FROM {source}) AS every,
+                     (SELECT COUNT(*) FROM ({whole})) AS whole,
+                     (SELECT COUNT(*) FROM ({whole}) WHERE valid) AS valid,
+                     (SELECT COUNT(*) FROM ({keys})) AS kept)"""
+
+
+def _acted(stage: str, relations: dict[str, str], made: str) -> str:
+    return (
+        f"SELECT *, CASE table_name WHEN '{made}' THEN 'made' ELSE 'skipped' END AS action "
+        f"FROM ({_counts(stage, relations)})"
+    )
+
+
+_GOLD_COUNTS = _counts(None, {name: name for name in GOLD_TABLES})
+
 _OPERATORS = {
     "csv_multiline_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "csv_split_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
@@ -542,6 +569,12 @@ _OPERATORS = {
         FROM (SELECT l_returnflag, CAST(l_extendedprice * l_tax AS DECIMAL(18, 6)) AS tax
               FROM lineitem)
         GROUP BY l_returnflag""",
+    "sum_huge_amounts": f"""
+        SELECT l_returnflag, CAST(sum(units) AS VARCHAR) AS total_units,
+               {_ratio("sum(units)", "1000000 * count(*)", 2)} AS avg_value
+        FROM (SELECT l_returnflag, CAST(floor(l_extendedprice) AS HUGEINT) * 4000000000000
+                     + l_linenumber * 250000 AS units FROM lineitem)
+        GROUP BY l_returnflag""",
     "sql_views_report": """
         SELECT s.seller_state, d.year, d.quarter, count(*) AS items,
                count(DISTINCT f.order_id) AS orders, max(f.price) AS dearest
@@ -560,6 +593,32 @@ _OPERATORS = {
     ),
     "layer_roundtrip": "SELECT * FROM fact_order_items",
     "layer_row_counts": _counts(None, {name: f"clean_{name}" for name in SOURCES}),
+    "snapshot_is_whole": f"""
+        SELECT table_name, reader, CASE reader WHEN 'after' THEN 2 ELSE 1 END * row_count AS row_count
+        FROM ({_GOLD_COUNTS}), (VALUES ('before'), ('held'), ('after')) AS readers(reader)""",
+    "retention_after_runs": "SELECT *, CAST(CASE table_name WHEN 'geolocation' THEN 1 ELSE 2 END AS INTEGER) "
+    "AS versions, CAST(2 AS INTEGER) AS snapshots FROM ("
+    + _counts(None, {name: f"clean_{name}" for name in ("customers", "orders", "sellers", "geolocation")})
+    + ")",
+    "resumed_run": _all(
+        _acted("bronze", {name: f"src_{name}" for name in SOURCES}, "order_reviews"),
+        _acted("silver", {name: f"clean_{name}" for name in SOURCES}, "order_reviews"),
+        _acted("gold", {name: name for name in GOLD_TABLES}, "fact_reviews"),
+    ),
+    "row_ledger": _all(*map(_row_ledger, SOURCES)),
+    "csv_inferred_types": _both_ways(
+        """SELECT column_name, type, row_count, total
+           FROM (VALUES ('whole', 'int'), ('long', 'bigint'), ('number', 'double'), ('day', 'date'),
+                        ('moment', 'timestamp_ntz'), ('flag', 'boolean'), ('text', 'string'),
+                        ('mixed', 'string'), ('nothing', 'string')) AS found(column_name, type),
+                (SELECT COUNT(*) AS row_count, CAST(SUM(o_orderkey) AS BIGINT) AS total FROM orders)"""
+    ),
+    "customers_sketched": f"""
+        SELECT CAST(year({_PURCHASED}) AS INTEGER) AS year, CAST(month({_PURCHASED}) AS INTEGER) AS month,
+               COUNT(DISTINCT customer_id) AS customers, true AS agrees
+        FROM src_orders GROUP BY ALL""",
+    "bucketed_q06_category_reviews": _REPORTS["q06_category_reviews"],
+    "bucketed_q09_worst_products": _REPORTS["q09_worst_products"],
     "filter_not_null_key": "SELECT * FROM faulty_customers WHERE customer_id IS NOT NULL",
     "filter_not_null_keys": """
         SELECT * FROM faulty_orders WHERE order_id IS NOT NULL AND customer_id IS NOT NULL""",

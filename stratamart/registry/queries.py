@@ -5,22 +5,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.functions.dates import day, day_key, period_label
-from stratamart.functions.exact import amount, rounded_mean, units
+from stratamart.functions.exact import added, amount, exact, rounded_mean, total
 from stratamart.functions.text import lower_trim, trim_only
 from stratamart.operators.checks import check_reference, check_table
 from stratamart.operators.dedup import distinct_values, keep_first
 from stratamart.operators.filters import require
+from stratamart.operators import sketches
 from stratamart.operators.joins import left_lookup, orphan_keys
 from stratamart.plans import quality, silver as cleaners
-from stratamart.plans.gold import Gold, date_bounds, fact_order_items, gold_from_silver
+from stratamart.plans.gold import (
+    Gold,
+    date_bounds,
+    fact_order_items,
+    gold_from_silver,
+    gold_from_tables,
+)
+from stratamart.plans.ledger import Ledger
 from stratamart.plans.reports import REPORTS
+from stratamart.plans.rows import write_silver_counted
 from stratamart.plans.run import Lake, publish_to_layer, run, stored_gold
 from stratamart.plans.silver import silver
 from stratamart.registry import faults
 from stratamart.sources import tpch
 from stratamart.sources.csv import WRITE, ingest, read_csv, write_csv
 from stratamart.sources.layers import Layer, row_counts, scratch_directory
-from stratamart.specs import GOLD_TABLES, INGESTED_AT, LOADED_AT, SOURCE_FILE, SOURCES
+from stratamart.specs import GOLD_TABLES, INGESTED_AT, LOADED_AT, MALFORMED, SOURCE_FILE, SOURCES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,9 +118,25 @@ def sum_fractional_amounts(spark, sf_dir):
     """Amounts with fractions of a cent, summed before rounding."""
     lines = tpch.table(spark, sf_dir, "lineitem")
     tax = lines.select("l_returnflag", (F.col("l_extendedprice") * F.col("l_tax")).alias("tax"))
-    total = F.sum(units("tax"))
+    every = exact(total("tax"))
     return tax.groupBy("l_returnflag").agg(
-        amount(total).alias("total_tax"), rounded_mean(total, F.count("tax")).alias("avg_tax")
+        amount(every).alias("total_tax"), rounded_mean(every, F.count("tax")).alias("avg_tax")
+    )
+
+
+def sum_huge_amounts(spark, sf_dir):
+    """Totals beyond 1e16, folded per order first: in millionths as text, and the average."""
+    lines = tpch.table(spark, sf_dir, "lineitem")
+    value = F.floor("l_extendedprice") * F.lit(4e6) + F.col("l_linenumber") * F.lit(0.25)
+    per_order = (
+        lines.select("l_returnflag", "l_orderkey", value.alias("value"))
+        .groupBy("l_returnflag", "l_orderkey")
+        .agg(total("value").alias("value"), F.count("value").alias("values"))
+    )
+    every = exact(added("value"))
+    return per_order.groupBy("l_returnflag").agg(
+        every.cast("string").alias("total_units"),
+        rounded_mean(every, F.sum("values")).alias("avg_value"),
     )
 
 
@@ -140,12 +165,7 @@ def gate_blocks_publishing(spark, sf_dir):
         run(spark, bad, lake, publish=lambda *given: published.append(given) or {})
     except quality.DataQualityError:
         blocked = 1
-    seen = stored_gold(spark, lake)
-    counts = [
-        seen[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "*")
-        for name in GOLD_TABLES
-    ]
-    return quality.union_results(counts).withColumns(
+    return _sizes(stored_gold(spark, lake).tables()).withColumns(
         {"blocked": F.lit(blocked), "published": F.lit(len(published))}
     )
 
@@ -187,6 +207,141 @@ def layer_row_counts(spark, sf_dir):
     return row_counts(spark, layer.write_all(silver(tpch.sources(spark, sf_dir))))
 
 
+def _sizes(tables) -> DataFrame:
+    """Rows per table, as read."""
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "*")
+        for name, df in tables.items()
+    ]
+    return quality.union_results(counts)
+
+
+def snapshot_is_whole(spark, sf_dir):
+    """Rows per table that readers see around a second publication, in which every row of the
+    first stands twice: before it is committed, by a reader who opened the layer before and
+    reads after, and by one who opens it after."""
+    layer = Layer(f"{scratch_directory(spark)}/gold")
+    gold = clean_gold(spark, sf_dir)
+    layer.write_all(gold.tables(), version="first")
+    layer.commit(spark, GOLD_TABLES, "first")
+    held = layer.read_all(spark, GOLD_TABLES)
+    for name in GOLD_TABLES[:3]:
+        held[name]  # some tables are opened now, the others when they are read
+    stored = layer.read_all(spark, GOLD_TABLES)
+    layer.write_all({name: df.unionByName(df) for name, df in stored.items()}, version="second")
+    seen = [_sizes(layer.read_all(spark, GOLD_TABLES)).withColumn("reader", F.lit("before"))]
+    layer.commit(spark, GOLD_TABLES, "second")
+    seen.append(_sizes(held).withColumn("reader", F.lit("held")))
+    seen.append(_sizes(layer.read_all(spark, GOLD_TABLES)).withColumn("reader", F.lit("after")))
+    return quality.union_results(seen)
+
+
+def retention_after_runs(spark, sf_dir):
+    """Versions left per table after five publications of which two are kept, one table being
+    published but once; and the rows that a reader of the older kept one still sees."""
+    layer = Layer(f"{scratch_directory(spark)}/silver")
+    tables = dict(silver(tpch.sources(spark, sf_dir)))
+    layer.write(tables.pop("geolocation"), "geolocation")
+    some = {name: tables[name] for name in ("customers", "orders", "sellers")}
+    for _ in range(4):
+        layer.write_all(some)
+    older = layer.read_all(spark, [*some, "geolocation"])
+    layer.write_all(some)
+    layer.retain(spark, 2)
+    left = [(name, len(layer.versions(spark, name)), len(layer.snapshots(spark))) for name in older]
+    kept = spark.createDataFrame(left, "table_name string, versions int, snapshots int")
+    return _sizes(older).join(kept, "table_name")
+
+
+def resumed_run(spark, sf_dir):
+    """What a second run does after a gate stopped the first and one source was repaired."""
+    root = scratch_directory(spark)
+    lake = Lake.under(root)
+    bad = dict(tpch.sources(spark, sf_dir)) | {"order_reviews": faults.order_reviews(spark, sf_dir)}
+    try:
+        run(spark, bad, lake, ledger=Ledger(f"{root}/ledger"))
+    except quality.DataQualityError:
+        pass
+    ledger = Ledger(f"{root}/ledger")
+    run(spark, tpch.sources(spark, sf_dir), lake, ledger=ledger)
+    return ledger.report(spark)
+
+
+def row_ledger(spark, sf_dir):
+    """Rows read, dropped by each step and written, per table of the damaged sources; every
+    tenth postal area's customers come as malformed records."""
+    bronze = dict(faults.sources(spark, sf_dir))
+    broken = F.when(F.col("customer_zip_code_prefix") % 10 == 0, F.lit("raw"))
+    bronze["customers"] = bronze["customers"].withColumn(MALFORMED, broken)
+    return write_silver_counted(spark, Layer(f"{scratch_directory(spark)}/silver"), bronze)
+
+
+def csv_inferred_types(spark, sf_dir):
+    """Types found in a CSV drop of orders, by both readers, and rows read with them."""
+    path = f"{scratch_directory(spark)}/orders"
+    moment = F.col("o_orderdate")
+    rows = tpch.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("whole"),
+        (F.col("o_custkey") + F.lit(1 << 40)).alias("long"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice").cast("string")).otherwise("7").alias("number"),
+        F.date_format(moment, "yyyy-MM-dd").alias("day"),
+        F.date_format(moment, "yyyy-MM-dd HH:mm:ss").alias("moment"),
+        (F.col("o_orderkey") % 3 == 0).alias("flag"),
+        F.concat_ws("\n", "o_orderstatus", "o_orderpriority").alias("text"),
+        F.when(F.col("o_orderkey") % 5 == 0, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("mixed"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+    write_csv(rows, path)
+    found = []
+    for split in (False, True):
+        read = read_csv(spark, path, infer_schema=True, split_files=split)
+        types = spark.createDataFrame(read.dtypes, "column_name string, type string")
+        # the values are read with the types: a sum over each column that is no text
+        rows = read.agg(F.count(F.lit(1)).alias("row_count"), F.sum("whole").alias("total"))
+        found.append(types.crossJoin(rows).withColumn("by_splits", F.lit(split)))
+    return found[0].unionByName(found[1])
+
+
+def customers_sketched(spark, sf_dir):
+    """Distinct customers per month: exact, and whether the merge of stored sketches per day
+    agrees within four standard errors."""
+    orders = tpch.orders(spark, sf_dir).select(
+        day("order_purchase_timestamp").alias("day"), "customer_id"
+    )
+    layer = Layer(f"{scratch_directory(spark)}/sketches")
+    layer.write(sketches.sketched(orders, ["day"], "customer_id"), "customers_per_day")
+
+    def month(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"year": F.year("day"), "month": F.month("day")})
+
+    days = month(layer.read(spark, "customers_per_day"))
+    merged = sketches.merged(days, ["year", "month"])
+    exact = month(orders).groupBy("year", "month").agg(F.count_distinct("customer_id").alias("customers"))
+    estimated = sketches.estimate("sketch")
+    return exact.join(merged, ["year", "month"]).select(
+        "year", "month", "customers", sketches.agrees(estimated, F.col("customers")).alias("agrees")
+    )
+
+
+def _bucketed_report(name: str) -> Query:
+    """A review report over facts stored in buckets by order."""
+
+    def query(spark, sf_dir):
+        root = scratch_directory(spark)
+        schema = "bucketed_" + root.rsplit("-", 1)[-1]
+        spark.sql(f"CREATE SCHEMA {schema} LOCATION '{root}'")
+        layer = Layer(schema, catalog=True)
+        gold = clean_gold(spark, sf_dir)
+        by_order = (int(spark.conf.get("spark.sql.shuffle.partitions")), ["order_id"])
+        facts = {n: gold[n] for n in ("fact_order_items", "fact_reviews")}
+        layer.write_all(facts, buckets=dict.fromkeys(facts, by_order))
+        layer.write(gold["dim_product"], "dim_product")
+        stored = layer.read_all(spark, [*facts, "dim_product"])
+        return REPORTS[name](gold_from_tables(stored, co_partitioned=True))
+
+    return query
+
+
 def staged_run(spark, sf_dir):
     """CSV drop, bronze, silver, gold, checks, publish; rows per stage and table."""
     root = scratch_directory(spark)
@@ -384,10 +539,19 @@ QUERIES: dict[str, Query] = {
     "csv_padded_text": csv_padded_text,
     "ingest_metadata": ingest_metadata,
     "sum_fractional_amounts": sum_fractional_amounts,
+    "sum_huge_amounts": sum_huge_amounts,
     "sql_views_report": sql_views_report,
     "gate_blocks_publishing": gate_blocks_publishing,
     "layer_roundtrip": layer_roundtrip,
     "layer_row_counts": layer_row_counts,
+    "snapshot_is_whole": snapshot_is_whole,
+    "retention_after_runs": retention_after_runs,
+    "resumed_run": resumed_run,
+    "row_ledger": row_ledger,
+    "csv_inferred_types": csv_inferred_types,
+    "customers_sketched": customers_sketched,
+    "bucketed_q06_category_reviews": _bucketed_report("q06_category_reviews"),
+    "bucketed_q09_worst_products": _bucketed_report("q09_worst_products"),
     "filter_not_null_key": filter_not_null_key,
     "filter_not_null_keys": filter_not_null_keys,
     "filter_non_negative": filter_non_negative,

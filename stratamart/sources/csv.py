@@ -10,7 +10,8 @@ from urllib.parse import unquote, urlparse
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratamart.sources.csv_split import read_split_csv
+from stratamart.sources.csv_split import leaves_quote_open, read_split_csv
+from stratamart.sources.csv_types import typed
 from stratamart.specs import INGESTED_AT, MALFORMED, SOURCE_FILE, SOURCES, SourceSpec
 
 # The dialect of the sources.
@@ -29,7 +30,8 @@ def read_csv(
     record_separator: str | None = None,
     split_files: bool = False,
 ) -> DataFrame:
-    """Read CSV by header name; all columns are text unless ``infer_schema``.
+    """Read CSV by header name; all columns are text unless ``infer_schema``, which gives
+    every column the narrowest type that all its values read as (:mod:`stratamart.sources.csv_types`).
 
     Text keeps leading zeros and makes one broken row visible as such instead of changing
     a column's type; the cleaners give columns their declared type. Columns are bound by the
@@ -41,14 +43,15 @@ def read_csv(
     example CR LF around fields with bare LF), else ``split_files``, which finds the record
     ends itself (see :mod:`stratamart.sources.csv_split`). Both ways return the same rows.
     """
-    if split_files and (infer_schema or record_separator is not None):
-        raise ValueError("split_files reads text columns and finds record ends itself")
-    if infer_schema or record_separator is not None:
+    if split_files and record_separator is not None:
+        raise ValueError("split_files finds record ends itself")
+    if record_separator is not None:
         reader = spark.read.options(**READ).option("inferSchema", str(infer_schema).lower())
-        if record_separator is None:
-            return reader.option("multiLine", "true").csv(path)
         return reader.option("lineSep", record_separator).csv(path)
-    return read_records(spark, path, split_files).drop(MALFORMED, SOURCE_FILE)
+    rows = read_records(spark, path, split_files)
+    if infer_schema:
+        rows = typed(rows, F.col(MALFORMED).isNull(), (MALFORMED, SOURCE_FILE))
+    return rows.drop(MALFORMED, SOURCE_FILE)
 
 
 def read_records(spark: SparkSession, path: str | list[str], split_files: bool) -> DataFrame:
@@ -72,16 +75,44 @@ def read_records(spark: SparkSession, path: str | list[str], split_files: bool)
 
 
 def _by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header. Reads the first record of each file, some files at a time."""
+    """Files by their header.
+
+    One job finds the first line of every file that is not blank and groups files by it; each
+    distinct line is then read once as a header, in one of its files. A header that goes on
+    over more lines is read file by file.
+    """
     reader = spark.read.options(**READ).option("multiLine", "true")
-    files = sorted(spark.read.text(path).inputFiles())
+    files = sorted(unquote(f) for f in spark.read.text(path).inputFiles())
+    groups = defaultdict(list)
     with ThreadPoolExecutor(max_workers=8) as pool:
-        headers = pool.map(lambda file: tuple(reader.csv(unquote(file)).columns), files)
-        groups = defaultdict(list)
-        for file, header in zip(files, headers):
-            groups[header].append(unquote(file))
+        first_lines = _by_first_line(spark, path)
+        samples = [found[0] for found in first_lines]
+        for found, columns in zip(first_lines, pool.map(lambda f: tuple(reader.csv(f).columns), samples)):
+            groups[columns] += found
     # A file without a record adds no columns, unless there are only such files.
-    return {h: f for h, f in groups.items() if h} or {(): files}
+    return {h: sorted(f) for h, f in groups.items() if h} or {(): files}
+
+
+def _by_first_line(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """Files that share their first line, or one by itself if that line leaves a quote open.
+
+    Tasks send one line per file; only lines at the begin of a file's first split are looked at.
+    """
+    line = F.regexp_replace("value", r"\r\z", "")
+    lines = (
+        spark.read.option("lineSep", "\n").text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("begin"),
+            F.monotonically_increasing_id().alias("at"),
+            line.alias("line"),
+        )
+        .filter((F.col("begin") == 0) & (F.col("line") != ""))
+    )
+    first = lines.groupBy("file").agg(F.min_by("line", "at").alias("line"))
+    alone = F.when(leaves_quote_open(F.col("line")), F.col("file"))
+    grouped = first.groupBy("line", alone.alias("alone")).agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [[unquote(f) for f in r.files] for r in grouped.select("files").collect()]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -123,16 +154,17 @@ def ingest(
     """Bronze DataFrames for every source in the manifest, read in splits.
 
     ``paths`` overrides locations. ``whole_files`` names the sources to read with one task a
-    file, as all are with ``infer_schema``. Records with too few or too many fields carry
-    their raw text in a column of their own, which the type check of bronze counts.
+    file. Records with too few or too many fields carry their raw text in a column of their
+    own, which the type check of bronze counts. ``infer_schema`` gives columns the types that
+    all whole records read as, at the price of a pass over each source.
     """
     places = dict(paths or {})
     places |= {n: located(spark, raw_dir, spec) for n, spec in specs.items() if n not in places}
-    return {
-        name: with_ingest_metadata(read_csv(spark, place, infer_schema))
-        if infer_schema
-        else read_records(spark, place, name not in whole_files).withColumn(
-            INGESTED_AT, F.current_timestamp()
-        )
-        for name, place in ((n, places[n]) for n in specs)
-    }
+
+    def source(name: str) -> DataFrame:
+        rows = read_records(spark, places[name], name not in whole_files)
+        if infer_schema:
+            rows = typed(rows, F.col(MALFORMED).isNull(), (MALFORMED, SOURCE_FILE))
+        return rows.withColumn(INGESTED_AT, F.current_timestamp())
+
+    return {name: source(name) for name in specs}

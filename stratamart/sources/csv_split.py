@@ -66,6 +66,11 @@ def _end_state(line: Column, begin: int) -> Column:
     return F.aggregate(tokens, F.lit(begin), step)
 
 
+def leaves_quote_open(line: Column) -> Column:
+    """Whether a line that begins a record ends within a quoted field."""
+    return F.contains(line, F.lit('"')) & (_end_state(line, _START) == _QUOTED)
+
+
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines with their transitions: ``fixed`` is the state at the end where it does not depend
     on that at the begin, else NULL and ``swaps`` tells whether it is the other one."""
