@@ -4,11 +4,13 @@ Texts become sorted arrays of 64-bit shingle hashes. Documents with equal arrays
 class, and only classes are compared.
 
 *Groups.* Two sets with a Jaccard similarity of t share one of the first (1 - t) n + 1 elements
-of each, in any fixed order. The order puts shingles that are frequent in a sample of
-documents last, so a shingle of a common line or a large family of copies hardly ever brings
-documents together; the order decides the speed, never the result. Classes that meet in an
-element form a group; equal groups are taken once. Groups are ordered by set size and only
-pairs of compatible size are looked at.
+of each, in any fixed order. The order puts shingles that several documents of a sample hold
+last, the most frequent at the very end, so sets are looked up by what is rare in them; the
+order decides the speed, never the result. Classes that meet in an element form a group; equal
+groups are taken once. Groups are ordered by set size and only pairs of compatible size are
+looked at. If an element is the first that two sets share, they share no more than it and
+what follows it in either; pairs that this leaves too little are not given. The group of
+their first shared element gives every linked pair.
 
 *Bound.* Each set has a bitmap, its elements hashed to a number of bits that follows the size
 band (a power of two, so bitmaps of neighbouring bands fold onto each other). Bits that one
@@ -49,9 +51,9 @@ from stratamart.operators.joins import inner_lookup
 
 SHINGLE = 4
 PERCENT = 85
-#: Documents sampled for the order of shingles, and the share from which one goes last.
-ORDER_SAMPLE = 4000
-FREQUENT = 0.005
+#: Documents sampled for the order of shingles, and how many of them must hold one that goes last.
+ORDER_SAMPLE = 32_768
+FREQUENT = 5
 #: Largest group that gives pairs; classes in a block of a larger group or family.
 SMALL_GROUP = 128
 BLOCK = 256
@@ -86,16 +88,22 @@ def shingle_sets(texts, size: int = SHINGLE) -> list[np.ndarray]:
     return sets
 
 
-def prefix_of(elements: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The elements that a set must be looked up by: rare ones first."""
+#: Frequent elements, sorted, and the place of each in the order.
+Order = tuple[np.ndarray, np.ndarray]
+
+
+def prefix_of(elements: np.ndarray, frequent: Order, percent: int = PERCENT) -> np.ndarray:
+    """The elements that a set must be looked up by, in order: rare ones first."""
     n = len(elements)
     if not n:
         return elements
     length = n - -(-percent * n // 100) + 1
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, elements), len(frequent) - 1)
-        common = frequent[at] == elements
-        elements = np.concatenate([elements[~common], elements[common]])
+    known, places = frequent
+    if len(known):
+        at = np.minimum(np.searchsorted(known, elements), len(known) - 1)
+        common = known[at] == elements
+        last = elements[common][np.argsort(places[at[common]])]
+        elements = np.concatenate([elements[~common], last])
     return elements[:length]
 
 
@@ -142,8 +150,11 @@ def _blocks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield block
 
 
-def _frequent(docs: DataFrame, size: int, sample: int = ORDER_SAMPLE) -> np.ndarray:
-    """Shingles in many documents of a sample by id hash: at most shingles per text / FREQUENT."""
+def _frequent(docs: DataFrame, size: int, sample: int = ORDER_SAMPLE) -> Order:
+    """Shingles in several documents of a sample by id hash, and their order by frequency.
+
+    These are at most the sample's shingles / ``FREQUENT``, whatever the size of the corpus.
+    """
     share = sample / max(1, docs.count())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,14 +169,17 @@ def _frequent(docs: DataFrame, size: int, sample: int = ORDER_SAMPLE) -> np.ndar
         picked.mapInPandas(count, "element long, n long")
         .groupBy("element")
         .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= max(2, FREQUENT * picked.count()))
-        .select("element")
+        .filter(F.col("n") >= FREQUENT)
         .toPandas()
     )
-    return np.sort(rows["element"].to_numpy(np.int64).view(np.uint64))
+    elements = rows["element"].to_numpy(np.int64).view(np.uint64)
+    places = np.empty(len(rows), np.int64)
+    places[np.lexsort((elements, rows["n"].to_numpy()))] = np.arange(len(rows))
+    by_element = np.argsort(elements)
+    return elements[by_element], places[by_element]
 
 
-def _scan(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
+def _scan(docs: DataFrame, frequent: Order, size: int, percent: int) -> DataFrame:
     """Per row: size of the set, its digest (the class), its prefix and its bitmap."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,38 +215,62 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 def _groups(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Who meets in an element: small groups as arrays by size of set, large ones as rows.
 
-    Large ones are ``grp, id, n``; of equal large groups one is given.
+    Members of small groups carry ``at``, the place of the element in their order; equal
+    groups are one, with the least place of each member. Large ones are ``grp, id, n``; of
+    equal large groups one is given.
     """
-    rows = scanned.select(F.explode("prefix").alias("element"), "n", F.col("node").alias("id"))
+    rows = scanned.select(F.posexplode("prefix").alias("at", "element"), "n", F.col("node").alias("id"))
     # Counting rows is lighter than telling classes apart; groups of one class go below.
     shared = rows.groupBy("element").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    met = rows.join(shared, "element")
-    members = F.sort_array(F.collect_set(F.struct("n", "id"))).alias("members")
+    met = inner_lookup(rows, shared, "element")
+    members = F.sort_array(F.collect_set(F.struct("n", "id", "at"))).alias("members")
     few = met.filter(F.col("times") <= SMALL_GROUP).groupBy("element").agg(members).select("members")
-    few = few.filter(F.size("members") > 1).distinct()
-    many = met.filter(F.col("times") > SMALL_GROUP).select("element", "id", "n").distinct()
+    few = _once(few.filter(F.size("members") > 1))
+    many = met.filter(F.col("times") > SMALL_GROUP).select("element", "id", "n", "at").distinct()
     # Written in one job, so that the rows are dealt out once.
     both = stored(few.unionByName(many, allowMissingColumns=True))
     few = both.filter(F.col("members").isNotNull()).select("members")
-    many = both.filter(F.col("members").isNull()).select("element", "id", "n")
+    many = both.filter(F.col("members").isNull()).select("element", "id", "n", "at")
     sized = many.groupBy("element").agg(
         F.count(F.lit(1)).alias("size"),
         F.bit_xor(F.xxhash64("id")).alias("digest"),
         F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("digest2"),
     )
-    one = sized.groupBy("size", "digest", "digest2").agg(F.min("element").alias("element"))
-    small = one.filter(F.col("size").between(2, SMALL_GROUP)).select("element")
-    large = one.filter(F.col("size") > SMALL_GROUP).select("element")
-    more = inner_lookup(many, small, "element").groupBy("element").agg(members).select("members")
-    return few.unionByName(more), inner_lookup(many, large, "element").withColumnRenamed("element", "grp")
+    small = sized.filter(F.col("size").between(2, SMALL_GROUP)).select("element")
+    more = _once(inner_lookup(many, small, "element").groupBy("element").agg(members).select("members"))
+    one = sized.filter(F.col("size") > SMALL_GROUP).groupBy("size", "digest", "digest2")
+    large = one.agg(F.min("element").alias("element")).select("element")
+    wide = inner_lookup(many.drop("at"), large, "element").withColumnRenamed("element", "grp")
+    return few.unionByName(more), wide
+
+
+def _once(groups: DataFrame) -> DataFrame:
+    """Groups with the same members as one. A class has as many such groups as its prefix has
+    elements, at most."""
+    apart = groups.select(
+        F.transform("members", lambda m: F.struct(m["n"], m["id"])).alias("who"),
+        F.transform("members", lambda m: m["at"]).alias("places"),
+    )
+    merged = apart.groupBy("who").agg(F.collect_list("places").alias("places"))
+
+    def member(one, i):
+        least = F.array_min(F.transform("places", lambda places: places[i]))
+        return F.struct(one["n"].alias("n"), one["id"].alias("id"), least.alias("at"))
+
+    return merged.select(F.transform("who", member).alias("members"))
 
 
 def _small_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of compatible size in groups of bounded size."""
+    """Pairs in groups of bounded size that may share enough, by sizes and places."""
+
+    def able(x, y):
+        shared = F.least(x["n"] - x["at"], y["n"] - y["at"])
+        enough = 100 * shared >= percent * (x["n"] + y["n"] - shared)
+        return (y["n"] * percent <= x["n"] * 100) & enough & (y["id"] != x["id"])
 
     def after(x, i):
         rest = F.slice("members", i + 2, F.lit(SMALL_GROUP))
-        fit = F.filter(rest, lambda y: (y["n"] * percent <= x["n"] * 100) & (y["id"] != x["id"]))
+        fit = F.filter(rest, lambda y: able(x, y))
         return F.transform(
             fit,
             lambda y: F.struct(F.least(x["id"], y["id"]).alias("a"), F.greatest(x["id"], y["id"]).alias("b")),

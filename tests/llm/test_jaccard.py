@@ -98,3 +98,27 @@ def test_parts_that_first_tiles_leave_apart_are_still_joined(spark, monkeypatch)
     random.Random(7).shuffle(rows)
     found = jaccard.link(documents(spark, rows))
     assert sorted(map(tuple, found.collect())) == brute(rows)
+
+
+def test_a_common_passage_brings_few_together(spark, monkeypatch):
+    """2,000 unlike documents that share a passage: at most one pair each, and no tile."""
+    counted = {"pairs": 0, "tiles": 0}
+    passing, tiles = jaccard._passing, jaccard._passing_in_tiles
+
+    def counting_pairs(pairs, *others):
+        counted["pairs"] += pairs.count()
+        return passing(pairs, *others)
+
+    def counting_tiles(rows, *others):
+        counted["tiles"] += rows.count()
+        return tiles(rows, *others)
+
+    monkeypatch.setattr(jaccard, "_passing", counting_pairs)
+    monkeypatch.setattr(jaccard, "_passing_in_tiles", counting_tiles)
+    passage = " ".join(f"shared{i}" for i in range(20))
+    draw = random.Random(11)
+    rows = [(i, f"{passage} " + " ".join(f"w{draw.randrange(10**9)}" for _ in range(100))) for i in range(2000)]
+    rows += [(2000 + i, text) for i, (_, text) in enumerate(rows[:50])]
+    found = {r.doc_id: r.component_id for r in jaccard.link(documents(spark, rows)).collect()}
+    assert all(found[i] == i % 2000 for i in found)
+    assert counted["pairs"] <= 2000 and counted["tiles"] == 0
