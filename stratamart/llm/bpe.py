@@ -3,9 +3,9 @@
 A text is cut at the vocabulary's added tokens, then into words by its pattern. A word starts
 as a doubly linked list of its bytes' symbols. A heap holds every neighbouring pair that has a
 merge, ordered by rank and place; the least is merged, its new neighbours are pushed, and
-entries whose symbols have changed since are skipped. A word of n bytes costs n log n, however
-long it is. Words up to ``KNOWN_LENGTH`` characters are remembered by the task, up to
-``KNOWN_WORDS`` of them, which changes the speed and not the ids.
+entries whose pair has changed since are skipped. A word of n bytes costs n log n, however
+long it is. Words up to ``KNOWN_LENGTH`` characters are remembered by the task, forgotten when
+there are ``KNOWN_WORDS`` of them, which changes the speed and not the ids.
 
 ``ids`` are binary: unsigned 32-bit integers, little-endian. Decoding concatenates the
 vocabulary's strings, turned back into bytes.
@@ -33,7 +33,10 @@ from pyspark.sql.types import StringType
 from stratamart.llm.packing import PATTERN, _printable_bytes, vocabulary
 
 KNOWN_LENGTH = 64
-KNOWN_WORDS = 100_000
+KNOWN_WORDS = 500_000
+#: Bits of a symbol in a pair, and of a place in an entry of the heap.
+SHIFT, SHIFT_PLACE = 24, 40
+PLACES = (1 << SHIFT_PLACE) - 1
 #: Bytes of ids handed to Spark at once.
 OUT_BYTES = 4 << 20
 #: A character that is neither letter, number nor space; private use.
@@ -63,16 +66,20 @@ class Bpe:
         self.symbols = [0] * 256
         for char, byte in alphabet.items():
             self.symbols[byte] = vocab[char]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # rank of a pair of symbols, and the symbol that each rank's merge makes
+        self.ranks: dict[int, int] = {}
+        self.made: list[int] = []
         for rank, merge in enumerate(spec["model"]["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[vocab[left], vocab[right]] = (rank, vocab[left + right])
+            self.ranks[vocab[left] << SHIFT | vocab[right]] = rank
+            self.made.append(vocab[left + right])
         self.strings = [b""] * (1 + max(*vocab.values(), *added.values()))
         for piece, number in vocab.items():
             if piece not in added:
                 self.strings[number] = bytes(alphabet[c] for c in piece)
         for content, number in added.items():
             self.strings[number] = content.encode()
+        self.packed = [pack("<I", number) for number in range(len(self.strings))]
         self.added = {content: pack("<I", number) for content, number in added.items()}
         longest_first = sorted(added, key=len, reverse=True)
         self.cuts = regex.compile("|".join(map(regex.escape, longest_first))) if added else None
@@ -82,36 +89,41 @@ class Bpe:
 
     def merge(self, ids: list[int]) -> list[int]:
         """The symbols of one word after all merges, least rank first, leftmost of equals."""
-        merges = self.merges
-        before = list(range(-1, len(ids) - 1))
-        after = [*range(1, len(ids)), -1]
-        heap = []
-        for at, pair in enumerate(zip(ids, ids[1:])):
-            if pair in merges:
-                heap.append((merges[pair][0], at, pair))
+        rank_of, made = self.ranks.get, self.made
+        n = len(ids)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        # the rank of the pair that begins at a place now, -1 for none
+        now = [rank_of(a << SHIFT | b, -1) for a, b in zip(ids, ids[1:])]
+        heap = [rank << SHIFT_PLACE | at for at, rank in enumerate(now) if rank >= 0]
+        now.append(-1)
         heapify(heap)
         while heap:
-            _, at, pair = heappop(heap)
-            follower = after[at]
-            if follower < 0 or (ids[at], ids[follower]) != pair:
+            entry = heappop(heap)
+            at, rank = entry & PLACES, entry >> SHIFT_PLACE
+            if now[at] != rank:
                 continue  # stale
-            ids[at], ids[follower] = merges[pair][1], -1
-            after[at] = beyond = after[follower]
-            if beyond >= 0:
+            gone = after[at]
+            ids[at] = new = made[rank]
+            ids[gone] = now[gone] = -1
+            after[at] = beyond = after[gone]
+            if beyond < n:
                 before[beyond] = at
-                new = ids[at], ids[beyond]
-                if new in merges:
-                    heappush(heap, (merges[new][0], at, new))
+                now[at] = rank = rank_of(new << SHIFT | ids[beyond], -1)
+                if rank >= 0:
+                    heappush(heap, rank << SHIFT_PLACE | at)
+            else:
+                now[at] = -1
             if (ahead := before[at]) >= 0:
-                new = ids[ahead], ids[at]
-                if new in merges:
-                    heappush(heap, (merges[new][0], ahead, new))
+                now[ahead] = rank = rank_of(ids[ahead] << SHIFT | new, -1)
+                if rank >= 0:
+                    heappush(heap, rank << SHIFT_PLACE | ahead)
         return [i for i in ids if i >= 0]
 
     def word(self, word: str) -> bytes:
-        ids = self.merge([self.symbols[byte] for byte in word.encode()])
-        packed = pack(f"<{len(ids)}I", *ids)
-        if len(word) <= KNOWN_LENGTH and len(self.known) < KNOWN_WORDS:
+        packed = b"".join([self.packed[i] for i in self.merge([self.symbols[byte] for byte in word.encode()])])
+        if len(word) <= KNOWN_LENGTH:
+            if len(self.known) == KNOWN_WORDS:
+                self.known.clear()
             self.known[word] = packed
         return packed
 
