@@ -3,7 +3,7 @@
 Everything is per language. ``mine`` works in passes over the texts:
 
 1. *Support*, once per length: a task gives hashed phrases with counts that stop at the least
-   count wanted; their sum says whether a phrase may be frequent, not how often it occurs. A
+   count wanted, packed in arrays by range of hashes; their sum says whether a phrase may be frequent, not how often it occurs. A
    phrase is only tried if all its parts may be frequent (Apriori), which tasks look up in a
    bitmap of ``2 ** BITMAP_BITS`` bits. Bits and hashes that coincide only let more through.
 2. *Texts* of what may be frequent: the candidates.
@@ -34,13 +34,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stratamart.llm.common import Steps
+from stratamart.llm.common import Steps, partitions_for
 
 LEAST, LONGEST, TOP = 10, 3, 2000
 BITMAP_BITS = 26
 SHARD = 1 << 18
 PER_PASS = 4
 CHUNK_BYTES = 8 << 20
+#: States whose counts are summed together.
+STATES = 1 << 16
 #: Phrases whose text a task remembers to have given already; more are given again.
 REMEMBERED = 4_000_000
 #: Words of more bytes are hashed one by one.
@@ -74,8 +76,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hashes of words given by their places, byte column by byte column."""
     lengths = ends - starts
     hashes = lengths.astype(np.uint64)
-    rows = np.flatnonzero(lengths <= LONG_WORD)
-    rows = rows[np.argsort(lengths[rows], kind="stable")]
+    rows = np.argsort(np.minimum(lengths, 255).astype(np.uint8), kind="stable")
+    rows = rows[: np.count_nonzero(lengths <= LONG_WORD)]
     held, left, at = hashes[rows], lengths[rows], starts[rows]
     first = 0
     for byte in range(int(left[-1]) if len(left) else 0):
@@ -95,16 +97,18 @@ class Chunk:
         self.data = b"\n".join(raw).translate(_LOWER)
         self.bytes = np.frombuffer(self.data, np.uint8)
         kinds = _CLASS[self.bytes]
-        inside = np.zeros(len(kinds) + 2, np.int8)
+        inside = np.zeros(len(kinds) + 2, bool)
         inside[1:-1] = kinds == 0
-        edges = np.diff(inside)
-        self.starts, self.ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        piece = np.cumsum(kinds == 2, dtype=np.int32)[self.starts]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.starts, self.ends = edges[::2].copy(), edges[1::2].copy()
         #: whether the word i + 1 follows the word i in one piece
-        self.joined = np.append(piece[1:] == piece[:-1], False) if len(piece) else np.zeros(0, bool)
+        self.joined = np.ones(len(self.starts) + 1, bool)
+        self.joined[np.searchsorted(self.starts, np.flatnonzero(kinds == 2)) - 1] = False
+        self.joined = self.joined[:-1]
+        self.joined[-1:] = False
         self.langs, codes = np.unique(np.array(langs, object), return_inverse=True)
-        text_starts = np.cumsum([0, *(len(r) + 1 for r in raw[:-1])])
-        self.lang = codes[np.searchsorted(text_starts, self.starts, "right") - 1]
+        ends = np.cumsum([len(r) + 1 for r in raw])
+        self.lang = np.repeat(codes, np.diff(np.searchsorted(self.starts, ends), prepend=0))
         salts = np.array([text_key(lang.encode()) for lang in self.langs], np.uint64)
         self.words = mixed(word_hashes(self.bytes, self.starts, self.ends) ^ salts[self.lang])
 
@@ -124,8 +128,19 @@ class Chunk:
             ok[len(ok) - step :] = False
         return ok
 
-    def phrase(self, at: int, length: int) -> str:
-        return b" ".join(self.data[self.starts[at] : self.ends[at + length - 1]].split()).decode()
+    def texts(self, at: np.ndarray, length: int) -> pa.StringArray:
+        """The phrases of a length that start at words, joined by single spaces."""
+        words = at[:, None] + np.arange(length)
+        starts, sizes = self.starts[words].ravel(), (self.ends - self.starts)[words]
+        sizes[:, :-1] += 1  # a byte for the space
+        offsets = np.append(0, np.cumsum(sizes.sum(axis=1))).astype(np.int32)
+        sizes = sizes.ravel()
+        ends = np.cumsum(sizes)
+        out = self.bytes[np.arange(offsets[-1]) + np.repeat(starts - (ends - sizes), sizes)]
+        spaces = np.ones((len(at), length), bool)
+        spaces[:, -1] = False
+        out[ends[spaces.ravel()] - 1] = 32
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(out))
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -162,18 +177,41 @@ def possible(chunk: Chunk, length: int, bitmaps: list[np.ndarray]) -> tuple[np.n
 
 
 def support(texts: DataFrame, length: int, bitmaps, least: int) -> DataFrame:
-    """Keys of phrases that may occur ``least`` times or more."""
+    """Keys of phrases that may occur ``least`` times or more.
+
+    A task gives the keys of some texts in sorted arrays, one per range of keys; ranges are
+    brought together and summed as arrays.
+    """
+    ranges = 2 * partitions_for(texts.sparkSession)
+    edges = np.array([i * (1 << 64) // ranges for i in range(1, ranges)], np.uint64)
+    stopped = np.min_scalar_type(least)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
             _, keys = possible(chunk, length, [b.value for b in bitmaps])
             keys, counts = np.unique(keys, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(np.minimum(counts, least).astype(np.int32))], ["key", "n"]
+            counts = np.minimum(counts, least).astype(stopped)
+            cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+            some = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "range": pa.array([i for i, _, _ in some], pa.int32()),
+                    "keys": pa.array([keys[a:b].tobytes() for _, a, b in some], pa.binary()),
+                    "counts": pa.array([counts[a:b].tobytes() for _, a, b in some], pa.binary()),
+                }
             )
 
-    counted = texts.mapInArrow(task, "key long, n int").groupBy("key").agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") >= least).select("key")
+    def summed(part: pa.Table) -> pa.Table:
+        keys = np.frombuffer(b"".join(part["keys"].to_pylist()), np.uint64)
+        counts = np.frombuffer(b"".join(part["counts"].to_pylist()), stopped)
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        heavy = keys[first][np.add.reduceat(counts, first) >= least]
+        return pa.table({"key": pa.array(heavy.view(np.int64))})
+
+    given = texts.mapInArrow(task, "range int, keys binary, counts binary")
+    return given.groupBy("range").applyInArrow(summed, "key long")
 
 
 def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
@@ -206,11 +244,9 @@ def named(texts: DataFrame, bitmaps, longest: int) -> DataFrame:
                 keys, at = keys[fresh], at[fresh]
                 if len(given) < REMEMBERED:
                     given = np.concatenate([given, keys])
-                langs = chunk.langs[chunk.lang[at]]
-                phrases = [chunk.phrase(i, length) for i in at]
+                langs = pa.array(chunk.langs, pa.string()).take(pa.array(chunk.lang[at]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(keys.view(np.int64))],
-                    ["lang", "phrase", "key"],
+                    [langs, chunk.texts(at, length), pa.array(keys.view(np.int64))], ["lang", "phrase", "key"]
                 )
 
     return texts.mapInArrow(task, "lang string, phrase string, key long")
@@ -401,7 +437,10 @@ def shards_of(candidates: DataFrame, shards: int, longest: int) -> DataFrame:
 
 
 def counted(texts: DataFrame, tries: dict[int, DoubleArray], longest: int, totals: bool) -> DataFrame:
-    """``shard, state, lang, n``: how often candidates occur; with ``totals`` words per language."""
+    """``shard, state, lang, n``: how often candidates occur; with ``totals`` words per language.
+
+    A task gives the counts that are not zero, as arrays by range of states.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(tries)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,8 +458,9 @@ def counted(texts: DataFrame, tries: dict[int, DoubleArray], longest: int, total
                 states, codes = first[which], codes[which]
                 at = np.flatnonzero(states >= 0)
                 states = states[at]
+                accepted = []
                 for length in range(1, longest + 1):
-                    counts[shard] += np.bincount(states[trie.accepts[states]], minlength=len(trie.base))
+                    accepted.append(states[trie.accepts[states]])
                     if length == longest:
                         break
                     on = chunk.joined[at + length - 1]
@@ -428,23 +468,47 @@ def counted(texts: DataFrame, tries: dict[int, DoubleArray], longest: int, total
                     at, states = at[on], states[on]
                     states, kept = trie.advance(states, codes[at + length])
                     at = at[kept]
+                counts[shard] += np.bincount(np.concatenate(accepted), minlength=len(trie.base))
             for lang, n in zip(chunk.langs, np.bincount(chunk.lang, minlength=len(chunk.langs))):
                 words[lang] = words.get(lang, 0) + int(n)
         for shard, found in counts.items():
             states = np.flatnonzero(found)
-            for part in range(0, len(states), 100_000):
-                some = states[part : part + 100_000]
-                yield batch([shard] * len(some), some, [None] * len(some), found[some])
+            cuts = np.searchsorted(states, np.arange(0, len(found) + STATES, STATES)).tolist()
+            some = [(i, states[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+            yield rows([shard] * len(some), some, [None] * len(some), [found[s] for _, s in some])
         if totals:
-            yield batch([-1] * len(words), [-1] * len(words), list(words), list(words.values()))
+            none = np.zeros(1, np.int64)
+            yield rows([-1] * len(words), [(0, none)] * len(words), list(words), np.array([*words.values()], np.int64))
+
+    def rows(shards, states, langs, counts) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {
+                "shard": pa.array(shards, pa.int32()),
+                "range": pa.array([i for i, _ in states], pa.int32()),
+                "lang": pa.array(langs, pa.string()),
+                "states": pa.array([s.astype(np.uint32).tobytes() for _, s in states], pa.binary()),
+                "counts": pa.array([c.tobytes() for c in counts], pa.binary()),
+            }
+        )
 
-    def batch(shard, state, lang, n) -> pa.RecordBatch:
-        kinds = pa.int32(), pa.int64(), pa.string(), pa.int64()
-        arrays = [pa.array(v, k) for v, k in zip((shard, state, lang, n), kinds)]
-        return pa.RecordBatch.from_arrays(arrays, ["shard", "state", "lang", "n"])
+    def summed(part: pa.Table) -> pa.Table:
+        states = np.frombuffer(b"".join(part["states"].to_pylist()), np.uint32)
+        counts = np.frombuffer(b"".join(part["counts"].to_pylist()), np.int64)
+        states, which = np.unique(states, return_inverse=True)
+        n = np.zeros(len(states), np.int64)
+        np.add.at(n, which, counts)
+        shard, lang = part["shard"][0].as_py(), part["lang"][0].as_py()
+        return pa.table(
+            {
+                "shard": pa.array([shard] * len(n), pa.int32()),
+                "state": pa.array(states.astype(np.int64)),
+                "lang": pa.array([lang] * len(n), pa.string()),
+                "n": pa.array(n),
+            }
+        )
 
-    rows = texts.mapInArrow(task, "shard int, state long, lang string, n long")
-    return rows.groupBy("shard", "state", "lang").agg(F.sum("n").alias("n"))
+    given = texts.mapInArrow(task, "shard int, range int, lang string, states binary, counts binary")
+    return given.groupBy("shard", "range", "lang").applyInArrow(summed, "shard int, state long, lang string, n long")
 
 
 def count_phrases(

@@ -105,7 +105,9 @@ def test_double_array_accepts_exactly_its_phrases(seed):
 
 def test_words_and_hashes_of_long_and_short_words():
     chunk = phrases.Chunk(["Ab ab\tAB. ab " + "x" * 100, "x" * 100 + " ab"], ["en", "en"])
-    assert [chunk.phrase(i, 1) for i in range(7)] == ["ab"] * 4 + ["x" * 100] * 2 + ["ab"]
+    assert chunk.texts(np.arange(7), 1).to_pylist() == ["ab"] * 4 + ["x" * 100] * 2 + ["ab"]
+    assert chunk.texts(np.array([0, 5]), 2).to_pylist() == ["ab ab", "x" * 100 + " ab"]
+    assert chunk.texts(np.array([], np.int64), 3).to_pylist() == []
     assert len(set(chunk.words.tolist())) == 2
     assert chunk.joined.tolist() == [True, True, False, True, False, True, False]
     assert (phrases.word_keys(["en", "en"], ["ab", "x" * 100]) == chunk.words[[0, 4]]).all()
