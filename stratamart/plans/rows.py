@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from stratamart.plans.silver import clean
-from stratamart.sources.layers import Layer, new_version
+from stratamart.sources.layers import Layer, new_version, observed
 from stratamart.specs import PROCESSED_AT, SOURCES
 
 _ROW = (
@@ -31,7 +31,7 @@ class Points:
         return rows.observe(self._seen[point], F.count(F.lit(1)).alias("rows"))
 
     def __getitem__(self, point: str) -> int:
-        return self._seen[point].get["rows"]
+        return observed(self._seen[point], "rows")
 
 
 def write_silver_counted(

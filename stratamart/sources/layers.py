@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from stratamart.lazy import LazyTables
@@ -199,7 +200,7 @@ class Layer:
             writer.save(f"{self.location}/{table}/{own}")
             if version is None:
                 self.commit(df.sparkSession, [table], own)
-        return counted.get["rows"]
+        return observed(counted, "rows")
 
     def write_all(
         self,
@@ -231,6 +232,17 @@ class Layer:
         return rows
 
 
+def observed(observation: Observation, name: str) -> int:
+    """A count observed in a plan that has run; the optimizer leaves out the observation of a
+    relation that it knows to be empty."""
+    try:
+        return observation.get[name]
+    except Py4JJavaError as error:
+        if "assertion failed" not in str(error.java_exception):
+            raise
+        return 0
+
+
 def row_counts(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     """Counts per table as a DataFrame (one row per table)."""
     return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")

@@ -6,9 +6,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from stratamart.sources import csv
 from stratamart.sources.csv import ingest, read_csv, write_csv
+from stratamart.sources.csv_types import inferred, typed
 from stratamart.sources.tpch import table
-from stratamart.specs import INGESTED_AT, SOURCE_FILE, SOURCES
+from stratamart.specs import INGESTED_AT, MALFORMED, SOURCE_FILE, SOURCES
 from tests.conftest import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.01"
@@ -95,9 +97,8 @@ def test_record_separator_splits_on_it_only(spark, tmp_path):
 
 
 def test_split_reader_takes_no_other_mode(spark):
-    for options in ({"infer_schema": True}, {"record_separator": "\r\n"}):
-        with pytest.raises(ValueError):
-            read_csv(spark, "anywhere", split_files=True, **options)
+    with pytest.raises(ValueError):
+        read_csv(spark, "anywhere", split_files=True, record_separator="\r\n")
 
 
 def test_codes_keep_leading_zeros_unless_inferred(spark, tmp_path):
@@ -187,3 +188,84 @@ def test_a_source_has_one_place(spark, tmp_path):
         ingest(spark, str(tmp_path), specs=spec)
     named = {"orders": str(tmp_path / "old_orders_dataset.csv")}
     assert ingest(spark, str(tmp_path), paths=named, specs=spec)["orders"].first().order_id == "2"
+
+
+def jobs_of(spark, action):
+    """The result of an action and the number of Spark jobs it started."""
+    group = str(uuid.uuid4())
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        result = action()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_headers_of_many_files_take_few_jobs(spark, tmp_path, split):
+    """500 files with three headers, one over two lines, some empty or with blank lines first."""
+    heads = ["a,b,c", "c,a,b", '"a","b"']
+    for i in range(500):
+        columns = heads[i % 3].replace('"', "").split(",")
+        row = ",".join(f"{c}{i}" for c in columns)
+        (tmp_path / f"f {i} 100%.csv").write_text("\n" * (i % 2) + heads[i % 3] + "\r\n" * (i % 4 == 0) + f"\n{row}\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "two.csv").write_text('a,"b\nb"\nx,y\n')
+    groups = csv._by_header(spark, str(tmp_path))
+    assert {h: len(f) for h, f in groups.items()} == {
+        ("a", "b", "c"): 167, ("c", "a", "b"): 167, ("a", "b"): 166, ("a", "b\nb"): 1,
+    }
+    found = csv._by_first_line(spark, str(tmp_path))
+    _, jobs = jobs_of(spark, lambda: csv._by_first_line(spark, str(tmp_path)))
+    assert len(found) == 4 and jobs <= 4
+    rows = read_csv(spark, str(tmp_path), split_files=split)
+    assert rows.count() == 501 and rows.filter("a IS NULL").count() == 0
+
+
+# Texts of a column and the type that all of them read as.
+TYPED = [
+    (["1", "-7", None], "int"),
+    (["01310"], "int"),
+    (["1", "3000000000"], "bigint"),
+    (["1", "2.5"], "double"),
+    (["1e3", ".5"], "double"),
+    (["99999999999999999999"], "double"),
+    (["2020-01-31"], "date"),
+    (["2020-01-31", "2020-02-01 10:00:00"], "timestamp_ntz"),
+    (["2020-01-31T10:00"], "timestamp_ntz"),
+    (["2020-02-30"], "string"),
+    (["2020-01-31", "7"], "string"),
+    (["true", "FALSE"], "boolean"),
+    (["true", "1"], "string"),
+    (["1", " 2"], "string"),
+    (["NaN"], "string"),
+    ([""], "string"),
+    ([None], "string"),
+]
+
+
+@pytest.mark.parametrize("values, wanted", TYPED)
+def test_inferred_types(spark, values, wanted):
+    """The same for any order and partitioning of the rows."""
+    for some in (values, values[::-1]):
+        rows = spark.createDataFrame([(v,) for v in some], "`a.b` string").repartition(2)
+        assert inferred(rows, ["a.b"]) == {"a.b": wanted}
+        assert typed(rows).dtypes == [("a.b", wanted)]
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_broken_records_do_not_change_a_type(spark, tmp_path, split):
+    (tmp_path / "f.csv").write_text("n,t\n1,x\n2,y\nbroken\n3,z,more\n")
+    rows = read_csv(spark, str(tmp_path), infer_schema=True, split_files=split)
+    assert rows.dtypes == [("n", "int"), ("t", "string")]
+    assert sorted((r.n or 0, r.t or "") for r in rows.collect()) == [(0, ""), (1, "x"), (2, "y"), (3, "z")]
+
+
+def test_ingest_infers_in_splits(spark, tmp_path):
+    for spec in SOURCES.values():
+        file = tmp_path / spec.file_pattern.replace("*", "public_")
+        file.write_text(",".join(spec.types) + "\n" + ",".join("1" for _ in spec.types) + "\n")
+    bronze = ingest(spark, str(tmp_path), infer_schema=True)
+    own = {c: t for c, t in bronze["order_items"].dtypes if c in SOURCES["order_items"].types}
+    assert set(own.values()) == {"int"}
+    assert {MALFORMED, SOURCE_FILE, INGESTED_AT} <= set(bronze["orders"].columns)

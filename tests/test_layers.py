@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from stratamart.plans.gold import gold_from_tables
+from stratamart.plans.ledger import Ledger
 from stratamart.plans.quality import DataQualityError
 from stratamart.plans.reports import REPORTS
 from stratamart.plans.run import (
@@ -16,8 +18,17 @@ from stratamart.plans.run import (
 from stratamart.registry import faults
 from stratamart.registry.queries import clean_gold
 from stratamart.sources import tpch
+from stratamart.sources.csv import ingest, write_csv
 from stratamart.sources.jdbc import IncompleteLoadError, JdbcTarget
-from stratamart.sources.layers import Layer, row_counts, scratch_directory
+from stratamart.sources.layers import (
+    Layer,
+    children,
+    new_version,
+    remove,
+    remove_scratch,
+    row_counts,
+    scratch_directory,
+)
 from stratamart.sources.session import session_conf
 from stratamart.specs import GOLD_TABLES, LOADED_AT, METADATA_COLUMNS, PROCESSED_AT, SOURCES
 from tests.conftest import TESTDATA
@@ -198,3 +209,136 @@ def test_facts_are_read_over_several_connections(spark, monkeypatch):
     assert asked["fact_order_items"] == ("order_date_id", 20170101, 20181231)
     assert asked["fact_reviews"] == ("review_date_id", 20170101, 20181231)
     assert asked["fact_payments"] == ("payment_sequential", 1, 9) and asked["dim_seller"] == ()
+
+
+def numbers(spark, n):
+    return spark.range(n).toDF("id")
+
+
+def test_tables_are_published_together(spark, tmp_path):
+    """A reader who opened a layer keeps its tables, whatever is written and published since."""
+    layer = Layer(str(tmp_path))
+    layer.write_all({"a": numbers(spark, 1), "b": numbers(spark, 1)})
+    layer.write(numbers(spark, 9), "c")
+    held = layer.read_all(spark, ["a", "b", "c"])
+    assert held["a"].count() == 1
+    layer.write(numbers(spark, 2), "a", version="v")
+    layer.write(numbers(spark, 2), "b", version="v")
+    assert [layer.read(spark, t).count() for t in "abc"] == [1, 1, 9]
+    layer.commit(spark, ["a", "b"], "v")
+    assert [layer.read(spark, t).count() for t in "abc"] == [2, 2, 9]
+    assert [held[t].count() for t in "abc"] == [1, 1, 9]
+    assert [s.number for s in layer.snapshots(spark)] == [3, 2, 1]
+    with pytest.raises(ValueError, match="no published version of d"):
+        layer.read(spark, "d")
+
+
+def test_a_commit_that_died_is_passed_over(spark, tmp_path):
+    layer = Layer(str(tmp_path))
+    layer.write(numbers(spark, 3), "t")
+    (tmp_path / "snapshots" / "number=2").mkdir()  # as a writer leaves it who is lost before its file
+    assert layer.snapshot(spark).number == 1 and layer.read(spark, "t").count() == 3
+    layer.write(numbers(spark, 4), "t")
+    assert layer.snapshot(spark).number == 3 and layer.read(spark, "t").count() == 4
+
+
+def test_retention_keeps_what_kept_snapshots_name(spark, tmp_path):
+    layer = Layer(str(tmp_path))
+    layer.write(numbers(spark, 7), "once")
+    for n in (1, 2, 3):
+        layer.write(numbers(spark, n), "t")
+    before = layer.read_all(spark, ["once", "t"])
+    layer.write(numbers(spark, 4), "t")
+    layer.write(numbers(spark, 5), "t", version=new_version())  # of a run that failed
+    removed = layer.retain(spark, 2)
+    assert {t: len(v) for t, v in removed.items()} == {"once": 0, "t": 3}
+    assert (before["once"].count(), before["t"].count(), layer.read(spark, "t").count()) == (7, 3, 4)
+    assert len(layer.versions(spark, "t")) == 2 and len(layer.snapshots(spark)) == 2
+    assert layer.retain(spark, 2) == {"once": [], "t": []}
+    with pytest.raises(ValueError):
+        layer.retain(spark, 0)
+
+
+def test_scratch_of_this_application_is_removed(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    numbers(spark, 1).write.parquet(scratch_directory(spark))
+    (other := f"{shared}/stratamart-other-application-x")
+    numbers(spark, 1).write.parquet(other)
+    assert remove_scratch(spark) >= 1
+    assert children(spark, shared).count("stratamart-other-application-x") == 1
+    assert remove_scratch(spark) == 0 and children(spark, other + "/none") == []
+
+
+def test_a_run_goes_on_where_inputs_changed(spark, tmp_path):
+    lake = Lake.under(str(tmp_path / "lake"))
+    sources = dict(tpch.sources(spark, SF_DIR))
+
+    def go(sources, **settings):
+        ledger = Ledger(str(tmp_path / "ledger"))
+        counts = run(spark, sources, lake, ledger=ledger, **settings)
+        assert set(counts["gold"]) == set(GOLD_TABLES)
+        made = {(stage, table) for stage, table, _ in ledger.made}
+        assert len(made) + len(ledger.skipped) == 2 * len(SOURCES) + len(GOLD_TABLES)
+        return made, counts
+
+    first, counts = go(sources)
+    assert len(first) == 2 * len(SOURCES) + len(GOLD_TABLES)
+    assert go(sources) == (set(), counts)
+    other = sources | {"sellers": sources["sellers"].filter("seller_id > 3")}
+    layout = {"fact_payments": ["payment_type"]}
+    made, fewer = go(sources, layout=layout)
+    assert made == {("gold", "fact_payments")} and fewer == counts
+    with pytest.raises(DataQualityError, match="seller_id"):  # items refer to what is gone
+        go(other, layout=layout)
+    assert stored_gold(spark, lake)["dim_seller"].count() == counts["gold"]["dim_seller"]
+    made, _ = go(sources, keep=1, layout=layout)
+    assert made == {("bronze", "sellers"), ("silver", "sellers"), ("gold", "dim_seller")}
+    assert all(len(lake.gold.versions(spark, t)) == 1 for t in GOLD_TABLES)
+    # a version that is gone is made again
+    remove(spark, f"{lake.gold.location}/dim_date")
+    made, _ = go(sources, layout=layout)
+    assert made == {("gold", "dim_date")}
+
+
+def test_a_damaged_drop_stops_a_run_by_default(spark, tmp_path):
+    drop = tmp_path / "drop"
+    for name, df in tpch.sources(spark, SF_DIR).items():
+        write_csv(df, f"{drop}/{SOURCES[name].file_pattern.replace('*', 'x_')}")
+    place = next(drop.glob("*reviews*"))
+    part = next(place.glob("part-*.csv"))
+    lines = part.read_text().splitlines()
+    damaged = tmp_path / "reviews.csv"
+    damaged.write_text("\n".join([lines[0], lines[1] + ",shifted", *lines[2:]]) + "\n")
+    sources = ingest(spark, str(drop), {"order_reviews": str(damaged)})
+    with pytest.raises(DataQualityError, match="order_reviews.*well_formed"):
+        run(spark, sources, Lake.under(str(tmp_path / "lake")))
+    counts = run(spark, sources, Lake.under(str(tmp_path / "lake")), gate_bronze=False)
+    assert counts["silver"]["order_reviews"] == counts["bronze"]["order_reviews"] - 1
+
+
+def test_bucketed_facts_meet_without_a_shuffle(spark, finished):
+    lake, _, _ = finished
+    spark.sql("CREATE SCHEMA IF NOT EXISTS bucketed_gold")
+    layer = Layer("bucketed_gold", catalog=True)
+    gold = stored_gold(spark, lake)
+    facts = {n: gold[n] for n in ("fact_order_items", "fact_reviews")}
+    layer.write_all(facts, buckets=dict.fromkeys(facts, (4, ["order_id"])))
+    layer.write(gold["dim_product"], "dim_product")
+    stored = gold_from_tables(layer.read_all(spark, [*facts, "dim_product"]), co_partitioned=True)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        for name in ("q06_category_reviews", "q09_worst_products"):
+            report = REPORTS[name](stored)
+            assert report.collect() == REPORTS[name](gold).collect()
+            plan = report._jdf.queryExecution().executedPlan().toString()
+            plan = plan[plan.index("== Final Plan ==") : plan.index("== Initial Plan ==")]
+            # one exchange by product above the facts, one of the products, one of the result
+            by_order = [line for line in plan.splitlines() if "Exchange hashpartitioning(order_id" in line]
+            assert not by_order and plan.count("Bucketed: true") == 2, plan
+    finally:
+        spark.conf.set(key, before)
+        spark.sql("DROP SCHEMA bucketed_gold CASCADE")
+    with pytest.raises(ValueError, match="catalog"):
+        lake.gold.write(gold["dim_seller"], "x", buckets=(2, ["seller_id"]))
