@@ -240,7 +240,7 @@ class Positions:
 
     def __init__(self, docs: pd.DataFrame, answers: pd.DataFrame, threshold: int = THRESHOLD):
         docs = docs.sort_values(["doc_id", "text"], na_position="first")
-        self.docs, self.answers = docs[docs["doc_id"].notna()], answers
+        self.docs, self.answers = docs, answers
         self.texts = [(t or "").encode("utf-8", "replace") for t in self.docs["text"]]
         self.part = Part(self.docs["doc_id"].to_numpy(np.int64), self.texts, threshold)
 
@@ -340,17 +340,15 @@ def _removed(docs: pd.DataFrame, answers: pd.DataFrame, threshold: int) -> pd.Da
         spans = int(own[:1].sum() + (np.diff(own.astype(np.int8)) == 1).sum())
         kept = text if not n_removed else part.bytes[end - size : end][~own].tobytes()
         rows.append((doc, digest, size, n_removed, spans, kept))
-    unnamed = docs[docs["doc_id"].isna()]
-    for digest, text in zip(unnamed["digest"], unnamed["text"]):
-        kept = (text or "").encode("utf-8", "replace")
-        rows.append((pd.NA, digest, len(kept), 0, 0, kept))
     names = ["doc_id", "digest", "n_bytes", "n_removed", "n_spans", "kept"]
-    made = pd.DataFrame(rows, columns=names)
-    return made.astype({"doc_id": "Int64"})
+    return pd.DataFrame(rows, columns=names)
 
 
 def _laid_out(docs: DataFrame) -> DataFrame:
-    """The documents in parts of bounded size, stored bucketed by part."""
+    """The documents in parts of bounded size, stored bucketed by part.
+
+    The catalog's entry is only needed to open the table; the files stay in the shared folder.
+    """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = total // PART_BYTES + 1
@@ -365,7 +363,9 @@ def _laid_out(docs: DataFrame) -> DataFrame:
         .option("path", scratch_directory(spark))
         .saveAsTable(name)
     )
-    return spark.table(name)
+    laid = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return laid
 
 
 def remove_repeats(
@@ -377,7 +377,8 @@ def remove_repeats(
     """
     spark = docs.sparkSession
     digest = F.xxhash64("text").alias("digest")
-    laid = _laid_out(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest, "text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest, "text")
+    laid = _laid_out(rows.filter(F.col("doc_id").isNotNull()))
     buckets = 2 * partitions_for(spark)
     answers = spark.createDataFrame([], ANSWER)
 
@@ -398,10 +399,25 @@ def remove_repeats(
 
     def finish(key, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         made = _removed(rows, known, threshold)
-        # All rows of one id are in one part.
+        # All rows of one id are in one part, a null id's are not laid out.
         return made.drop_duplicates(["doc_id", "digest"]) if once else made
 
-    return by_part(finish, REMOVED)
+    return by_part(finish, REMOVED).unionByName(_unnamed(rows, once))
+
+
+def _unnamed(rows: DataFrame, once: bool) -> DataFrame:
+    """Rows without an id take no part: however many they are, they are not brought together."""
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    none = F.lit(0).cast("long")
+    kept = rows.filter(F.col("doc_id").isNull()).select(
+        "doc_id",
+        "digest",
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        none.alias("n_removed"),
+        none.alias("n_spans"),
+        text.alias("kept"),
+    )
+    return kept.dropDuplicates(["digest"]) if once else kept
 
 
 def deduplicate(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

@@ -84,3 +84,16 @@ def test_awkward_rows(spark):
     )
     assert suffixes.remove_repeats(empty(spark)).count() == 0
     assert suffixes.deduplicate(empty(spark)).count() == 0
+
+
+def test_rows_without_an_id_are_not_brought_together(spark):
+    """A third of the rows: they keep their texts and are in no part; no table stays listed."""
+    long = "the same long text that stands in very many documents of this table, id or not"
+    rows = [(i if i % 3 else None, long) for i in range(300)]
+    tables = {t.name for t in spark.catalog.listTables()}
+    out = suffixes.remove_repeats(documents(spark, rows)).collect()
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    size = len(long)
+    assert sorted((r.doc_id is None, r.n_removed) for r in out) == [(False, 0)] + [(False, size)] * 199 + [(True, 0)] * 100
+    kept = suffixes.deduplicate(documents(spark, rows)).collect()
+    assert sum(r.text == long for r in kept) == 101 and len(kept) == 300
