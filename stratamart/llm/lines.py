@@ -1,24 +1,28 @@
 """Deduplication of runs of lines by winnowing, in DataFrame functions only.
 
-A document is the sequence of its lines that hold a word. Of every window of ``RUN``
-consecutive line hashes the smallest is selected as a fingerprint (the last of equal ones),
-so two equal runs of at least ``RUN`` lines are sure to share one. Fingerprints that stand at
-a single place in all documents end there. Windows around the others are compared whole:
-grouped by their key, each with its first place in the corpus. That stands in for extending
-each place line by line both ways: a run of equal lines is the same as equal windows in a row,
-and grouping needs no pair of places, of which a passage in many documents has very many.
-Every window is made before fingerprints that stand alone drop theirs. Windows that have an earlier place are marked; marked windows that overlap or
-touch make up the repeated run, and all its lines are deleted. The first place keeps them.
-
-Where ``short_words`` is given, windows of fewer lines that hold so many words are compared in
-the same way, and so are the lines of a whole document of fewer than ``RUN`` lines with those
-of other such documents. A shorter passage on fewer lines than ``RUN`` stays.
+A document is the sequence of its lines that hold a word.
+
+*Fingerprints.* Of every window of ``RUN`` consecutive line hashes the smallest is selected
+(the last of equal ones), so two equal runs of at least ``RUN`` lines are sure to share one.
+With ``short_words``, a run of fewer lines that holds so many words is a window of its own,
+and so is the whole of a document of fewer than ``RUN`` lines, among such documents. A shorter
+passage on fewer lines stays.
+
+*Positions.* Only selected lines are given as rows, each with the lines around it. A
+fingerprint that stands at a single place in all documents ends there: places are counted by
+an aggregate and joined back.
+
+*Extension.* From each place that is left the match is extended up and down, to the windows
+in which its line was selected. What is equal to an earlier place over a whole window is
+found by the first place of every window's key, an aggregate again; so a passage in very many
+documents is compared with its first place and no pair of copies is ever built. Windows with
+an earlier place that overlap or touch make up the repeated run, and all its lines are
+deleted. The first place keeps them.
 
 Earlier means a smaller id, or further up in the same document (also where the two overlap).
 Lines are compared whole; lines without a word are neither compared nor deleted, and do not
-interrupt a run. Places are counted and first places found by aggregates that combine on the
-map side, and what is joined back is one row per window, so no pair of copies is ever built.
-Both joins back are lookups that adaptive execution can split where a passage is very frequent.
+interrupt a run. Both joins back are lookups that adaptive execution can split where a passage
+is very frequent.
 
 Defined cases: a null text stays null, an empty one empty; a null id comes before all others;
 rows that share id and text are one document and keep the same lines; an empty table gives no
@@ -26,15 +30,19 @@ rows. Other columns are passed through by ``deduplicate`` and cannot clash: the
 columns are made from id and text alone.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stratamart.llm.common import WORD, let
 from stratamart.operators.joins import inner_lookup
 
 RUN = 3
-#: Words from which a run of fewer than ``RUN`` lines is compared, where short runs are asked for.
+#: Words from which the query and the pipeline compare a run of fewer than ``RUN`` lines.
 SHORT_WORDS = 50
 HAS_WORD = r"[^\x20\x09-\x0D]"
+#: What else than a blank stands between words of a line.
+OTHER_SPACES = ("\t", "\x0b", "\x0c", "\r")
 
 
 def _split(text):
@@ -47,88 +55,122 @@ def _worded(lines):
     return F.filter(marked, lambda i: i.isNotNull())
 
 
-def windows(docs: DataFrame, run: int = RUN, short_words: int | None = None) -> DataFrame:
-    """One row per window: document, first line (from 1), lines, key of its text, fingerprint, its place.
+def _last_least(hashes: Column, first: Column, size: int) -> Column:
+    """Where in a window the smallest hash stands, the last of equal ones (from 0)."""
+    at = [F.get(hashes, first + k) for k in range(size)]
+    least = F.least(*at) if size > 1 else at[0]
+    place = first
+    for k in range(1, size):
+        place = F.when(at[k] == least, first + k).otherwise(place)
+    return place
 
-    With ``short_words``, windows of fewer than ``run`` lines are given if they hold so many
-    words, and so are all lines of a document that has fewer than ``run``, by a key of their own.
-    """
-    lines = F.filter(_split(F.col("text")), lambda line: line.rlike(HAS_WORD))
 
-    def window(hashes, i, size, whole=False):
-        part = F.slice(hashes, i, size)
-        least = F.array_min(part)
-        kind = [F.lit("whole")] if whole else []
-        return F.struct(
-            i.alias("line"),
-            F.lit(size).alias("size") if isinstance(size, int) else size.alias("size"),
-            F.xxhash64(*kind, part).alias("key"),
-            F.xxhash64(*kind, F.lit(size) if isinstance(size, int) else size, part).alias("key2"),
-            least.alias("mark"),
-            (i + size - F.array_position(F.reverse(part), least)).cast("int").alias("place"),
-        )
+def _words(line: Column) -> Column:
+    """Words of a line: where blanks stand one by one between words, as many and one more."""
+    blanks = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+    odd = line.startswith(" ") | line.endswith(" ")
+    odd = reduce(Column.__or__, [F.contains(line, F.lit(c)) for c in ("  ", *OTHER_SPACES)], odd)
+    return F.when(odd, F.regexp_count(line, F.lit(WORD))).otherwise(blanks + 1)
 
-    def all_windows(hashes):
-        return F.when(
-            F.size(hashes) >= run,
-            F.transform(
-                F.sequence(F.lit(1), F.size(hashes) - (run - 1)), lambda i: window(hashes, i, run)
-            ),
-        )
 
-    def short_windows(hashes, words):
-        def of(size):
-            starts = F.when(
-                F.size(hashes) >= size, F.sequence(F.lit(1), F.size(hashes) - (size - 1))
-            ).otherwise(F.array().cast("array<int>"))
-            held = lambda i: sum(F.element_at(words, i + k) for k in range(size))
-            long = F.filter(starts, lambda i: held(i) >= short_words)
-            return F.transform(long, lambda i: window(hashes, i, size))
-
-        whole = F.when(
-            F.size(hashes).between(1, run - 1),
-            F.array(window(hashes, F.lit(1), F.size(hashes), whole=True)),
-        )
-        nothing = F.slice(F.array(window(hashes, F.lit(1), 1)), 1, 0)
-        parts = [F.coalesce(part, nothing) for part in (all_windows(hashes), whole)]
-        return F.concat(*parts, *[of(size) for size in range(1, run)])
+def fingerprints(
+    docs: DataFrame, run: int = RUN, short_words: int | None = None, around: bool = True
+) -> DataFrame:
+    """One row per selected line: ``mark`` (its hash), ``doc``, ``place`` (from 0).
+
+    With ``around``, also the hashes ``near`` it, the place ``begin`` of the first of them, the
+    ``size`` of the windows that selected it, and ``whole`` if that is all of a document.
+    """
+    lines = F.filter(_split(F.col("text")), lambda line: line.rlike(HAS_WORD))
+
+    def row(hashes, place, begin, end, size, whole):
+        columns = [F.get(hashes, place).alias("mark"), place.alias("place")]
+        if around:
+            near = F.slice(hashes, begin + 1, end - begin)
+            columns += [near.alias("near"), begin.alias("begin"), F.lit(size).alias("size"), whole.alias("whole")]
+        return F.struct(*columns)
+
+    def long_runs(hashes):
+        n = F.size(hashes)
+        starts = F.when(n >= run, F.sequence(F.lit(0), n - run)).otherwise(F.array().cast("array<int>"))
+        places = F.array_distinct(F.transform(starts, lambda i: _last_least(hashes, i, run)))
+
+        def wide(p):
+            return row(hashes, p, F.greatest(p - (run - 1), F.lit(0)), F.least(p + run, n), run, F.lit(False))
+
+        return F.transform(places, wide)
+
+    def short_runs(hashes, words, size):
+        """Windows of fewer lines with many words, and documents that have no more lines."""
+        n = F.size(hashes)
+        starts = F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
+        held = lambda i: reduce(Column.__add__, [F.get(words, i + k) for k in range(size)])
+        many = F.filter(starts, lambda i: held(i) >= short_words)
+        own = lambda i, whole: row(hashes, _last_least(hashes, i, size), i, i + size, size, F.lit(whole))
+        copies = F.filter(starts, lambda i: n == size)
+        return [F.transform(many, lambda i: own(i, False)), F.transform(copies, lambda i: own(i, True))]
 
-    hashed = F.transform(lines, lambda line: F.xxhash64(line))
     if short_words is None:
-        found = let(hashed, all_windows)
+        found = let(F.transform(lines, lambda line: F.xxhash64(line)), long_runs)
     else:
-        counted = F.transform(
-            lines, lambda line: F.struct(F.xxhash64(line).alias("hash"), F.regexp_count(line, F.lit(WORD)).alias("words"))
+        read = let(
+            lines,
+            lambda own: F.struct(
+                F.transform(own, lambda line: F.xxhash64(line)).alias("hashes"),
+                F.transform(own, _words).alias("words"),
+            ),
         )
         found = let(
-            let(counted, lambda c: F.struct(c["hash"].alias("hashes"), c["words"].alias("words"))),
-            lambda c: short_windows(c["hashes"], c["words"]),
+            read,
+            lambda r: F.concat(
+                long_runs(r["hashes"]),
+                *[part for size in range(1, run) for part in short_runs(r["hashes"], r["words"], size)],
+            ),
         )
     doc = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text")).alias("doc")
-    return docs.select(doc, F.explode(found).alias("w")).select("doc", "w.*")
+    return docs.select(doc, F.explode(found).alias("f")).select("doc", "f.*")
+
+
+def extended(places: DataFrame) -> DataFrame:
+    """Places extended to windows: document, first line (from 1), lines, key of the window."""
+    first = F.sequence(F.lit(0), F.size("near") - F.col("size"))
+
+    def window(i):
+        part = F.slice("near", i + 1, F.col("size"))
+        kind = F.when(F.col("whole"), "whole").otherwise("part")
+        return F.struct(
+            (F.col("begin") + i + 1).alias("line"),
+            (F.col("place") - F.col("begin") - i).alias("at"),
+            F.xxhash64(kind, part).alias("key"),
+            F.xxhash64(kind, "size", part).alias("key2"),
+            (F.col("size") - F.array_position(F.reverse(part), F.array_min(part))).alias("selected"),
+        )
+
+    made = places.select("doc", "size", F.explode(F.transform(first, window)).alias("w"))
+    return made.filter(F.col("w.selected") == F.col("w.at")).select("doc", "size", "w.line", "w.key", "w.key2")
 
 
 def repeated(docs: DataFrame, run: int = RUN, short_words: int | None = None) -> DataFrame:
     """Windows that have an earlier place: document, first line (from 1) and lines."""
-    every = windows(docs, run, short_words)
     place = F.struct("doc", "place")
     shared = (
-        every.groupBy("mark")
+        fingerprints(docs, run, short_words, around=False)
+        .groupBy("mark")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter(F.col("first") != F.col("last"))
         .select("mark")
     )
-    extended = inner_lookup(every, shared, "mark").select("key", "key2", "doc", "line", "size")
+    windows = extended(inner_lookup(fingerprints(docs, run, short_words), shared, "mark"))
     here = F.struct("doc", "line")
     firsts = (
-        extended.groupBy("key", "key2")
+        windows.groupBy("key", "key2")
         .agg(F.min(here).alias("first"), F.max(here).alias("last"))
         .filter(F.col("first") != F.col("last"))
         .select("key", F.col("key2").alias("first_key2"), "first")
     )
     # By one half of the key; rows that differ in the other half go.
     return (
-        inner_lookup(extended, firsts, "key")
+        inner_lookup(windows, firsts, "key")
         .filter((F.col("key2") == F.col("first_key2")) & (here > F.col("first")))
         .select("doc", "line", "size")
     )

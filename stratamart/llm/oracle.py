@@ -75,17 +75,25 @@ ORACLE = {
         ), every AS (
             SELECT doc_id, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM split
         ), worded AS (
-            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n,
+                   count(*) OVER (PARTITION BY doc_id) AS total,
+                   len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
             FROM every WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
-        ), windows AS (
-            SELECT doc_id, n, line || chr(10) || lead(line) OVER w || chr(10)
-                              || lead(line, 2) OVER w AS run
+        ), following AS (
+            SELECT *, line || chr(10) || lead(line) OVER w AS two, words + lead(words) OVER w AS two_words,
+                   line || chr(10) || lead(line) OVER w || chr(10) || lead(line, 2) OVER w AS three
             FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+        ), windows AS (
+            SELECT doc_id, n, 3 AS size, 'part' AS kind, three AS run FROM following WHERE three IS NOT NULL
+            UNION ALL SELECT doc_id, n, 2, 'part', two FROM following WHERE two_words >= 50
+            UNION ALL SELECT doc_id, n, 1, 'part', line FROM following WHERE words >= 50
+            UNION ALL SELECT doc_id, n, 2, 'whole', two FROM following WHERE total = 2 AND n = 1
+            UNION ALL SELECT doc_id, n, 1, 'whole', line FROM following WHERE total = 1
         ), later AS (
-            SELECT doc_id, n FROM windows WHERE run IS NOT NULL
-            QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, n) > 1
+            SELECT doc_id, n, size FROM windows
+            QUALIFY row_number() OVER (PARTITION BY kind, run ORDER BY doc_id, n) > 1
         ), gone AS (
-            SELECT DISTINCT doc_id, n + k AS n FROM later, (VALUES (0), (1), (2)) AS s(k)
+            SELECT DISTINCT doc_id, n + k AS n FROM later, (VALUES (0), (1), (2)) AS s(k) WHERE k < size
         ), marked AS (
             SELECT worded.doc_id, worded.pos, gone.n IS NOT NULL AS cut
             FROM worded LEFT JOIN gone ON gone.doc_id = worded.doc_id AND gone.n = worded.n

@@ -90,7 +90,7 @@ def op2_ngram_jaccard(spark, sf_dir):
 
 def op3_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = lines.deduplicate(docs, counts="lines")
+    cut = lines.deduplicate(docs, counts="lines", short_words=lines.SHORT_WORDS)
     return cut.select("doc_id", "text", "lines.n_lines", "lines.n_removed")
 
 

@@ -1,6 +1,10 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from stratamart.llm import lines
-from stratamart.llm.common import table
+from stratamart.llm.common import WORD, table
+from stratamart.llm.queries import op3_line_dedup
+from tests.conftest import TESTDATA
 from tests.llm.helpers import SMALL, clashing, documents, empty, odd_rows
 
 
@@ -114,3 +118,28 @@ def test_joins_split_a_passage_of_many_documents(spark):
     assert n == 19_999 + 2000 * 7
     final = plan.split("== Initial Plan ==")[0]
     assert "SortMergeJoin(skew=true) [mark" in final and "SortMergeJoin(skew=true) [key" in final
+
+
+def test_words_are_counted_whatever_stands_between(spark):
+    made = ["a b", " a b", "a b ", "a  b", "a\tb c", "a\x0bb", "a b\r", "é日　x y", "a", "  ", "a b c d"]
+    df = spark.createDataFrame([(t,) for t in made], "line string")
+    found = df.select(lines._words(F.col("line")).alias("n"), F.regexp_count("line", F.lit(WORD)).alias("exact"))
+    assert all(r.n == r.exact for r in found.collect())
+
+
+def test_no_long_line_stays_in_two_documents(spark):
+    left = op3_line_dedup(spark, f"{TESTDATA}/sf0.01")
+    line = F.explode(F.array_distinct(F.split("text", "\n"))).alias("line")
+    again = left.select("doc_id", line).groupBy("line").agg(F.count_distinct("doc_id").alias("docs"))
+    long = again.filter((F.col("docs") > 1) & (F.regexp_count("line", F.lit(WORD)) >= lines.SHORT_WORDS))
+    assert long.count() == 0
+
+
+def test_only_selected_lines_are_given(spark):
+    """A fingerprint is the least hash of a window; of a long text about half of the lines."""
+    text = "\n".join(f"line {i}" for i in range(3000))
+    docs = documents(spark, [(1, text)])
+    places = lines.fingerprints(docs, around=False).select("place").collect()
+    hashes = [r.h for r in docs.select(F.explode(F.split("text", "\n")).alias("x")).select(F.xxhash64("x").alias("h")).collect()]
+    wanted = {max(range(i, i + 3), key=lambda k: (-hashes[k], k)) for i in range(2998)}
+    assert {r.place for r in places} == wanted and len(places) == len(wanted) < 0.6 * 3000
