@@ -40,7 +40,7 @@ LEAST, LONGEST, TOP = 10, 3, 2000
 BITMAP_BITS = 26
 SHARD = 1 << 18
 PER_PASS = 4
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: States whose counts are summed together.
 STATES = 1 << 16
 #: Phrases whose text a task remembers to have given already; more are given again.
@@ -444,7 +444,8 @@ def counted(texts: DataFrame, tries: dict[int, DoubleArray], longest: int, total
     sent = texts.sparkSession.sparkContext.broadcast(tries)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {shard: np.zeros(len(trie.base), np.int64) for shard, trie in sent.value.items()}
+        # a task's texts hold fewer than 2**31 words
+        counts = {shard: np.zeros(len(trie.base), np.int32) for shard, trie in sent.value.items()}
         words: dict[str, int] = {}
         for chunk in chunks(batches):
             distinct, which = np.unique(chunk.words, return_inverse=True)
@@ -468,14 +469,15 @@ def counted(texts: DataFrame, tries: dict[int, DoubleArray], longest: int, total
                     at, states = at[on], states[on]
                     states, kept = trie.advance(states, codes[at + length])
                     at = at[kept]
-                counts[shard] += np.bincount(np.concatenate(accepted), minlength=len(trie.base))
+                found = np.bincount(np.concatenate(accepted), minlength=len(trie.base))
+                counts[shard] += found.astype(np.int32)
             for lang, n in zip(chunk.langs, np.bincount(chunk.lang, minlength=len(chunk.langs))):
                 words[lang] = words.get(lang, 0) + int(n)
         for shard, found in counts.items():
             states = np.flatnonzero(found)
             cuts = np.searchsorted(states, np.arange(0, len(found) + STATES, STATES)).tolist()
             some = [(i, states[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
-            yield rows([shard] * len(some), some, [None] * len(some), [found[s] for _, s in some])
+            yield rows([shard] * len(some), some, [None] * len(some), [found[s].astype(np.int64) for _, s in some])
         if totals:
             none = np.zeros(1, np.int64)
             yield rows([-1] * len(words), [(0, none)] * len(words), list(words), np.array([*words.values()], np.int64))
