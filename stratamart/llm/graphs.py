@@ -5,7 +5,6 @@ from itertools import count
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.llm.common import Steps
-from stratamart.operators.joins import inner_lookup
 from stratamart.sources.layers import scratch_directory
 
 
@@ -26,8 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hangs the larger neighbours of every node, then its smaller ones, below its
     least neighbour, until every node hangs directly below the least of its component.
     The number of rounds grows with the logarithm of the longest path. A node with very many
-    neighbours costs one row per neighbour; minima are combined on the map side and looked up
-    in joins that split a hot node. A round's table is removed when the next one is written.
+    neighbours costs one row per neighbour; minima are combined on the map side. A round's
+    table is removed when the next one is written.
     """
     steps = Steps(edges.sparkSession)
     both = edges.select("a", "b").filter("a <> b")
@@ -36,13 +35,13 @@ def components(edges: DataFrame) -> DataFrame:
     for number in count(1):
         around = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = (
-            inner_lookup(around, _least(around), "a")
+            around.join(_least(around), "a")
             .filter(F.col("b") > F.col("a"))
             .select(F.col("b").alias("a"), F.col("least").alias("b"))
             .distinct()
         )
         below = _least(large)
-        small = inner_lookup(large, below, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        small = large.join(below, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         small = small.unionByName(below.select("a", F.col("least").alias("b")))
         current = steps.store(str(number), small.filter("a <> b").distinct())
         steps.drop(str(number - 1))

@@ -137,4 +137,128 @@ ORACLE = {
         LEFT JOIN reach ON reach.a = d.doc_id
         GROUP BY d.doc_id
     """,
+    "op11_merkle_manifest": r"""
+        WITH RECURSIVE crc_table AS (
+            SELECT range AS i, 0 AS k, range AS c FROM range(256)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+            FROM crc_table WHERE k < 8
+        ), crc AS (
+            SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s, 0 AS done, 4294967295 AS c
+            FROM documents WHERE doc_id IS NOT NULL
+            UNION ALL
+            SELECT s, done + 1, xor(crc_table.c, crc.c >> 8)
+            FROM crc JOIN crc_table
+              ON k = 8 AND i = xor(crc.c, CAST(ascii(substr(s, done + 1, 1)) AS BIGINT)) & 255
+            WHERE done < length(s)
+        ), fields AS (
+            SELECT row_number() OVER () AS rid, doc_id, lang, text, source,
+                   CAST(n_chars AS VARCHAR) AS told,
+                   CAST(CASE WHEN xor(c, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS VARCHAR) AS claim
+            FROM documents LEFT JOIN crc ON s = CAST(doc_id AS VARCHAR) AND done = length(s)
+        ), written AS (
+            SELECT rid, doc_id, lang,
+                   coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                   coalesce(strlen(told) || ':' || told, '-') AS told,
+                   coalesce(strlen(claim) || ':' || claim, '-') AS claim,
+                   coalesce(strlen(text) || ':' || text, '-') AS tail
+            FROM fields
+        ), leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS pos,
+                   count(*) OVER (PARTITION BY t) AS n
+            FROM (SELECT rid, doc_id, dense_rank() OVER (ORDER BY coalesce('=' || lang, '-')) - 1 AS t,
+                         sha256(head || told || tail) AS leaf, sha256(head || claim || tail) AS claimed
+                  FROM written)
+        ), nodes AS (
+            SELECT t, 0 AS level, pos, n, leaf AS digest FROM leaves
+            UNION ALL
+            SELECT t, level + 1, pos // 2, (n + 1) // 2, sha256(digest || coalesce(beside, ''))
+            FROM (SELECT *, lead(digest) OVER (PARTITION BY t ORDER BY pos) AS beside FROM nodes WHERE n > 1)
+            WHERE pos % 2 = 0
+        ), subroots AS (
+            SELECT t, max(level) AS height, max_by(digest, level) AS subroot FROM nodes WHERE n = 1 GROUP BY t
+        ), tops AS (
+            SELECT 0 AS level, t AS pos, (SELECT count(*) FROM subroots) AS n, subroot AS digest FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 2, (n + 1) // 2, sha256(digest || coalesce(beside, ''))
+            FROM (SELECT *, lead(digest) OVER (ORDER BY pos) AS beside FROM tops WHERE n > 1)
+            WHERE pos % 2 = 0
+        ), every AS (
+            SELECT t, level, pos, n, digest FROM nodes WHERE n > 1
+            UNION ALL
+            SELECT -1, level, pos, n, digest FROM tops WHERE n > 1
+        ), ways AS (
+            SELECT rid, t AS tree, pos >> level AS own, level, level AS step
+            FROM leaves, range(64) AS levels(level)
+            WHERE level < (SELECT max(height) FROM subroots)
+            UNION ALL
+            SELECT rid, -1, t >> level, level, 1000 + level FROM leaves, range(64) AS levels(level)
+        ), steps AS (
+            SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY step) AS step, own % 2 AS on_right,
+                   coalesce(beside.digest, '') AS sibling
+            FROM ways JOIN every AS here ON here.t = tree AND here.level = ways.level AND here.pos = own
+            LEFT JOIN every AS beside
+              ON beside.t = tree AND beside.level = ways.level AND beside.pos = xor(own, 1)
+        ), proofs AS (
+            SELECT rid, sha256(string_agg(sibling, '' ORDER BY step)) AS proof_sha256, count(*) AS last
+            FROM steps GROUP BY rid
+        ), folds AS (
+            SELECT rid, 0 AS step, claimed AS digest FROM leaves
+            UNION ALL
+            SELECT folds.rid, folds.step + 1,
+                   sha256(CASE WHEN on_right = 1 THEN sibling || digest ELSE digest || sibling END)
+            FROM folds JOIN steps ON steps.rid = folds.rid AND steps.step = folds.step + 1
+        )
+        SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+               digest AS folded_root, digest = root AS verified
+        FROM leaves JOIN subroots ON subroots.t = leaves.t
+        LEFT JOIN proofs ON proofs.rid = leaves.rid
+        JOIN folds ON folds.rid = leaves.rid AND folds.step = coalesce(last, 0)
+        CROSS JOIN (SELECT digest AS root FROM tops WHERE n = 1)
+    """,
+    "op13_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), split AS (
+            SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), words AS (
+            SELECT p, lang, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split
+        ), following AS (
+            SELECT lang, word, word || ' ' || lead(word) OVER o AS two,
+                   word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS three
+            FROM words WINDOW o AS (PARTITION BY p ORDER BY i)
+        ), grams AS (
+            SELECT lang, 1 AS size, word AS phrase FROM following
+            UNION ALL SELECT lang, 2, two FROM following WHERE two IS NOT NULL
+            UNION ALL SELECT lang, 3, three FROM following WHERE three IS NOT NULL
+        ), frequent AS (
+            SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10
+        ), candidates AS (
+            SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM frequent WHERE size > 1
+        ), cuts AS (
+            SELECT c.lang, c.phrase, a, k, heads.f AS l, rests.f AS r,
+                   (CAST(1000000 AS HUGEINT) * a * a) // (CAST(heads.f AS HUGEINT) * rests.f) AS score
+            FROM candidates c JOIN (VALUES (1), (2)) AS places(k) ON k < size
+            JOIN frequent heads ON heads.lang = c.lang AND heads.phrase = array_to_string(w[1 : k], ' ')
+            JOIN frequent rests ON rests.lang = c.lang AND rests.phrase = array_to_string(w[k + 1 :], ' ')
+        ), scored AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), longer AS (
+            SELECT lang, array_to_string(w[i : i + 1], ' ') AS phrase, max(a) AS f
+            FROM candidates, (VALUES (1), (2)) AS places(i) WHERE size = 3 GROUP BY ALL
+        ), ranked AS (
+            SELECT scored.*, row_number() OVER (PARTITION BY scored.lang ORDER BY score DESC, a DESC, scored.phrase) AS rank
+            FROM scored LEFT JOIN longer ON longer.lang = scored.lang AND longer.phrase = scored.phrase
+            WHERE longer.f IS NULL OR 100 * longer.f < 50 * a
+        ), totals AS (
+            SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang
+        )
+        SELECT ranked.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+        FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+    """,
 }
