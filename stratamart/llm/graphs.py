@@ -19,6 +19,14 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
 
 
+def _hangs_directly(edges: DataFrame) -> bool:
+    """Whether every ``a`` has one ``b``, below which nothing hangs that has a ``b`` itself."""
+    up = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    down = edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    ends = up.unionByName(down).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.filter("up > 1 OR up + down > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the smallest node reachable) for every node of ``a, b`` edges.
 
@@ -31,8 +39,9 @@ def components(edges: DataFrame) -> DataFrame:
     steps = Steps(edges.sparkSession)
     both = edges.select("a", "b").filter("a <> b")
     current = steps.store("0", both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
     for number in count(1):
+        if _hangs_directly(current):
+            break
         around = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = (
             around.join(_least(around), "a")
@@ -45,9 +54,5 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.unionByName(below.select("a", F.col("least").alias("b")))
         current = steps.store(str(number), small.filter("a <> b").distinct())
         steps.drop(str(number - 1))
-        found = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if found == mark:
-            break
-        mark = found
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
