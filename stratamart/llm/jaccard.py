@@ -216,7 +216,7 @@ def _groups(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Who meets in an element: small groups as arrays by size of set, large ones as rows.
 
     Members of small groups carry ``at``, the place of the element in their order; equal
-    groups are one, with the least place of each member. Large ones are ``grp, id, n``; of
+    groups are one, without places. Large ones are ``grp, id, n``; of
     equal large groups one is given.
     """
     rows = scanned.select(F.posexplode("prefix").alias("at", "element"), "n", F.col("node").alias("id"))
@@ -245,17 +245,16 @@ def _groups(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _once(groups: DataFrame) -> DataFrame:
-    """Groups with the same members as one. A class has as many such groups as its prefix has
-    elements, at most."""
+    """Groups with the same members as one; its places are then unknown and count as first."""
     apart = groups.select(
         F.transform("members", lambda m: F.struct(m["n"], m["id"])).alias("who"),
         F.transform("members", lambda m: m["at"]).alias("places"),
     )
-    merged = apart.groupBy("who").agg(F.collect_list("places").alias("places"))
+    merged = apart.groupBy("who").agg(F.count(F.lit(1)).alias("groups"), F.first("places").alias("places"))
 
     def member(one, i):
-        least = F.array_min(F.transform("places", lambda places: places[i]))
-        return F.struct(one["n"].alias("n"), one["id"].alias("id"), least.alias("at"))
+        at = F.when(F.col("groups") == 1, F.get("places", i)).otherwise(0)
+        return F.struct(one["n"].alias("n"), one["id"].alias("id"), at.alias("at"))
 
     return merged.select(F.transform("who", member).alias("members"))
 
