@@ -1,12 +1,13 @@
 """CSV: line ends and quotes inside fields, leading zeros, manifest ingest, split reading."""
 
+import re
 import uuid
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from stratamart.sources import csv
+from stratamart.sources import csv, csv_split
 from stratamart.sources.csv import ingest, read_csv, write_csv
 from stratamart.sources.csv_types import inferred, typed
 from stratamart.sources.tpch import table
@@ -269,3 +270,29 @@ def test_ingest_infers_in_splits(spark, tmp_path):
     own = {c: t for c, t in bronze["order_items"].dtypes if c in SOURCES["order_items"].types}
     assert set(own.values()) == {"int"}
     assert {MALFORMED, SOURCE_FILE, INGESTED_AT} <= set(bronze["orders"].columns)
+
+
+def test_no_text_is_shuffled_by_split(spark, tmp_path, split_size):
+    """Only the pieces at the edges of splits are, and nothing of first lines is sorted."""
+    (tmp_path / "f.csv").write_text("id,note\n" + "".join(f'{i},"a\n""{i}"""\n{i},plain\n' for i in range(2000)))
+    split_size("8KB")
+    rows = read_csv(spark, str(tmp_path), split_files=True)
+    assert rows.count() == 4000
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and not re.search(r"Exchange hashpartitioning\([^)]*_split", plan)
+    lines = csv_split.lines_of(spark, str(tmp_path))
+    edges = csv_split._edges(lines, csv_split._split_states(csv_split._composed(lines)))
+    splits = lines.select("_split").distinct().count()
+    assert splits > 5 and edges.count() <= 2 * splits
+
+
+def test_splits_cut_in_another_way_raise(spark, tmp_path, split_size):
+    (tmp_path / "f.csv").write_text("id,note\n" + "".join(f'{i},"a\nb"\n' for i in range(200)))
+    split_size("256B")
+    states = csv_split._split_states(csv_split._composed(csv_split.lines_of(spark, str(tmp_path))))
+    kept = spark.createDataFrame(states.collect(), states.schema)
+    split_size("512B")
+    lines = csv_split.lines_of(spark, str(tmp_path))
+    for read in (csv_split._inside, csv_split._edges):
+        with pytest.raises(Exception, match="other splits"):
+            read(lines, kept).collect()
