@@ -10,7 +10,7 @@ from urllib.parse import unquote, urlparse
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratamart.sources.csv_split import leaves_quote_open, read_split_csv
+from stratamart.sources.csv_split import leaves_quote_open, lines_of, read_split_csv, runs
 from stratamart.sources.csv_types import typed
 from stratamart.specs import INGESTED_AT, MALFORMED, SOURCE_FILE, SOURCES, SourceSpec
 
@@ -96,20 +96,18 @@ def _by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ..
 def _by_first_line(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
     """Files that share their first line, or one by itself if that line leaves a quote open.
 
-    Tasks send one line per file; only lines at the begin of a file's first split are looked at.
+    Tasks send one line per file, found as they read its first split: nothing is sorted.
     """
-    line = F.regexp_replace("value", r"\r\z", "")
-    lines = (
-        spark.read.option("lineSep", "\n").text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("begin"),
-            F.monotonically_increasing_id().alias("at"),
-            line.alias("line"),
-        )
-        .filter((F.col("begin") == 0) & (F.col("line") != ""))
-    )
-    first = lines.groupBy("file").agg(F.min_by("line", "at").alias("line"))
+
+    def firsts(batches):
+        for _, run, is_first in runs(batches):
+            if is_first:
+                yield run.slice(0, 1).select([SOURCE_FILE, "line"])
+
+    line = F.regexp_replace("text", r"\r\z", "").alias("line")
+    begun = lines_of(spark, path).filter("_split = 0").select(SOURCE_FILE, "_split", "_length", line)
+    first = begun.filter("line <> ''").mapInArrow(firsts, f"{SOURCE_FILE} string, line string")
+    first = first.withColumnRenamed(SOURCE_FILE, "file")
     alone = F.when(leaves_quote_open(F.col("line")), F.col("file"))
     grouped = first.groupBy("line", alone.alias("alone")).agg(F.sort_array(F.collect_list("file")).alias("files"))
     return [[unquote(f) for f in r.files] for r in grouped.select("files").collect()]
