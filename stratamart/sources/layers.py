@@ -165,6 +165,7 @@ class Layer:
         """Replace a table and its schema; return the number of rows written.
 
         With a ``version`` the rows are written under that name and wait for ``commit``.
+        Parquet is compressed by zstd unless the layer's options say otherwise.
 
         ``stamp`` names a column that receives the load time. Rows are counted by the write
         itself, in its last stage, where a retried task is counted once. ``partition_by``
@@ -184,7 +185,8 @@ class Layer:
             df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         counted = Observation(f"{table}-{uuid.uuid4()}")
         df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        writer = df.write.format(self.fmt).mode("overwrite").options(**self.options)
+        packed = {"compression": "zstd"} if self.fmt == "parquet" else {}
+        writer = df.write.format(self.fmt).mode("overwrite").options(**{**packed, **self.options})
         if self.fmt == "delta":
             writer = writer.option("overwriteSchema", "true")
         if partition_by:
