@@ -342,3 +342,13 @@ def test_bucketed_facts_meet_without_a_shuffle(spark, finished):
         spark.sql("DROP SCHEMA bucketed_gold CASCADE")
     with pytest.raises(ValueError, match="catalog"):
         lake.gold.write(gold["dim_seller"], "x", buckets=(2, ["seller_id"]))
+
+
+def test_parquet_layers_are_compressed_by_zstd(spark, tmp_path):
+    def endings(layer):
+        layer.write(spark.range(3), "t")
+        return {f.name.split(".", 1)[1] for f in (tmp_path / layer.location.rsplit("/", 1)[-1]).rglob("part-*.parquet")}
+
+    plain, own = Layer(f"{tmp_path}/plain"), Layer(f"{tmp_path}/own", options={"compression": "snappy"})
+    assert endings(plain) == {"zstd.parquet"} and endings(own) == {"snappy.parquet"}
+    assert plain.read(spark, "t").count() == 3
