@@ -37,7 +37,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from stratamart.llm.common import partitions_for
 from stratamart.llm.graphs import stored
@@ -369,11 +369,12 @@ def _laid_out(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, threshold: int = THRESHOLD, once: bool = False
+    docs: DataFrame, threshold: int = THRESHOLD, once: bool = False, as_text: bool = False
 ) -> DataFrame:
     """Per row: id, digest of the text, lengths, number of spans, and the remaining bytes.
 
-    With ``once``, rows of one id and one text give one row.
+    With ``once``, rows of one id and one text give one row. With ``as_text``, what remains is a
+    string; a code point goes as soon as a byte does.
     """
     spark = docs.sparkSession
     digest = F.xxhash64("text").alias("digest")
@@ -399,15 +400,18 @@ def remove_repeats(
 
     def finish(key, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         made = _removed(rows, known, threshold)
+        if as_text:
+            made["kept"] = [kept.decode("utf-8", "ignore") for kept in made["kept"]]
         # All rows of one id are in one part, a null id's are not laid out.
         return made.drop_duplicates(["doc_id", "digest"]) if once else made
 
-    return by_part(finish, REMOVED).unionByName(_unnamed(rows, once))
+    schema = REMOVED.replace("kept binary", "kept string") if as_text else REMOVED
+    return by_part(finish, schema).unionByName(_unnamed(rows, once, as_text))
 
 
-def _unnamed(rows: DataFrame, once: bool) -> DataFrame:
+def _unnamed(rows: DataFrame, once: bool, as_text: bool) -> DataFrame:
     """Rows without an id take no part: however many they are, they are not brought together."""
-    text = F.coalesce("text", F.lit("")).cast("binary")
+    text = F.coalesce("text", F.lit("")).cast("string" if as_text else "binary")
     none = F.lit(0).cast("long")
     kept = rows.filter(F.col("doc_id").isNull()).select(
         "doc_id",
@@ -423,18 +427,15 @@ def _unnamed(rows: DataFrame, once: bool) -> DataFrame:
 def deduplicate(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The documents with what remains as their text; a code point goes as soon as a byte does.
 
-    Null texts stay null.
+    Null texts stay null. The parts give strings: a Python function of the joined rows would run
+    once for the text and once for each filter on it, with a further worker for each.
     """
-    removed = remove_repeats(docs, threshold, once=True).select(F.struct("doc_id", "digest", "kept").alias("r"))
+    removed = remove_repeats(docs, threshold, once=True, as_text=True)
+    removed = removed.select(F.struct("doc_id", "digest", "kept").alias("r"))
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
     same = F.col("row.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("key") == F.col("r.digest"))
-    text = F.when(F.col("row.text").isNotNull(), _whole_points(F.col("r.kept")))
+    text = F.when(F.col("row.text").isNotNull(), F.col("r.kept"))
     columns = [
         text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns
     ]
     return rows.join(removed, same).select(*columns)
-
-
-@F.pandas_udf(T.StringType())
-def _whole_points(kept: pd.Series) -> pd.Series:
-    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore") if b is not None else "")

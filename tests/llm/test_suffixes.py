@@ -97,3 +97,15 @@ def test_rows_without_an_id_are_not_brought_together(spark):
     assert sorted((r.doc_id is None, r.n_removed) for r in out) == [(False, 0)] + [(False, size)] * 199 + [(True, 0)] * 100
     kept = suffixes.deduplicate(documents(spark, rows)).collect()
     assert sum(r.text == long for r in kept) == 101 and len(kept) == 300
+
+
+def test_texts_come_from_the_parts(spark):
+    """No Python function of the joined rows: with a filter on the text it took two more workers a task."""
+    head = "w" * 49
+    rows = [(1, head + "é"), (2, head + "ã tail"), (None, head + "é"), (None, None), (3, None), (3, "")]
+    cut = suffixes.deduplicate(documents(spark, rows))
+    plan = cut.filter(cut["text"].rlike(r"\S"))._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and "EvalPython" not in plan
+    # Documents 1 and 2 share the first byte of é and ã.
+    expected = [(None, head + "é"), (None, None), (1, head + "é"), (2, " tail"), (3, None), (3, "")]
+    assert sorted(((r.doc_id, r.text) for r in cut.collect()), key=repr) == sorted(expected, key=repr)
