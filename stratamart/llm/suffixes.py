@@ -381,7 +381,9 @@ def remove_repeats(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest, "text")
     laid = _laid_out(rows.filter(F.col("doc_id").isNotNull()))
     buckets = 2 * partitions_for(spark)
-    answers = spark.createDataFrame([], ANSWER)
+    # Not createDataFrame: its rows come from Python workers of their own, even if there are none.
+    columns = [column.split() for column in ANSWER.split(", ")]
+    answers = spark.range(0).select(*(F.lit(None).cast(kind).alias(name) for name, kind in columns))
 
     def by_part(function, schema):
         grouped = laid.groupBy("part").cogroup(answers.groupBy("part"))

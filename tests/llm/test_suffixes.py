@@ -109,3 +109,12 @@ def test_texts_come_from_the_parts(spark):
     # Documents 1 and 2 share the first byte of é and ã.
     expected = [(None, head + "é"), (None, None), (1, head + "é"), (2, " tail"), (3, None), (3, "")]
     assert sorted(((r.doc_id, r.text) for r in cut.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_answers_need_no_rows_from_python(spark):
+    """Only the documents are made here from Python's rows, and they are stored before the rounds."""
+    docs = documents(spark, [(1, "text"), (None, "text")]).filter("doc_id IS NOT NULL")
+    rounds = suffixes.remove_repeats(docs)._jdf.queryExecution().executedPlan().toString()
+    docs_scans = docs._jdf.queryExecution().executedPlan().toString().count("ExistingRDD")
+    # The rows without an id read the documents once more.
+    assert rounds.count("ExistingRDD") == docs_scans
