@@ -6,16 +6,19 @@ Everything is per language. ``mine`` works in passes over the texts:
    count wanted, packed in arrays by range of hashes; their sum says whether a phrase may be frequent, not how often it occurs. A
    phrase is only tried if all its parts may be frequent (Apriori), which tasks look up in a
    bitmap of ``2 ** BITMAP_BITS`` bits. Bits and hashes that coincide only let more through.
-2. *Texts* of what may be frequent: the candidates.
-3. *Counts*: candidates are dealt to shards of about ``SHARD`` phrases. A task of its own
-   builds each shard's double array; ``PER_PASS`` of them are broadcast at a time, whatever
-   the size of the corpus. numpy moves the states of all text positions on together, digit by
-   digit, and bincounts the states that accept a candidate. Spark sums the tasks' counts.
+2. *Counts*, in one pass more: a task gives the texts of the phrases that may be frequent, each
+   once with its count. They are dealt to shards by their keys, and so are the keys that have
+   support; phrases without support go there.
+3. A task per shard builds the double array of its candidates, about ``SHARD`` at most. numpy
+   moves the states of all phrases given on together, digit by digit, and sums their counts by
+   the state that accepts them.
 
-The number of counting passes grows with the candidates, ``1 / (SHARD * PER_PASS)`` each.
+The texts are read ``longest + 1`` times, whatever the number of candidates, and no task holds
+more than its shard of them.
 
 A word is a 64-bit hash in tasks. Two words of one shard with equal hashes raise; that another
 word of the corpus has the hash of a given shard's word has a chance of shard size / 2**64.
+Phrases with equal keys are told apart by their words.
 
 Counts, scores and ranks are exact.
 
@@ -32,6 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stratamart.llm.common import Steps, partitions_for
@@ -39,12 +43,9 @@ from stratamart.llm.common import Steps, partitions_for
 LEAST, LONGEST, TOP = 10, 3, 2000
 BITMAP_BITS = 26
 SHARD = 1 << 18
-PER_PASS = 4
 CHUNK_BYTES = 4 << 20
-#: States whose counts are summed together.
-STATES = 1 << 16
-#: Phrases whose text a task remembers to have given already; more are given again.
-REMEMBERED = 4_000_000
+#: Bytes of phrases that a task holds to sum their counts before it gives them.
+HELD_BYTES = 32 << 20
 #: Words of more bytes are hashed one by one.
 LONG_WORD = 64
 
@@ -229,27 +230,65 @@ def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
     return words.view(np.uint8)
 
 
-def named(texts: DataFrame, bitmaps, longest: int) -> DataFrame:
-    """``lang, phrase, key`` of what may be frequent, once or more."""
+def distinct(chunk: Chunk, at: np.ndarray, keys: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different phrase of those that start at words, and how many are equal to it."""
+    _, first, which, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    for step in range(length):
+        words = chunk.words[at + step]
+        if (words != words[first][which]).any():  # different phrases have one key
+            rows = chunk.words[at[:, None] + np.arange(length)]
+            _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
+            break
+    return first, n
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = np.zeros(0, np.uint64)
-        for chunk in chunks(batches):
-            for length in range(1, longest + 1):
-                at, keys = possible(chunk, length, [b.value for b in bitmaps])
-                ok = has(bitmaps[length - 1].value, keys)
-                keys, first = np.unique(keys[ok], return_index=True)
-                at = at[ok][first]
-                fresh = ~np.isin(keys, given, assume_unique=True)
-                keys, at = keys[fresh], at[fresh]
-                if len(given) < REMEMBERED:
-                    given = np.concatenate([given, keys])
-                langs = pa.array(chunk.langs, pa.string()).take(pa.array(chunk.lang[at]))
-                yield pa.RecordBatch.from_arrays(
-                    [langs, chunk.texts(at, length), pa.array(keys.view(np.int64))], ["lang", "phrase", "key"]
-                )
-
-    return texts.mapInArrow(task, "lang string, phrase string, key long")
+
+def found_in(chunk: Chunk, bitmaps: list[np.ndarray]) -> pa.Table:
+    """``key, n, lang, phrase`` of what may be frequent, phrases of every length."""
+    parts = []
+    for length, bits in enumerate(bitmaps, 1):
+        at, keys = possible(chunk, length, bitmaps)
+        ok = has(bits, keys)
+        at, keys = at[ok], keys[ok]
+        first, n = distinct(chunk, at, keys, length)
+        langs = pa.array(chunk.langs, pa.string()).take(pa.array(chunk.lang[at[first]]))
+        columns = [pa.array(keys[first]), pa.array(n.astype(np.int64)), langs, chunk.texts(at[first], length)]
+        parts.append(pa.Table.from_arrays(columns, ["key", "n", "lang", "phrase"]))
+    return pa.concat_tables(parts)
+
+
+def merged(parts: list[pa.Table]) -> pa.Table:
+    """Equal phrases of some tables as one row with the sum of their counts."""
+    every = pa.concat_tables(parts).combine_chunks()
+    keys, first, which = np.unique(every["key"].to_numpy(), return_index=True, return_inverse=True)
+    one = every.take(pa.array(first))
+    if not one.select(["lang", "phrase"]).take(pa.array(which)).equals(every.select(["lang", "phrase"])):
+        return every  # different phrases have one key; their shard tells them apart
+    n = np.zeros(len(keys), np.int64)
+    np.add.at(n, which, every["n"].to_numpy())
+    return one.set_column(1, "n", pa.array(n))
+
+
+GIVEN = "shard int, lang string, phrases string, counts binary"
+
+
+def given(shards, langs, phrases, counts) -> pa.RecordBatch:
+    columns = [pa.array(shards, pa.int32()), pa.array(langs, pa.string()), phrases, pa.array(counts, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["shard", "lang", "phrases", "counts"])
+
+
+def dealt(found: pa.Table, shards: int) -> pa.RecordBatch:
+    """A row per shard and language: phrases in lines, and their counts."""
+    shard = found["key"].to_numpy().view(np.int64) % shards
+    lang = found["lang"].combine_chunks().dictionary_encode()
+    codes = lang.indices.to_numpy()
+    order = np.lexsort((codes, shard))
+    shard, codes = shard[order], codes[order]
+    starts = np.flatnonzero(np.append(True, (shard[1:] != shard[:-1]) | (codes[1:] != codes[:-1]))[: len(order)])
+    cuts = np.append(starts, len(order))
+    lines = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), found["phrase"].combine_chunks().take(pa.array(order)))
+    n = found["n"].to_numpy()[order].astype(np.uint32)  # a task's texts hold fewer than 2**32 words
+    counts = [n[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+    return given(shard[starts], lang.dictionary.take(pa.array(codes[starts])), pc.binary_join(lines, "\n"), counts)
 
 
 # --- the double array ---------------------------------------------------------------------
@@ -420,97 +459,90 @@ def trie_of(phrases: pd.DataFrame, longest: int) -> tuple[DoubleArray, np.ndarra
     return DoubleArray.build(codes, keys[order])
 
 
-def shards_of(candidates: DataFrame, shards: int, longest: int) -> DataFrame:
-    """A row per candidate with its state, and one with the trie, of every shard."""
-
-    def build(phrases: pd.DataFrame) -> pd.DataFrame:
-        phrases = phrases.sort_values(["lang", "phrase"], ignore_index=True)
-        trie, states = trie_of(phrases, longest)
-        phrases["state"], phrases["trie"] = states, None
-        whole = pd.DataFrame({"shard": phrases["shard"][:1], "lang": None, "phrase": None, "state": -1, "trie": [trie.to_bytes()]})
-        return pd.concat([whole, phrases], ignore_index=True)
-
-    dealt = candidates.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInPandas(
-        build, "shard int, lang string, phrase string, state long, trie array<binary>"
-    )
-
-
-def counted(texts: DataFrame, tries: dict[int, DoubleArray], longest: int, totals: bool) -> DataFrame:
-    """``shard, state, lang, n``: how often candidates occur; with ``totals`` words per language.
-
-    A task gives the counts that are not zero, as arrays by range of states.
-    """
-    sent = texts.sparkSession.sparkContext.broadcast(tries)
+def accepted(trie: DoubleArray, chunk: Chunk, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The states that accept phrases given by their first words and lengths, or -1."""
+    codes = trie.code(chunk.words)
+    states, rows = np.zeros(len(at), np.int32), np.arange(len(at))
+    for step in range(int(lengths.max(initial=0))):
+        rows = rows[lengths[rows] > step]
+        known = rows[codes[at[rows] + step] >= 0]
+        after, kept = trie.advance(states[known], codes[at[known] + step])
+        states[rows] = -1
+        rows = known[kept]
+        states[rows] = after
+    return np.where((states >= 0) & trie.accepts[states], states, -1)
+
+
+def frequencies(lines: list[str], langs: list[str], counts: np.ndarray, heavy: np.ndarray, longest: int) -> pa.Table:
+    """``lang, phrase, f`` of the phrases of a shard, given in lines, whose keys have support."""
+    chunk = Chunk(lines, langs)
+    at = np.flatnonzero(~np.append(False, chunk.joined[:-1])[: len(chunk.words)])
+    lengths = np.diff(np.append(at, len(chunk.words)))
+    keys = chunk.words[at]
+    for step in range(1, longest):
+        more = lengths > step
+        keys[more] = followed(keys[more], chunk.words[at[more] + step])
+    ok = np.isin(keys, heavy)
+    at, lengths, keys, counts = at[ok], lengths[ok], keys[ok], counts[ok]
+
+    def texts(rows: np.ndarray) -> pa.Table:
+        order, parts = np.argsort(lengths[rows], kind="stable"), []
+        cuts = np.searchsorted(lengths[rows][order], np.arange(1, longest + 2))
+        for length, (a, b) in enumerate(zip(cuts, cuts[1:]), 1):
+            places = at[rows[order[a:b]]]
+            names = pa.array(chunk.langs, pa.string()).take(pa.array(chunk.lang[places]))
+            parts.append(pa.Table.from_arrays([names, chunk.texts(places, length)], ["lang", "phrase"]))
+        return pa.concat_tables(parts).combine_chunks().take(pa.array(np.argsort(order)))
+
+    first = np.unique(keys, return_index=True)[1]
+    states = np.zeros(0, np.int32)
+    if len(first):
+        trie, _ = trie_of(texts(first).to_pandas(), longest)
+        states = accepted(trie, chunk, at, lengths)
+        if (states < 0).any():  # different phrases have one key
+            first = np.append(first, np.flatnonzero(states < 0))
+            trie, _ = trie_of(texts(first).to_pandas(), longest)
+            states = accepted(trie, chunk, at, lengths)
+    _, first, which = np.unique(states, return_index=True, return_inverse=True)
+    f = np.zeros(len(first), np.int64)
+    np.add.at(f, which, counts)
+    return texts(first).append_column("f", pa.array(f))
+
+
+def counted(texts: DataFrame, bitmaps, heavy: DataFrame, shards: int) -> DataFrame:
+    """``lang, phrase, f``: how often phrases with heavy keys occur; without a phrase, words per language."""
+    longest = len(bitmaps)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a task's texts hold fewer than 2**31 words
-        counts = {shard: np.zeros(len(trie.base), np.int32) for shard, trie in sent.value.items()}
         words: dict[str, int] = {}
+        held: list[pa.Table] = []
         for chunk in chunks(batches):
-            distinct, which = np.unique(chunk.words, return_inverse=True)
-            for shard, trie in sent.value.items():
-                codes = trie.code(distinct)
-                # the first word's states are the same wherever the word stands
-                known = np.flatnonzero(codes >= 0)
-                states, kept = trie.advance(np.zeros(len(known), np.int32), codes[known])
-                first = np.full(len(distinct), -1, np.int32)
-                first[known[kept]] = states
-                states, codes = first[which], codes[which]
-                at = np.flatnonzero(states >= 0)
-                states = states[at]
-                accepted = []
-                for length in range(1, longest + 1):
-                    accepted.append(states[trie.accepts[states]])
-                    if length == longest:
-                        break
-                    on = chunk.joined[at + length - 1]
-                    on[on] = codes[at[on] + length] >= 0
-                    at, states = at[on], states[on]
-                    states, kept = trie.advance(states, codes[at + length])
-                    at = at[kept]
-                found = np.bincount(np.concatenate(accepted), minlength=len(trie.base))
-                counts[shard] += found.astype(np.int32)
             for lang, n in zip(chunk.langs, np.bincount(chunk.lang, minlength=len(chunk.langs))):
                 words[lang] = words.get(lang, 0) + int(n)
-        for shard, found in counts.items():
-            states = np.flatnonzero(found)
-            cuts = np.searchsorted(states, np.arange(0, len(found) + STATES, STATES)).tolist()
-            some = [(i, states[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
-            yield rows([shard] * len(some), some, [None] * len(some), [found[s].astype(np.int64) for _, s in some])
-        if totals:
-            none = np.zeros(1, np.int64)
-            yield rows([-1] * len(words), [(0, none)] * len(words), list(words), np.array([*words.values()], np.int64))
-
-    def rows(shards, states, langs, counts) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict(
-            {
-                "shard": pa.array(shards, pa.int32()),
-                "range": pa.array([i for i, _ in states], pa.int32()),
-                "lang": pa.array(langs, pa.string()),
-                "states": pa.array([s.astype(np.uint32).tobytes() for _, s in states], pa.binary()),
-                "counts": pa.array([c.tobytes() for c in counts], pa.binary()),
-            }
-        )
-
-    def summed(part: pa.Table) -> pa.Table:
-        states = np.frombuffer(b"".join(part["states"].to_pylist()), np.uint32)
-        counts = np.frombuffer(b"".join(part["counts"].to_pylist()), np.int64)
-        states, which = np.unique(states, return_inverse=True)
-        n = np.zeros(len(states), np.int64)
-        np.add.at(n, which, counts)
-        shard, lang = part["shard"][0].as_py(), part["lang"][0].as_py()
-        return pa.table(
-            {
-                "shard": pa.array([shard] * len(n), pa.int32()),
-                "state": pa.array(states.astype(np.int64)),
-                "lang": pa.array([lang] * len(n), pa.string()),
-                "n": pa.array(n),
-            }
-        )
-
-    given = texts.mapInArrow(task, "shard int, range int, lang string, states binary, counts binary")
-    return given.groupBy("shard", "range", "lang").applyInArrow(summed, "shard int, state long, lang string, n long")
+            held.append(found_in(chunk, [b.value for b in bitmaps]))
+            if sum(part.nbytes for part in held) > HELD_BYTES:
+                held = [merged(held)]
+                if held[0].nbytes > HELD_BYTES // 2:
+                    yield dealt(held.pop(), shards)
+        if held:
+            yield dealt(merged(held), shards)
+        if words:
+            counts = [np.array([n], np.int64).tobytes() for n in words.values()]
+            yield given([-1] * len(words), list(words), pa.nulls(len(words), pa.string()), counts)
+
+    def summed(found: pa.Table, keys: pa.Table) -> pa.Table:
+        langs, counts = found["lang"].to_pylist(), b"".join(found["counts"].to_pylist())
+        if found.num_rows and found["shard"][0].as_py() < 0:
+            words = pa.table({"lang": found["lang"], "f": np.frombuffer(counts, np.int64)})
+            words = words.group_by("lang").aggregate([("f", "sum")])
+            return pa.table({"lang": words["lang"], "phrase": pa.nulls(len(words), pa.string()), "f": words["f_sum"]})
+        n = np.frombuffer(counts, np.uint32).astype(np.int64)
+        heavy = keys["key"].to_numpy().view(np.uint64)
+        return frequencies(found["phrases"].to_pylist(), langs, n, heavy, longest)
+
+    keys = heavy.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "key")
+    found = texts.mapInArrow(task, GIVEN).groupBy("shard")
+    return found.cogroup(keys.groupBy("shard")).applyInArrow(summed, "lang string, phrase string, f long")
 
 
 def count_phrases(
@@ -528,25 +560,11 @@ def count_phrases(
     every = heavy[0]
     for keys in heavy[1:]:
         every = every.unionByName(keys)
-    once = named(texts, bitmaps, longest).groupBy("key", "lang", "phrase").agg(F.lit(1).alias("one"))
-    candidates = steps.store(
-        "candidates", once.join(every.distinct(), "key", "left_semi").select("lang", "phrase")
-    )
-    shards = max(1, -(-candidates.count() // SHARD))
-    sharded = steps.store("shards", shards_of(candidates, shards, longest))
-    steps.drop("candidates", *[f"heavy{i}" for i in range(1, longest + 1)])
-    parts = []
-    for first in range(0, shards, PER_PASS):
-        chosen = sharded.filter(F.col("shard").between(first, first + PER_PASS - 1) & F.col("trie").isNotNull())
-        tries = {r.shard: DoubleArray.from_bytes(r.trie) for r in chosen.select("shard", "trie").toLocalIterator()}
-        parts.append(steps.store(f"counts{first}", counted(texts, tries, longest, first == 0)))
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
-    found = counts.filter("shard >= 0").select("shard", "state", F.col("n").alias("f"))
-    named_states = sharded.filter(F.col("phrase").isNotNull()).select("shard", "state", "lang", "phrase")
-    frequent = named_states.join(found, ["shard", "state"]).filter(F.col("f") >= least)
-    return frequent.select("lang", "phrase", "f"), counts.filter("shard < 0").select("lang", "n")
+    shards = max(2 * partitions_for(spark), -(-every.count() // SHARD))
+    counts = steps.store("counts", counted(texts, bitmaps, every, shards))
+    steps.drop(*[f"heavy{i}" for i in range(1, longest + 1)])
+    frequent = counts.filter(F.col("phrase").isNotNull() & (F.col("f") >= least))
+    return frequent, counts.filter(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
 
 
 def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
@@ -558,7 +576,6 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int =
     """
     steps = Steps(docs.sparkSession)
     frequent, totals = count_phrases(docs, steps, least, longest)
-    frequent = steps.store("frequent", frequent)
     words = F.split("phrase", " ")
     candidates = frequent.withColumn("words", words).filter(F.size("words") > 1)
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from stratamart.llm import phrases
@@ -111,3 +112,58 @@ def test_words_and_hashes_of_long_and_short_words():
     assert len(set(chunk.words.tolist())) == 2
     assert chunk.joined.tolist() == [True, True, False, True, False, True, False]
     assert (phrases.word_keys(["en", "en"], ["ab", "x" * 100]) == chunk.words[[0, 4]]).all()
+
+
+def test_texts_are_read_as_often_however_many_candidates(spark, monkeypatch):
+    """More shards are more tasks, not more passes over the texts."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(30)
+    passes, kind = [], type(docs)
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: passes.append(self.columns) or plain(self, *a, **b))
+    found = {}
+    for shard in (1 << 18, 20):
+        monkeypatch.setattr(phrases, "SHARD", shard)
+        passes.clear()
+        found[shard] = sorted(map(tuple, phrases.mine(docs, least=4).collect()))
+        assert passes == [["lang", "text"]] * 4
+    assert found[20] == found[1 << 18] == sorted(expected(rows_of(docs), 4))
+
+
+def test_phrases_with_equal_keys_are_told_apart():
+    chunk = phrases.Chunk(["a b. c d. a b. e"], ["en"])
+    at, keys = chunk.keys(2)
+    first, n = phrases.distinct(chunk, at, np.zeros(3, np.uint64), 2)
+    assert sorted(zip(chunk.texts(at[first], 2).to_pylist(), n.tolist())) == [("a b", 2), ("c d", 1)]
+    part = {"lang": ["en"] * 2, "phrase": ["a b", "c d"]}
+    same = pa.table({"key": pa.array([7, 7], pa.uint64()), "n": [2, 1]} | part)
+    assert phrases.merged([same]).equals(same)
+    other = pa.table({"key": pa.array([7, 8], pa.uint64()), "n": [2, 1]} | part)
+    assert phrases.merged([other, other])["n"].to_pylist() == [4, 2]
+
+
+def test_shard_counts_its_phrases_with_support(monkeypatch):
+    lines, langs, counts = ["a b\nc\na b c", "a b\na"], ["en", "de"], np.array([3, 1, 2, 5, 4])
+    keys = {(lang, p): phrases.Chunk([p], [lang]).keys(len(p.split()))[1][0] for lang in ("en", "de") for p in ("a", "c", "a b", "a b c")}
+    heavy = np.array([k for (lang, p), k in keys.items() if p != "c"], np.uint64)
+    twice = phrases.frequencies(lines + lines, langs + langs, np.append(counts, counts), heavy, 3)
+    assert sorted(map(tuple, twice.to_pandas().values.tolist())) == [("de", "a", 8), ("de", "a b", 10), ("en", "a b", 6), ("en", "a b c", 4)]
+    none = phrases.frequencies([], [], np.zeros(0, np.int64), heavy, 3)
+    assert none.num_rows == 0 and none.column_names == ["lang", "phrase", "f"]
+    # every key is the same: the words tell
+    monkeypatch.setattr(phrases, "followed", lambda keys, words: np.zeros_like(keys))
+    found = phrases.frequencies(["a b\nc d\na b\nc d e"], ["en"], np.array([1, 2, 4, 8]), np.zeros(1, np.uint64), 3)
+    assert sorted(zip(found["phrase"].to_pylist(), found["f"].to_pylist())) == [("a b", 5), ("c d", 2), ("c d e", 8)]
+
+
+def test_tasks_deal_phrases_by_key():
+    chunk = phrases.Chunk(["x y x y. z", "x y"], ["en", "de"])
+    full = [np.full(8, 255, np.uint8)] * 2
+    batch = phrases.dealt(phrases.merged([phrases.found_in(chunk, full)] * 2), 3)
+    found = {}
+    for row in batch.to_pylist():
+        for phrase, n in zip(row["phrases"].split("\n"), np.frombuffer(row["counts"], np.uint32)):
+            key = phrases.Chunk([phrase], [row["lang"]]).keys(len(phrase.split()))[1].view(np.int64)[0]
+            assert row["shard"] == key % 3 and (row["lang"], phrase) not in found
+            found[row["lang"], phrase] = int(n)
+    en = {"x": 4, "y": 4, "z": 2, "x y": 4, "y x": 2}
+    assert found == {("en", p): n for p, n in en.items()} | {("de", p): 2 for p in ("x", "y", "x y")}
