@@ -29,6 +29,7 @@ whole, each in one task.
 """
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -621,8 +622,15 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int =
     kept = scored.join(longer, ["lang", "phrase"], "left").filter(
         F.col("longer").isNull() | (100 * F.col("longer") < 50 * F.col("a"))
     )
-    best = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+
+    def first(df: DataFrame, *by: str) -> DataFrame:
+        best = Window.partitionBy(*by).orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
+        return df.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+
+    # the first of each part of a language, then of these: no task gets a whole language
+    parts = 4 * math.isqrt(partitions_for(docs.sparkSession))
+    dealt_out = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    ranked = first(first(dealt_out, "lang", "part"), "lang")
     return ranked.join(totals, "lang").select(
         "lang",
         F.col("rank").cast("long").alias("rank"),

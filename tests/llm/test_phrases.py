@@ -167,3 +167,10 @@ def test_tasks_deal_phrases_by_key():
             found[row["lang"], phrase] = int(n)
     en = {"x": 4, "y": 4, "z": 2, "x y": 4, "y x": 2}
     assert found == {("en", p): n for p, n in en.items()} | {("de", p): 2 for p in ("x", "y", "x y")}
+
+
+def test_first_phrases_come_from_parts_of_a_language(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    best = phrases.mine(docs, least=3, top=7)
+    assert re.search(r"windowspecdefinition\(lang#\d+, part#", best._jdf.queryExecution().toString())
+    assert sorted(map(tuple, best.collect())) == sorted(expected(rows_of(docs), 3, 3, 7))
